@@ -1,7 +1,10 @@
 """Range parsing: messy range text -> typed (low, high) bounds.
 
 All parsers are pure Column expressions (no UDF), so they stay inside
-whole-stage codegen and run on batch or streaming DataFrames alike.
+whole-stage codegen and run on batch or streaming DataFrames alike. Each
+bound is one small CASE-free expression: filters on derived labels are
+pushed below the staging projection by Catalyst, which substitutes these
+expressions into every reference, so their size matters.
 
 Text forms understood (see FIXTURES F2):
   "a - b" / "a – b"  -> (a, b)          en dash is normalised first
@@ -27,14 +30,6 @@ def _to_double(c: Column, strict: bool) -> Column:
     return c.cast("double") if strict else c.try_cast("double")
 
 
-def _nan_policy(c: Column, nan: str) -> Column:
-    if nan == "null":
-        return F.when(~F.isnan(c), c)
-    if nan == "propagate":
-        return c
-    raise ValueError(f"nan must be 'null' or 'propagate', not {nan!r}")
-
-
 def is_blank(raw: Column) -> Column:
     """NULL or only spaces (Spark ``trim`` strips spaces, not tabs)."""
     return raw.isNull() | (F.trim(raw) == "")
@@ -57,50 +52,50 @@ def parse_range(raw: Column, *, open_low: bool = False, nan: str = "null",
                 strict: bool = False) -> tuple[Column, Column]:
     """Parse a double range. Returns (low, high) Columns.
 
-    ``nan="null"`` maps NaN bounds to NULL (the intended meaning of the
-    sentinel); ``"propagate"`` keeps the NaN that a literal cast produces for
-    text like "NaN - 8", where the dash branch is taken first.
+    The text is normalised (en dash -> '-', and with ``open_low`` 'up - n' ->
+    '0 - n'), split on ' - ', and the low token is the first part; the high
+    token is the second part when the text has a dash, else the first.
+    Blank text casts to NULL. ``nan="null"`` maps NaN bounds to NULL (the
+    intended meaning of the sentinel); ``"propagate"`` keeps the NaN that a
+    literal cast produces for text like "NaN - 8" (exact 'NaN' is NULL in
+    both modes).
     """
-    parts = F.split(F.translate(raw, EN_DASH, "-"), " - ")
-    has_dash = raw.contains("-") | raw.contains(EN_DASH)
-    single = _to_double(F.trim(raw), strict)
+    norm = F.translate(raw, EN_DASH, "-")
+    if open_low:
+        norm = F.regexp_replace(norm, r"^up - (\d+)$", "0 - $1")
+    parts = F.split(norm, " - ")
+    dash = norm.contains("-")
     if strict:
-        lo_txt, hi_txt = F.trim(parts[0]), F.trim(parts[1])
+        lo_txt = parts[0]
+        hi_txt = F.when(dash, parts[1]).otherwise(parts[0])
     else:
-        lo_txt, hi_txt = F.trim(F.get(parts, 0)), F.trim(F.get(parts, 1))
-    low = F.when(is_blank(raw) | (raw == NAN_SENTINEL), F.lit(None).cast("double"))
-    high = low
-    if open_low:
-        up_n = F.regexp_extract(raw, _OPEN_LOW, 1)
-        low = low.when(is_open_low(raw), F.lit(0.0))
-        high = high.when(is_open_low(raw), _to_double(up_n, strict))
-    low = low.when(has_dash, _to_double(lo_txt, strict)).otherwise(single)
-    high = high.when(has_dash, _to_double(hi_txt, strict)).otherwise(single)
-    return _nan_policy(low, nan), _nan_policy(high, nan)
+        lo_txt = F.get(parts, 0)
+        hi_txt = F.get(parts, dash.cast("int"))
+    low, high = _to_double(F.trim(lo_txt), strict), _to_double(F.trim(hi_txt), strict)
+    if nan == "null":
+        none = F.lit(None).cast("double")
+        return F.nanvl(low, none), F.nanvl(high, none)
+    if nan == "propagate":
+        keep = raw != NAN_SENTINEL
+        return F.when(keep, low), F.when(keep, high)
+    raise ValueError(f"nan must be 'null' or 'propagate', not {nan!r}")
 
 
 def parse_years(raw: Column, *, strict: bool = False) -> tuple[Column, Column]:
     """Parse a life-span text to a bigint (low, high) pair.
 
-    With a dash: low = leading digits, high = digits before 'year'/'years'
-    (first match). Without: leading digits for both. Otherwise NULL.
-    A regex miss yields NULL (not '').
+    low = leading digits. high = with a dash, the digits before the first
+    'year'/'years'; without, the leading digits. A regex miss is NULL (not '').
     """
     norm = F.translate(raw, EN_DASH, "-")
-    has_dash = raw.contains("-") | raw.contains(EN_DASH)
 
     def num(c: Column) -> Column:
         c = F.nullif(c, F.lit(""))
         return c.cast("bigint") if strict else c.try_cast("bigint")
 
-    lead = num(F.regexp_extract(norm, r"^(\d+)", 1))
-    before_years = num(F.regexp_extract(norm, r"(\d+) years?", 1))
-    lead_plain = num(F.regexp_extract(raw, r"^(\d+)", 1))
-    nothing = F.lit(None).cast("bigint")
-    low = (F.when(is_blank(raw), nothing).when(has_dash, lead)
-           .when(raw.rlike(r"^\d+"), lead_plain).otherwise(nothing))
-    high = (F.when(is_blank(raw), nothing).when(has_dash, before_years)
-            .when(raw.rlike(r"^\d+"), lead_plain).otherwise(nothing))
+    low = num(F.regexp_extract(norm, r"^(\d+)", 1))
+    high = num(F.when(norm.contains("-"), F.regexp_extract(norm, r"(\d+) years?", 1))
+               .otherwise(F.regexp_extract(norm, r"^(\d+)", 1)))
     return low, high
 
 

@@ -293,6 +293,507 @@ def facet_bounds(i: Inputs) -> DataFrame:
     return R.facet_bounds(i.profiles)
 
 
+# Quality ---------------------------------------------------------------------
+from traitlens.operators import quality as Q  # noqa: E402
+from traitlens.plans import quality_rules as QR  # noqa: E402
+
+_SQL_TABLE = {"stg_profiles": "stg", "dim_profiles": "dim", "fct_metrics": "fct", "dim_traits": "traits"}
+
+
+def _star_tables(i: Inputs) -> dict[str, DataFrame]:
+    return {"stg_profiles": i.stg, "dim_profiles": S.dim_profiles(i.stg), "fct_metrics": i.fct,
+            "dim_traits": S.dim_traits(i.stg)}
+
+
+def _violation_sql(r: Q.Rule) -> str:
+    c = r.column
+    if r.kind == "not_null":
+        return f"{c} is null"
+    if r.kind == "accepted_values":
+        return f"{c} is not null and {c} not in ({_in(r.values)})"
+    if r.kind == "accepted_range":
+        return f"{c} is not null and not ({c} between {r.low} and {r.high})"
+    if r.kind == "expression_is_true":
+        return f"coalesce(not ({r.expression}), false)"
+    raise ValueError(r.kind)
+
+
+def _unique_sql(r: Q.Rule, table: str) -> str:
+    return (f"select '{r.name}' as test_name, cast({r.column} as varchar) as value, count(*) as n_rows "
+            f"from {table} where {r.column} is not null group by {r.column} having count(*) > 1")
+
+
+def _orphans_sql(r: Q.Rule, child: str, parent: str) -> str:
+    return (f"select '{r.name}' as test_name, cast({r.column} as bigint) as child_key, count(*) as n_rows "
+            f"from {child} c where {r.column} is not null and not exists "
+            f"(select 1 from {parent} p where p.{r.parent_column} = c.{r.column}) group by {r.column}")
+
+
+def _rules(kind: str) -> list[Q.Rule]:
+    return [r for r in QR.star_rules() if r.kind == kind]
+
+
+def _failing_rows_query(kind: str):
+    def run(i: Inputs) -> DataFrame:
+        tables = _star_tables(i)
+        parts = [Q.failing_rows(tables[r.table], r, "breed_id") for r in _rules(kind)]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
+    return run
+
+
+def _failing_rows_sql(kind: str) -> str:
+    selects = []
+    for r in _rules(kind):
+        value = "cast(null as varchar)" if kind == "expression_is_true" else f"cast({r.column} as varchar)"
+        selects.append(f"select '{r.name}' as test_name, cast(breed_id as bigint) as row_key, {value} as value "
+                       f"from {_SQL_TABLE[r.table]} where {_violation_sql(r)}")
+    return _with("\nunion all\n".join(selects))
+
+
+for _kind, _qname in (("not_null", "dq_not_null"), ("accepted_values", "dq_values"),
+                      ("accepted_range", "dq_range"), ("expression_is_true", "dq_expr")):
+    register(_qname, _failing_rows_sql(_kind))(_failing_rows_query(_kind))
+
+_PART_NAME_RULE = Q.unique("part", "p_name")
+
+
+@register("dq_unique", _with("\nunion all\n".join(
+    [_unique_sql(r, _SQL_TABLE[r.table]) for r in _rules("unique")] + [_unique_sql(_PART_NAME_RULE, "part")])))
+def dq_unique(i: Inputs) -> DataFrame:
+    tables = _star_tables(i)
+    out = Q.duplicate_keys(i.table("part"), _PART_NAME_RULE)
+    for r in _rules("unique"):
+        out = out.unionByName(Q.duplicate_keys(tables[r.table], r))
+    return out
+
+
+_NATIVE_RELATIONSHIPS = (
+    Q.relationships("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    Q.relationships("lineitem", "l_partkey", "part", "p_partkey"),
+    Q.relationships("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    Q.relationships("orders", "o_custkey", "customer", "c_custkey"),
+)
+
+
+@register("dq_relationships", _with("\nunion all\n".join(
+    [_orphans_sql(r, _SQL_TABLE[r.table], _SQL_TABLE[r.parent]) for r in _rules("relationships")]
+    + [_orphans_sql(r, r.table, r.parent) for r in _NATIVE_RELATIONSHIPS])))
+def dq_relationships(i: Inputs) -> DataFrame:
+    tables = _star_tables(i)
+    out = None
+    for r in _rules("relationships"):
+        part = Q.orphan_keys(tables[r.table], tables[r.parent], r)
+        out = part if out is None else out.unionByName(part)
+    for r in _NATIVE_RELATIONSHIPS:
+        out = out.unionByName(Q.orphan_keys(i.table(r.table), i.table(r.parent), r))
+    return out
+
+
+def _summary_sql() -> str:
+    parts = []
+    for r in QR.star_rules():
+        t = _SQL_TABLE[r.table]
+        head = f"select '{r.table}' as table_name, '{r.name}' as test_name, '{r.kind}' as kind, '{r.severity}' as severity"
+        if r.kind in Q.ROW_KINDS:
+            parts.append(f"{head}, cast(count_if({_violation_sql(r)}) as bigint) as failures from {t}")
+        elif r.kind == "unique":
+            parts.append(f"{head}, cast(coalesce(sum(n_rows), 0) as bigint) as failures from ({_unique_sql(r, t)})")
+        else:
+            parts.append(f"{head}, cast(coalesce(sum(n_rows), 0) as bigint) as failures "
+                         f"from ({_orphans_sql(r, t, _SQL_TABLE[r.parent])})")
+    body = "\nunion all\n".join(parts)
+    return _with(f"""select *, case when failures = 0 then 'pass' when severity = 'error' then 'fail'
+  else 'warn' end as status from ({body})""")
+
+
+@register("dq_summary", _summary_sql())
+def dq_summary(i: Inputs) -> DataFrame:
+    return Q.summarize(_star_tables(i), QR.star_rules())
+
+
+@register("dq_recency", _with(f"""
+select test_name, newest, threshold, coalesce(newest >= threshold, false) as passed from (
+  select 'recency__raw__extracted_at' as test_name, cast(max(extracted_at) as timestamp) as newest,
+         {AS_OF_SQL} - interval 7 day as threshold from raw
+  union all
+  select 'recency__events__ts', cast(max(ts) as timestamp), {AS_OF_SQL} - interval 7 day from events
+  union all
+  select 'recency__orders__o_orderdate', cast(max(o_orderdate) as timestamp), {AS_OF_SQL} - interval 7 day
+  from orders)"""))
+def dq_recency(i: Inputs) -> DataFrame:
+    days = K.RECENCY_DAYS
+    return (Q.recency(i.raw, "extracted_at", AS_OF, days, "recency__raw__extracted_at")
+            .unionByName(Q.recency(i.table("events"), "ts", AS_OF, days, "recency__events__ts"))
+            .unionByName(Q.recency(i.table("orders"), "o_orderdate", AS_OF, days,
+                                   "recency__orders__o_orderdate")))
+
+
+def _consistency_sql(dim: str, others: list[str], key: str, label: str, other_labels: bool) -> str:
+    parts = []
+    for o in others:
+        parts.append(f"select '{o}' as issue_type, d.{key}, d.{label}, 'missing_breed' as issue_description "
+                     f"from {dim} d where not exists (select 1 from {o} x where x.{key} = d.{key})")
+    for o in others:
+        lab = f"min(x.{label})" if other_labels else "cast(null as varchar)"
+        parts.append(f"select '{o}' as issue_type, x.{key}, {lab} as {label}, 'orphaned_record' "
+                     f"from {o} x where not exists (select 1 from {dim} d where d.{key} = x.{key}) group by x.{key}")
+    return "\nunion all\n".join(parts)
+
+
+@register("dq_star", _with(
+    "select issue_type, breed_id, breed_name, issue_description from ("
+    + _consistency_sql("dim", ["fct", "traits"], "breed_id", "breed_name", True).replace("'fct'", "'fct_metrics'")
+    .replace("'traits'", "'dim_traits'") + ")"))
+def dq_star(i: Inputs) -> DataFrame:
+    t = _star_tables(i)
+    return Q.star_consistency(t["dim_profiles"], {"fct_metrics": t["fct_metrics"], "dim_traits": t["dim_traits"]},
+                              "breed_id", "breed_name")
+
+
+@register("dq_label_coverage", "with x as (select 1)\n"
+          + _consistency_sql("documents", ["labels"], "doc_id", "source", False))
+def dq_label_coverage(i: Inputs) -> DataFrame:
+    return Q.star_consistency(i.table("documents"), {"labels": i.table("labels")}, "doc_id", "source")
+
+
+@register("dq_row_counts", _with("""
+select 'stg_profiles' as table_name, count(*) as row_count from stg
+union all select 'dim_profiles', count(*) from dim
+union all select 'fct_metrics', count(*) from fct
+union all select 'dim_traits', count(*) from traits"""))
+def dq_row_counts(i: Inputs) -> DataFrame:
+    return Q.row_counts(_star_tables(i))
+
+
+# Native tables -----------------------------------------------------------------
+@register("quantity_range_roundtrip", """
+with r as (select l_partkey, min(l_quantity) as lo, max(l_quantity) as hi, count(*) as n_lines
+           from lineitem group by l_partkey),
+t as (select l_partkey, lo, hi, n_lines,
+             cast(lo as varchar) || ' - ' || cast(hi as varchar) as quantity_range from r)
+select l_partkey, quantity_range, n_lines,
+       try_cast(trim(string_split(quantity_range, ' - ')[1]) as double) as parsed_low,
+       try_cast(trim(string_split(quantity_range, ' - ')[2]) as double) as parsed_high,
+       coalesce(try_cast(trim(string_split(quantity_range, ' - ')[1]) as double) = lo
+                and try_cast(trim(string_split(quantity_range, ' - ')[2]) as double) = hi, false) as roundtrip_ok
+from t""")
+def quantity_range_roundtrip(i: Inputs) -> DataFrame:
+    from traitlens.functions.ranges import parse_range
+    r = (i.table("lineitem").groupBy("l_partkey")
+         .agg(F.min("l_quantity").alias("lo"), F.max("l_quantity").alias("hi"),
+              F.count(F.lit(1)).alias("n_lines"))
+         .withColumn("quantity_range", F.concat_ws(" - ", F.col("lo").cast("string"), F.col("hi").cast("string"))))
+    low, high = parse_range(F.col("quantity_range"))
+    return r.select("l_partkey", "quantity_range", "n_lines", low.alias("parsed_low"), high.alias("parsed_high"),
+                    F.coalesce((low == F.col("lo")) & (high == F.col("hi")), F.lit(False)).alias("roundtrip_ok"))
+
+
+EVENT_LEXICONS = {"engagement": ("view", "click"), "conversion": ("signup", "purchase"), "friction": ("error",)}
+
+
+@register("user_event_shares", "select user_id, count(event_type) as total_events, "
+          + ", ".join(f"cast(count_if(lower(trim(event_type)) in ({_in(v)})) as bigint) as {k}_count"
+                      for k, v in EVENT_LEXICONS.items()) + ", "
+          + ", ".join(f"cast(case when count(event_type) > 0 then count_if(lower(trim(event_type)) in ({_in(v)}))"
+                      f" / count(event_type) else 0 end as double) as {k}_share" for k, v in EVENT_LEXICONS.items())
+          + " from events where event_type is not null and trim(event_type) <> '' group by user_id")
+def user_event_shares(i: Inputs) -> DataFrame:
+    from traitlens.operators.traits import explode_items, lexicon_counts, lexicon_shares
+    ev = i.table("events").select("user_id", F.col("event_type"))
+    items = ev.where(F.col("event_type").isNotNull()).select("user_id", F.trim("event_type").alias("item")) \
+        .where(F.col("item") != "")
+    counts = lexicon_counts(items, ["user_id"], "item", EVENT_LEXICONS,
+                            {k: f"{k}_count" for k in EVENT_LEXICONS}, total="total_events")
+    _ = explode_items  # explode form entry point for delimited text inputs
+    return lexicon_shares(counts, EVENT_LEXICONS, {k: f"{k}_count" for k in EVENT_LEXICONS},
+                          {k: f"{k}_share" for k in EVENT_LEXICONS}, total="total_events")
+
+
+@register("user_modal_event", """
+select user_id, event_type as modal_event_type from (
+  select user_id, event_type, row_number() over (partition by user_id order by count(*) desc, event_type) as rk
+  from events where event_type is not null group by user_id, event_type) where rk = 1""")
+def user_modal_event(i: Inputs) -> DataFrame:
+    from traitlens.operators.aggregates import modal_value
+    return modal_value(i.table("events"), "user_id", "event_type", "modal_event_type")
+
+
+@register("order_value_by_priority", """
+select o_orderpriority, count(*) as order_count, round(avg(o_totalprice), 2) as avg_totalprice,
+       min(o_totalprice) as min_totalprice, max(o_totalprice) as max_totalprice,
+       round(sum(o_totalprice), 2) as sum_totalprice
+from orders group by o_orderpriority""")
+def order_value_by_priority(i: Inputs) -> DataFrame:
+    return (i.table("orders").groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("order_count"), F.round(F.avg("o_totalprice"), 2).alias("avg_totalprice"),
+        F.min("o_totalprice").alias("min_totalprice"), F.max("o_totalprice").alias("max_totalprice"),
+        F.round(F.sum("o_totalprice"), 2).alias("sum_totalprice")).orderBy("o_orderpriority"))
+
+
+@register("top_suppliers_by_nation", """
+with sn as (select s.*, n.n_name from supplier s join nation n on s.s_nationkey = n.n_nationkey),
+st as (select n_name, count(*) as supplier_count, round(avg(s_acctbal), 2) as avg_acctbal from sn group by n_name),
+tn as (select n_name, string_agg(s_name, ', ' order by rk) as top_suppliers from (
+         select n_name, s_name, row_number() over (partition by n_name order by s_acctbal desc, s_name) as rk from sn)
+       where rk <= 3 group by n_name)
+select st.n_name, supplier_count, avg_acctbal, top_suppliers from st join tn using (n_name)""")
+def top_suppliers_by_nation(i: Inputs) -> DataFrame:
+    from traitlens.operators.aggregates import ordered_names
+    from traitlens.operators.joins import dimension_join
+    # TPC-H fixes nation at 25 rows: a bound by construction.
+    sn = dimension_join(i.table("supplier"), i.table("nation").select("n_nationkey", "n_name"),
+                        F.col("s_nationkey") == F.col("n_nationkey"), bounded_rows=25)
+    stats = sn.groupBy("n_name").agg(F.count(F.lit(1)).alias("supplier_count"),
+                                     F.round(F.avg("s_acctbal"), 2).alias("avg_acctbal"))
+    names = ordered_names(sn, "n_name", "s_name", [F.desc("s_acctbal"), F.asc("s_name")], 3, "top_suppliers")
+    return stats.join(names, "n_name")
+
+
+# Monitoring --------------------------------------------------------------------
+def _fresh_sql(name: str, table: str, col: str) -> str:
+    return (f"select '{name}' as model_name, cast(max({col}) as timestamp) as last_update, "
+            f"{AS_OF_SQL} as check_timestamp, "
+            f"date_diff('hour', date_trunc('hour', cast(max({col}) as timestamp)), date_trunc('hour', {AS_OF_SQL})) "
+            f"as hours_since_update from {table}")
+
+
+_FRESH = (("bronze_raw", "raw", "extracted_at"), ("dim_profiles", "dim", "extracted_at"),
+          ("fct_metrics", "fct", "extracted_at"), ("orders", "orders", "o_orderdate"),
+          ("lineitem", "lineitem", "l_shipdate"), ("events", "events", "ts"))
+
+
+@register("freshness", _with("\nunion all\n".join(_fresh_sql(*f) for f in _FRESH)))
+def freshness(i: Inputs) -> DataFrame:
+    src = {"bronze_raw": (i.raw, "extracted_at"), "dim_profiles": (S.dim_profiles(i.stg), "extracted_at"),
+           "fct_metrics": (i.fct, "extracted_at"), "orders": (i.table("orders"), "o_orderdate"),
+           "lineitem": (i.table("lineitem"), "l_shipdate"), "events": (i.table("events"), "ts")}
+    return R.freshness(src, AS_OF)
+
+
+_DOC_FLAGS = ("(text is not null and trim(text) <> '')", "(lang is not null and trim(lang) <> '')",
+              "(source is not null and trim(source) <> '')", "(quality is not null)")
+
+
+@register("quality_metrics", f"""
+with d as (select doc_id, {' + '.join(f'cast({f} as bigint)' for f in _DOC_FLAGS)} as completeness
+           from documents left join labels using (doc_id))
+select 'Total Documents' as metric, cast(count(*) as double) as value, {AS_OF_SQL} as measured_at from d
+union all select 'Documents with Complete Data', cast(count(*) as double), {AS_OF_SQL} from d where completeness = 4
+union all select 'Average Data Completeness', cast(round(avg(completeness), 2) as double), {AS_OF_SQL} from d""")
+def quality_metrics(i: Inputs) -> DataFrame:
+    from traitlens.functions.measures import flag_count
+    from traitlens.functions.ranges import is_present
+    docs = i.table("documents").select("doc_id", "text", "lang", "source")
+    labels = i.table("labels").select("doc_id", "quality")
+    d = docs.join(labels, "doc_id", "left").select(
+        "doc_id", flag_count(is_present(F.col("text"), False), is_present(F.col("lang"), False),
+                             is_present(F.col("source"), False), F.col("quality").isNotNull())
+        .alias("completeness"))
+    return R.metric_report([
+        ("Total Documents", d.agg(F.count(F.lit(1)).alias("v"))),
+        ("Documents with Complete Data", d.where(F.col("completeness") == 4).agg(F.count(F.lit(1)).alias("v"))),
+        ("Average Data Completeness", d.agg(F.round(F.avg("completeness"), 2).alias("v"))),
+    ], AS_OF)
+
+
+@register("loads_per_day", """
+select cast(ts as date) as load_date, count(*) as record_count, max(ts) as latest_record
+from events group by 1""")
+def loads_per_day(i: Inputs) -> DataFrame:
+    return R.loads_per_day(i.table("events"), "ts")
+
+
+@register("latest_snapshot_orders", """
+select o.o_orderkey, c.c_name, n.n_name, o.o_totalprice
+from orders o join customer c on o.o_custkey = c.c_custkey join nation n on c.c_nationkey = n.n_nationkey
+where o.o_orderdate = (select max(o_orderdate) from orders) and c.c_acctbal > 0""")
+def latest_snapshot_orders(i: Inputs) -> DataFrame:
+    from traitlens.operators.joins import dimension_join, latest_only
+    latest = latest_only(i.table("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"),
+                         "o_orderdate")
+    cust = i.table("customer").where(F.col("c_acctbal") > 0).select("c_custkey", "c_name", "c_nationkey")
+    oc = latest.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    ocn = dimension_join(oc, i.table("nation").select("n_nationkey", "n_name"),
+                         F.col("c_nationkey") == F.col("n_nationkey"), bounded_rows=25)
+    return ocn.select("o_orderkey", "c_name", "n_name", "o_totalprice")
+
+
+@register("latest_snapshot_profiles", _with("""
+select d.breed_name, d.size_category, f.avg_weight_lbs, t.family_suitability
+from dim d join fct f using (breed_id) join traits t using (breed_id)
+where d.extraction_date = (select max(extraction_date) from dim)
+  and f.has_weight_data = true and t.family_suitability = 'Excellent for Families'"""))
+def latest_snapshot_profiles(i: Inputs) -> DataFrame:
+    from traitlens.operators.joins import latest_only
+    wide = S.profile_frame(i.stg, fct_columns={"fct_avg_weight_lbs": "avg_weight_lbs"})
+    rows = latest_only(wide, "extraction_date")
+    return (rows.where(F.col("has_weight_data") & (F.col("family_suitability") == "Excellent for Families"))
+            .select("breed_name", "size_category", F.col("fct_avg_weight_lbs").alias("avg_weight_lbs"),
+                    "family_suitability"))
+
+
+@register("document_keyword_label", f"""
+select doc_id,
+  case when text is not null and regexp_matches(lower(text), '{K.FAMILY_PATTERN}') then 'Family-Friendly'
+       when text is not null and regexp_matches(lower(text), '{K.GUARD_PATTERN}')
+            and not regexp_matches(lower(text), '{K.GUARD_EXCLUDE_PATTERN}') then 'Protective/Guardian'
+       when text is not null then 'Moderate' else 'Unknown' end as keyword_label
+from documents""")
+def document_keyword_label(i: Inputs) -> DataFrame:
+    from traitlens.functions.labels import family_friendliness
+    d = i.table("documents")
+    return d.select("doc_id", family_friendliness(F.col("text")).alias("keyword_label"))
+
+
+# Context, excerpt, recommender -------------------------------------------------
+CONTEXT_FILTERS = Filters(groups=("Working", "Sporting", "Terrier", "Hound"),
+                          suitability=("Excellent for Families", "Good for Families"))
+
+
+def _context_sql(f: Filters, limit: int | None) -> str:
+    lim = f"order by b.breed_name, b.breed_id limit {limit}" if limit else ""
+    temp = (f"where family_suitability in ({_in(f.suitability)})" if f.suitability else "")
+    return f"""
+base as (select breed_id, breed_name, breed_group, size_category, avg_weight_kg, avg_life_span_years
+         from prof where {_filters_sql(f)}),
+tmp as (select breed_id, family_suitability, array_to_string(trait_array, ', ') as temperament_traits
+        from traits {temp}),
+ctx as (select b.breed_id, b.breed_name, coalesce(b.breed_group, '') as breed_group,
+               coalesce(b.size_category, '') as size_category, b.avg_weight_kg, b.avg_life_span_years,
+               coalesce(tmp.family_suitability, '') as family_suitability,
+               coalesce(tmp.temperament_traits, '') as temperament_traits
+        from base b left join tmp on tmp.breed_id = b.breed_id {lim})"""
+
+
+@register("context_table", _with(
+    "select breed_name, breed_group, size_category, avg_weight_kg, avg_life_span_years, family_suitability,"
+    " temperament_traits from ctx", _PROFILES + _BOUNDS + "," + _context_sql(CONTEXT_FILTERS, K.CONTEXT_MAX_ROWS)))
+def context_table(i: Inputs) -> DataFrame:
+    from traitlens.plans.context import context_table as build
+    return build(i.profiles, CONTEXT_FILTERS)
+
+
+def _num_sql(c: str) -> str:
+    return f"coalesce(cast({c} as varchar), 'nan')"
+
+
+_LINE_SQL = ("'- breed: ' || breed_name || '; group: ' || breed_group || '; size: ' || size_category"
+             f" || '; avg_weight_kg: ' || {_num_sql('avg_weight_kg')}"
+             f" || '; avg_lifespan_years: ' || {_num_sql('avg_life_span_years')}"
+             " || '; family_suitability: ' || family_suitability || '; temperament_traits: ' || temperament_traits")
+
+
+@register("grounding_excerpt", _with(f"""
+select breed_group, n_rows,
+  concat_ws(chr(10), {_in(K.EXCERPT_HEAD)}, string_agg(line, chr(10) order by rk),
+            case when n_rows > {K.EXCERPT_MAX_ROWS} then '… and ' || cast(n_rows - {K.EXCERPT_MAX_ROWS} as varchar)
+                 || ' more rows not shown' end) as excerpt
+from (select breed_group, {_LINE_SQL} as line,
+             row_number() over (partition by breed_group order by breed_name, breed_id) as rk,
+             count(*) over (partition by breed_group) as n_rows from ctx)
+where rk <= {K.EXCERPT_MAX_ROWS} group by breed_group, n_rows""",
+    _PROFILES + _BOUNDS + "," + _context_sql(CONTEXT_FILTERS, None)))
+def grounding_excerpt(i: Inputs) -> DataFrame:
+    from traitlens.plans.context import context_frame, grounding_excerpt as build
+    return build(context_frame(i.profiles, CONTEXT_FILTERS))
+
+
+def _requests(i: Inputs) -> DataFrame:
+    texts = F.array(*[F.lit(t) for t in K.REQUEST_TEXTS])
+    return i.table("customer").select(
+        "c_custkey", F.element_at(texts, (F.col("c_custkey") % len(K.REQUEST_TEXTS) + 1).cast("int"))
+        .alias("request_text"))
+
+
+def _requests_sql() -> str:
+    arr = "[" + _in(K.REQUEST_TEXTS) + "]"
+    return f"req as (select c_custkey, {arr}[c_custkey % {len(K.REQUEST_TEXTS)} + 1] as request_text from customer)"
+
+
+def _intent_sql(t: str) -> str:
+    def any_(words):
+        return "(" + " or ".join(f"contains({t}, '{w}')" for w in words) + ")"
+    size = " ".join(f"when {any_(words)} then '{label}'" for words, label in K.SIZE_WORDS)
+    return (f"case {size} end as size_pref, contains({t}, '{K.APARTMENT_WORD}') as apartment, "
+            f"{any_(K.FAMILY_WORDS)} as family, {any_(K.ACTIVE_WORDS)} as active, "
+            f"{any_(K.CALM_WORDS)} as calm, {any_(K.GUARD_WORDS)} as guard")
+
+
+def _score_sql() -> str:
+    p = K.POINTS
+    def any_(col, words):
+        return "(" + " or ".join(f"contains({col}, '{w}')" for w in words) + ")"
+    fam = " ".join(f"when lower(c.family_suitability) = '{k}' then {v}" for k, v in K.FAMILY_POINTS_LITERAL.items())
+    tr = "lower(c.temperament_traits)"
+    return f"""(case when i.size_pref is not null and contains(lower(c.size_category), i.size_pref) then {p['size']} else 0 end
+ + case when i.apartment and lower(c.size_category) in ({_in(K.APARTMENT_SIZES)}) then {p['apartment_size']} else 0 end
+ + case when i.apartment and c.avg_weight_kg <= {K.APARTMENT_MAX_KG} then {p['apartment_weight']} else 0 end
+ + case when i.family then (case {fam} else 0 end) else 0 end
+ + case when i.active and {any_(tr, K.ACTIVE_TRAITS)} then {p['active']} else 0 end
+ + case when i.calm and {any_(tr, K.CALM_TRAITS)} then {p['calm']} else 0 end
+ + case when i.guard and {any_(tr, K.GUARD_TRAITS)} then {p['guard']} else 0 end
+ + case when c.avg_life_span_years >= {K.LIFESPAN_BONUS_YEARS} then {p['lifespan']} else 0 end)"""
+
+
+_REC_CTES = f""",
+{_requests_sql()},
+reqi as (select c_custkey, request_text, {_intent_sql('lower(request_text)')} from req),
+intents as (select distinct size_pref, apartment, family, active, calm, guard from reqi),
+scored as (select i.*, c.*, cast({_score_sql()} as bigint) as score from intents i, ctx c),
+ranked as (select *, row_number() over (partition by size_pref, apartment, family, active, calm, guard
+                                       order by score desc, breed_name, breed_id) as suggestion_rank,
+                  max(score) over (partition by size_pref, apartment, family, active, calm, guard) as best
+           from scored),
+tops as (select * from ranked where suggestion_rank <= {K.SUGGESTIONS_PER_REQUEST} and (score > 0 or best <= 0))"""
+
+REC_FILTERS = Filters()
+
+
+@register("recommend", _with("""
+select r.c_custkey, t.suggestion_rank, t.breed_id, t.breed_name, t.score
+from reqi r join tops t on t.size_pref is not distinct from r.size_pref and t.apartment = r.apartment
+  and t.family = r.family and t.active = r.active and t.calm = r.calm and t.guard = r.guard""",
+    _PROFILES + _BOUNDS + "," + _context_sql(REC_FILTERS, None) + _REC_CTES))
+def recommend(i: Inputs) -> DataFrame:
+    from traitlens.operators.recommend import recommend as build
+    from traitlens.plans.context import context_frame
+    return build(_requests(i), "request_text", context_frame(i.profiles, REC_FILTERS), "c_custkey")
+
+
+@register("recommend_text", _with(f"""
+select r.c_custkey, r.request_text, concat_ws(chr(10), '{K.REC_PREFIX.replace("'", "''")}', m.body,
+                                              '{K.REC_SUFFIX.replace("'", "''")}') as suggestions
+from reqi r join (
+  select size_pref, apartment, family, active, calm, guard,
+         string_agg('- ' || breed_name || ': size=' || size_category || ', weight≈' || {_num_sql('avg_weight_kg')}
+                    || 'kg, lifespan≈' || {_num_sql('avg_life_span_years')} || 'y, family=' || family_suitability
+                    || '; temperament: ' || temperament_traits, chr(10) order by suggestion_rank) as body
+  from tops group by all) m
+  on m.size_pref is not distinct from r.size_pref and m.apartment = r.apartment and m.family = r.family
+  and m.active = r.active and m.calm = r.calm and m.guard = r.guard""",
+    _PROFILES + _BOUNDS + "," + _context_sql(REC_FILTERS, None) + _REC_CTES))
+def recommend_text(i: Inputs) -> DataFrame:
+    from traitlens.operators.recommend import recommend_text as build
+    from traitlens.plans.context import context_frame
+    return build(_requests(i), "request_text", context_frame(i.profiles, REC_FILTERS), "c_custkey")
+
+
+# Flatten, explode form -----------------------------------------------------------
+@register("flatten_raw", _with("select * from raw"))
+def flatten_raw(i: Inputs) -> DataFrame:
+    from traitlens.sources.raw import flatten, nest
+    return flatten(nest(i.raw))
+
+
+@register("dim_traits_explode", _with("select * from traits"))
+def dim_traits_explode(i: Inputs) -> DataFrame:
+    from traitlens.operators.traits import trait_dimension_exploded
+    return trait_dimension_exploded(i.stg)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

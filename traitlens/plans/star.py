@@ -197,15 +197,21 @@ def dim_traits(stg: DataFrame) -> DataFrame:
     return _with_items(stg).select(*[v.alias(k) for k, v in trait_columns().items()])
 
 
-def profile_frame(stg: DataFrame) -> DataFrame:
+def profile_frame(stg: DataFrame, fct_columns: dict[str, str] | None = None) -> DataFrame:
     """Profile dimension and trait dimension columns in one narrow projection.
 
     Equal to ``dim JOIN traits USING (breed_id)`` because both marts are 1:1
     projections of the same staging rows; no exchange is planned.
+    ``fct_columns`` adds metrics-fact columns as {output name: fact column},
+    which likewise replaces a join with the fact.
     """
     dim = dim_columns()
     trait = {k: v for k, v in trait_columns().items() if k not in dim}
-    return _with_items(stg).select(*[v.alias(k) for k, v in {**dim, **trait}.items()])
+    fct = {}
+    if fct_columns:
+        all_fct = globals()["fct_columns"]()
+        fct = {out: all_fct[src] for out, src in fct_columns.items()}
+    return _with_items(stg).select(*[v.alias(k) for k, v in {**dim, **trait, **fct}.items()])
 
 
 def join_marts(dim: DataFrame, traits_df: DataFrame) -> DataFrame:

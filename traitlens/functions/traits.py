@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from traitlens import constants as K
 from traitlens.functions import labels
-from traitlens.functions.measures import share
 
 SEPARATOR = ", "
 
@@ -24,29 +23,23 @@ def items(text: Column, sep: str = SEPARATOR) -> Column:
     return F.coalesce(parts, F.array().cast("array<string>"))
 
 
-def lexicon_hits(lowered_items: Column, lexicon) -> Column:
-    """Number of items (already lower-cased) found in ``lexicon``; bigint."""
-    return F.size(F.filter(lowered_items, lambda x: x.isin(*lexicon))).cast("bigint")
+def lexicon_hits(lowered_items: str, lexicon) -> Column:
+    """Number of items of the lower-cased array column ``lowered_items`` in ``lexicon``; bigint.
+
+    Written as one SQL expression: a single JVM call however long the lexicon.
+    """
+    words = ", ".join("'" + w.replace("'", "''") + "'" for w in lexicon)
+    return F.expr(f"cast(size(filter(`{lowered_items}`, x -> x IN ({words}))) as bigint)")
 
 
-def trait_columns(text: Column, lexicons=None) -> dict[str, Column]:
-    """All trait-dimension measures for one delimited text column.
+def with_item_arrays(df, text: str, sep: str = SEPARATOR):
+    """Add ``_trait_items`` and ``_trait_low`` once, in their own projections.
 
-    Returns ordered name -> Column for total_traits, trait_array, the eight
-    scores and the eight counts. The item array and its lower-cased form are
-    computed once and shared by every count.
+    Catalyst keeps them separate (higher-order functions are not cheap to
+    inline), so every count reads the arrays instead of re-splitting.
     """
-    lexicons = lexicons or K.LEXICONS
-    arr = items(text)
-    low = F.transform(arr, lambda x: F.lower(x))
-    total = F.size(arr).cast("bigint")
-    counts = {name: lexicon_hits(low, lex) for name, lex in lexicons.items()}
-    out: dict[str, Column] = {"total_traits": total, "trait_array": F.array_sort(arr)}
-    for name in lexicons:
-        out[K.LEXICON_COLUMNS[name][1]] = share(counts[name], total)
-    for name in lexicons:
-        out[K.LEXICON_COLUMNS[name][0]] = counts[name]
-    return out
+    df = df.withColumn("_trait_items", items(F.col(text), sep))
+    return df.withColumn("_trait_low", F.transform(F.col("_trait_items"), lambda x: F.lower(x)))
 
 
 def score_labels(score: dict[str, Column], total: Column) -> dict[str, Column]:

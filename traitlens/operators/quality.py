@@ -94,6 +94,23 @@ def failing_rows(df: DataFrame, rule: Rule, key: str) -> DataFrame:
                     value.alias("value")))
 
 
+def failing_rows_all(df: DataFrame, rules: list[Rule], key: str) -> DataFrame:
+    """Rows failing any of several row rules of one table, in ONE scan.
+
+    Each row carries the (test_name, value) of every rule it fails; the
+    array is filtered and exploded, so a row failing no rule emits nothing.
+    """
+    entries = []
+    for r in rules:
+        value = (F.col(r.column).cast("string") if r.kind != "expression_is_true"
+                 else F.lit(None).cast("string"))
+        entries.append(F.struct(F.lit(r.name).alias("test_name"), value.alias("value"),
+                                r.violation().alias("bad")))
+    hits = F.filter(F.array(*entries), lambda e: e["bad"])
+    return (df.select(F.col(key).cast("bigint").alias("row_key"), F.explode(hits).alias("f"))
+            .select(F.col("f.test_name").alias("test_name"), "row_key", F.col("f.value").alias("value")))
+
+
 def duplicate_keys(df: DataFrame, rule: Rule) -> DataFrame:
     """Keys occurring more than once (NULL keys ignored): (test_name, value, n_rows)."""
     c = F.col(rule.column)

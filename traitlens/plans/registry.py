@@ -58,15 +58,38 @@ class Inputs:
     def fct(self) -> DataFrame:
         return S.fct_metrics(self.stg)
 
+    @cached_property
+    def dim(self) -> DataFrame:
+        return S.dim_profiles(self.stg)
+
+    @cached_property
+    def traits(self) -> DataFrame:
+        return S.dim_traits(self.stg)
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
+_INPUTS: dict[tuple[int, str], Inputs] = {}
+
+
+def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    """Shared lazy inputs per (session, directory).
+
+    Only plans are shared (DataFrames are immutable), never cached data:
+    every query still reads its tables when it runs.
+    """
+    key = (id(spark), sf_dir)
+    if key not in _INPUTS:
+        _INPUTS[key] = Inputs(spark, sf_dir)
+    return _INPUTS[key]
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
-        QUERIES[name] = lambda spark, sf_dir: fn(Inputs(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(inputs(spark, sf_dir))
         if oracle is not None:
             ORACLE[name] = oracle
         return fn
@@ -125,7 +148,7 @@ def range_parse_literal_nan(i: Inputs) -> DataFrame:
 
 @register("dim_profiles", _with("select * from dim"))
 def dim_profiles(i: Inputs) -> DataFrame:
-    return S.dim_profiles(i.stg)
+    return i.dim
 
 
 @register("fct_metrics", _with("select * from fct"))
@@ -135,7 +158,7 @@ def fct_metrics(i: Inputs) -> DataFrame:
 
 @register("dim_traits", _with("select * from traits"))
 def dim_traits(i: Inputs) -> DataFrame:
-    return S.dim_traits(i.stg)
+    return i.traits
 
 
 # Dashboard -------------------------------------------------------------------
@@ -301,8 +324,7 @@ _SQL_TABLE = {"stg_profiles": "stg", "dim_profiles": "dim", "fct_metrics": "fct"
 
 
 def _star_tables(i: Inputs) -> dict[str, DataFrame]:
-    return {"stg_profiles": i.stg, "dim_profiles": S.dim_profiles(i.stg), "fct_metrics": i.fct,
-            "dim_traits": S.dim_traits(i.stg)}
+    return {"stg_profiles": i.stg, "dim_profiles": i.dim, "fct_metrics": i.fct, "dim_traits": i.traits}
 
 
 def _violation_sql(r: Q.Rule) -> str:
@@ -336,7 +358,10 @@ def _rules(kind: str) -> list[Q.Rule]:
 def _failing_rows_query(kind: str):
     def run(i: Inputs) -> DataFrame:
         tables = _star_tables(i)
-        parts = [Q.failing_rows(tables[r.table], r, "breed_id") for r in _rules(kind)]
+        by_table: dict[str, list[Q.Rule]] = {}
+        for r in _rules(kind):
+            by_table.setdefault(r.table, []).append(r)
+        parts = [Q.failing_rows_all(tables[t], rs, "breed_id") for t, rs in by_table.items()]
         out = parts[0]
         for part in parts[1:]:
             out = out.unionByName(part)
@@ -567,7 +592,7 @@ _FRESH = (("bronze_raw", "raw", "extracted_at"), ("dim_profiles", "dim", "extrac
 
 @register("freshness", _with("\nunion all\n".join(_fresh_sql(*f) for f in _FRESH)))
 def freshness(i: Inputs) -> DataFrame:
-    src = {"bronze_raw": (i.raw, "extracted_at"), "dim_profiles": (S.dim_profiles(i.stg), "extracted_at"),
+    src = {"bronze_raw": (i.raw, "extracted_at"), "dim_profiles": (i.dim, "extracted_at"),
            "fct_metrics": (i.fct, "extracted_at"), "orders": (i.table("orders"), "o_orderdate"),
            "lineitem": (i.table("lineitem"), "l_shipdate"), "events": (i.table("events"), "ts")}
     return R.freshness(src, AS_OF)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from traitlens.functions import labels, measures, ranges, traits
+from traitlens.session import per_context
 
 STAGING_COLUMNS = (
     "breed_id", "breed_name", "_dlt_load_id", "_dlt_id", "extracted_at", "extraction_date",
@@ -33,6 +34,14 @@ def stage(raw: DataFrame, *, nan: str = "null", strict: bool = False) -> DataFra
     ``parse_error`` (ours) is true when some measure text is present but
     unreadable; the source model aborts the whole build on such text.
     """
+    cols = staging_columns(nan, strict)
+    staged = raw.select(*[col.alias(name) for name, col in cols.items()])
+    return staged.where(F.col("breed_id").isNotNull() & F.col("breed_name").isNotNull())
+
+
+@per_context
+def staging_columns(nan: str = "null", strict: bool = False) -> dict[str, Column]:
+    """Staging columns over the flattened raw columns."""
     c = F.col
     w_imp_lo, w_imp_hi = ranges.parse_range(c("weight__imperial"), open_low=True, nan=nan, strict=strict)
     w_met_lo, w_met_hi = ranges.parse_range(c("weight__metric"), nan=nan, strict=strict)
@@ -79,8 +88,7 @@ def stage(raw: DataFrame, *, nan: str = "null", strict: bool = False) -> DataFra
         "has_temperament_data": ranges.is_present(temperament, sentinel=False),
         "parse_error": parse_error,
     }
-    staged = raw.select(*[col.alias(name) for name, col in cols.items()])
-    return staged.where(c("breed_id").isNotNull() & c("breed_name").isNotNull())
+    return cols
 
 
 def _averages(places: int | None) -> dict[str, Column]:
@@ -94,6 +102,7 @@ def _averages(places: int | None) -> dict[str, Column]:
     }
 
 
+@per_context
 def dim_columns() -> dict[str, Column]:
     """Profile dimension over staging columns (MSR-3,6,8, BND-2..4)."""
     c = F.col
@@ -124,6 +133,7 @@ def dim_profiles(stg: DataFrame) -> DataFrame:
     return stg.select(*[v.alias(k) for k, v in dim_columns().items()])
 
 
+@per_context
 def fct_columns() -> dict[str, Column]:
     """Metrics fact over staging columns (MSR-1,2,4,5,7, BND-5..8)."""
     c = F.col
@@ -168,19 +178,17 @@ def fct_metrics(stg: DataFrame) -> DataFrame:
 
 
 def _with_items(stg: DataFrame) -> DataFrame:
-    # The item array is computed once in its own projection; Catalyst keeps it
-    # separate (higher-order functions are not cheap to inline).
-    return stg.withColumn("_trait_items", traits.items(F.col("temperament_raw")))
+    return traits.with_item_arrays(stg, "temperament_raw")
 
 
+@per_context
 def trait_columns() -> dict[str, Column]:
     """Trait dimension columns over ``_trait_items`` (TRT-1..5, MSR-9, BND-9..12)."""
     from traitlens import constants as K
 
     arr = F.col("_trait_items")
-    low = F.transform(arr, lambda x: F.lower(x))
     total = F.size(arr).cast("bigint")
-    counts = {n: traits.lexicon_hits(low, lex) for n, lex in K.LEXICONS.items()}
+    counts = {n: traits.lexicon_hits("_trait_low", lex) for n, lex in K.LEXICONS.items()}
     scores = {n: measures.share(counts[n], total) for n in K.LEXICONS}
     out: dict[str, Column] = {
         "breed_id": F.col("breed_id"), "breed_name": F.col("breed_name"),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every traitlens job relies on. Session time zone must be UTC:
@@ -59,3 +61,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="traitlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def per_context(fn):
+    """Memoise a builder of Column expressions per live SparkContext.
+
+    Column definitions are pure (they reference columns by name), but each
+    node costs a JVM round trip to build; queries reuse them instead.
+    Returns a fresh dict each call so callers may extend it.
+    """
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args):
+        key = (id(SparkContext._active_spark_context), args)
+        if key not in cache:
+            cache[key] = fn(*args)
+        return dict(cache[key])
+
+    return wrapper

@@ -47,8 +47,10 @@ class Filters:
         if self.weight_range is None:
             from traitlens.operators.aggregates import slider_bounds
 
-            b = slider_bounds(profiles, self.weight_column)
-            lo, hi = b.select("min_w").scalar(), b.select("max_w").scalar()
+            # One struct-valued scalar subquery, referenced twice: Spark runs it once.
+            bounds = slider_bounds(profiles, self.weight_column).select(
+                F.struct("min_w", "max_w").alias("b")).scalar()
+            lo, hi = bounds.getField("min_w"), bounds.getField("max_w")
         else:
             lo, hi = F.lit(float(self.weight_range[0])), F.lit(float(self.weight_range[1]))
         in_range = w.between(lo, hi)

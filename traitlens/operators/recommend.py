@@ -75,6 +75,20 @@ def intent_rows() -> list[tuple]:
     return rows
 
 
+def intent_table() -> Column:
+    """Generator Column emitting the 80 fixed intents (one SQL expression)."""
+    def lit(v):
+        if v is None:
+            return "cast(null as string)"
+        if isinstance(v, bool):
+            return "true" if v else "false"
+        return "'" + v + "'"
+    names = (*INTENT_COLUMNS, "intent")
+    structs = ", ".join("named_struct(" + ", ".join(f"'{n}', {lit(v)}" for n, v in zip(names, row)) + ")"
+                        for row in intent_rows())
+    return F.expr(f"inline(array({structs}))")
+
+
 def profile_signals(ctx: DataFrame, family_points: dict[str, int] | None = None) -> DataFrame:
     """REC-2 inputs per profile from a context frame (display columns, '' for NULL)."""
     size = F.lower(F.coalesce(F.col("size_category"), F.lit("")))
@@ -127,11 +141,7 @@ def top_per_intent(ctx: DataFrame, k: int = K.SUGGESTIONS_PER_REQUEST,
                               [F.asc("breed_name"), F.asc("breed_id")], k, rank_col="_sig_rank")
     # Every signature row meets every intent of the fixed 80-row table: a
     # bounded generator (not a join with data), then equi-joins only.
-    names = (*INTENT_COLUMNS, "intent")
-    table = F.array(*[F.struct(*[F.lit(v).cast("string" if n in ("size_pref", "intent") else "boolean")
-                                 .alias(n) for n, v in zip(names, row)])
-                      for row in intent_rows()])
-    paired = per_sig.select("*", F.inline(table)).withColumn("score", score(family_points))
+    paired = per_sig.select("*", intent_table()).withColumn("score", score(family_points))
     ranked = top_k_per_group(paired, "intent", [F.desc("score"), F.asc("breed_name"), F.asc("breed_id")],
                              k, rank_col="suggestion_rank")
     best = F.max("score").over(_intent_window())

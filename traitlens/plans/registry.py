@@ -611,7 +611,8 @@ union all select 'Average Data Completeness', cast(round(avg(completeness), 2) a
 def quality_metrics(i: Inputs) -> DataFrame:
     from traitlens.functions.measures import flag_count
     from traitlens.functions.ranges import is_present
-    docs = i.table("documents").select("doc_id", "text", "lang", "source")
+    from traitlens.sources.tables import spread
+    docs = spread(i.table("documents").select("doc_id", "text", "lang", "source"), "doc_id")
     labels = i.table("labels").select("doc_id", "quality")
     d = docs.join(labels, "doc_id", "left").select(
         "doc_id", flag_count(is_present(F.col("text"), False), is_present(F.col("lang"), False),
@@ -669,7 +670,8 @@ select doc_id,
 from documents""")
 def document_keyword_label(i: Inputs) -> DataFrame:
     from traitlens.functions.labels import family_friendliness
-    d = i.table("documents")
+    from traitlens.sources.tables import spread
+    d = spread(i.table("documents").select("doc_id", "text"), "doc_id")
     return d.select("doc_id", family_friendliness(F.col("text")).alias("keyword_label"))
 
 

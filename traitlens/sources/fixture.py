@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from traitlens.sources.tables import table
+from traitlens.sources.tables import spread, table
 
 RAW_PROFILES_SQL = """
 select cast(p_partkey as bigint) as id,
@@ -90,5 +90,9 @@ def raw_profiles_from_part(spark: SparkSession, part: DataFrame) -> DataFrame:
 
 
 def raw_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw profiles from the whole ``part`` table of a driver data directory."""
-    return raw_profiles_from_part(spark, table(spark, sf_dir, "part"))
+    """Raw profiles from the whole ``part`` table of a driver data directory.
+
+    The scan is spread over the session's parallelism when it arrives as
+    too few partitions (see ``spread``); at scale this adds nothing.
+    """
+    return raw_profiles_from_part(spark, spread(table(spark, sf_dir, "part"), "p_partkey"))

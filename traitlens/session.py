@@ -39,9 +39,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     # getOrCreate may return an existing session: enforce the runtime SQL confs.
-    for k, v in conf.items():
-        if k.startswith("spark.sql."):
-            spark.conf.set(k, v)
+    runtime = {k: v for k, v in BASE_CONF.items() if k.startswith("spark.sql.")}
+    if shuffle_partitions:
+        runtime["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in runtime.items():
+        spark.conf.set(k, v)
     return spark
 
 

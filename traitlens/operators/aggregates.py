@@ -14,6 +14,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def order_small(df: DataFrame, *order) -> DataFrame:
+    """ORDER BY for results bounded by a label's cardinality (a few groups).
+
+    A global sort range-partitions (a sampling job plus a shuffle); a result
+    of a handful of aggregated rows is instead gathered into one partition
+    without a shuffle and sorted there. Use ``orderBy`` for unbounded results.
+    """
+    return df.coalesce(1).sortWithinPartitions(*order)
+
+
 def top_k_per_group(df: DataFrame, group: list[str] | str, order: list[Column], k: int,
                     rank_col: str = "rank") -> DataFrame:
     """Rows ranked 1..k within each group by ``order`` (ORD-3).

@@ -23,7 +23,7 @@ class Filters:
     """Dashboard selections over the profile frame.
 
     ``weight_range=None`` means "the facet bounds": min/max of avg_weight_kg,
-    evaluated lazily as scalar subqueries. The weight predicate is always
+    resolved by one single-row aggregate. The weight predicate is always
     applied, as on the dashboard, so NULL weights drop out unless
     ``keep_null_weight`` is set.
     """
@@ -47,10 +47,12 @@ class Filters:
         if self.weight_range is None:
             from traitlens.operators.aggregates import slider_bounds
 
-            # One struct-valued scalar subquery, referenced twice: Spark runs it once.
-            bounds = slider_bounds(profiles, self.weight_column).select(
-                F.struct("min_w", "max_w").alias("b")).scalar()
-            lo, hi = bounds.getField("min_w"), bounds.getField("max_w")
+            # The facet bounds are one aggregated row, read once (as the dashboard
+            # does to place its slider) and applied as literals. A scalar
+            # subquery referenced from both ends of BETWEEN was planned and
+            # run more than once.
+            b = slider_bounds(profiles, self.weight_column).first()
+            lo, hi = F.lit(b.min_w), F.lit(b.max_w)
         else:
             lo, hi = F.lit(float(self.weight_range[0])), F.lit(float(self.weight_range[1]))
         in_range = w.between(lo, hi)

@@ -555,7 +555,7 @@ def order_value_by_priority(i: Inputs) -> DataFrame:
     return (i.table("orders").groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("order_count"), F.round(F.avg("o_totalprice"), 2).alias("avg_totalprice"),
         F.min("o_totalprice").alias("min_totalprice"), F.max("o_totalprice").alias("max_totalprice"),
-        F.round(F.sum("o_totalprice"), 2).alias("sum_totalprice")).orderBy("o_orderpriority"))
+        F.round(F.sum("o_totalprice"), 2).alias("sum_totalprice")))
 
 
 @register("top_suppliers_by_nation", """

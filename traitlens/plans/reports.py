@@ -32,8 +32,8 @@ def longest_lived(profiles: DataFrame, filters: Filters = Filters(), k: int = 10
 def size_distribution(profiles: DataFrame, filters: Filters = Filters()) -> DataFrame:
     """RPT-2: profile count per size band under the filters."""
     rows = filters.apply(profiles, restrict_traits=False)
-    return (rows.groupBy("size_category").agg(F.count(F.lit(1)).alias("breed_count"))
-            .orderBy(F.desc("breed_count"), F.asc_nulls_first("size_category")))
+    return A.order_small(rows.groupBy("size_category").agg(F.count(F.lit(1)).alias("breed_count")),
+                         F.desc("breed_count"), F.asc_nulls_first("size_category"))
 
 
 def top_traits(profiles: DataFrame, filters: Filters = Filters(), k: int = 15) -> DataFrame:
@@ -55,22 +55,21 @@ def family_by_size(profiles: DataFrame) -> DataFrame:
         _avg("family_friendliness_score", 2).alias("avg_family_score"))
     names = A.ordered_names(fam, "size_category", "breed_name",
                             [F.desc("family_friendliness_score"), F.asc("breed_name")], 3, "top_breeds")
-    return (stats.join(names, stats["size_category"].eqNullSafe(names["size_category"]))
-            .select(F.lit("Family-Friendly Breeds by Size").alias("analysis_type"),
-                    stats["size_category"], "breed_count", "avg_family_score", "top_breeds")
-            .orderBy(F.desc("avg_family_score")))
+    return A.order_small(stats.join(names, stats["size_category"].eqNullSafe(names["size_category"]))
+                         .select(F.lit("Family-Friendly Breeds by Size").alias("analysis_type"),
+                                 stats["size_category"], "breed_count", "avg_family_score", "top_breeds"),
+                         F.desc("avg_family_score"))
 
 
 def longevity_by_group(profiles: DataFrame) -> DataFrame:
     """RPT-5."""
     rows = profiles.where(F.col("avg_life_span_years").isNotNull())
-    return (rows.groupBy("breed_group").agg(
+    return A.order_small(rows.groupBy("breed_group").agg(
         F.count(F.lit(1)).alias("breed_count"),
         _avg("avg_life_span_years", 1).alias("avg_lifespan"),
         F.min("avg_life_span_years").alias("min_lifespan"),
         F.max("avg_life_span_years").alias("max_lifespan"))
-        .select(F.lit("Longevity by Breed Group").alias("analysis_type"), "*")
-        .orderBy(F.desc("avg_lifespan")))
+        .select(F.lit("Longevity by Breed Group").alias("analysis_type"), "*"), F.desc("avg_lifespan"))
 
 
 def training_scores(profiles: DataFrame) -> DataFrame:
@@ -81,10 +80,10 @@ def training_scores(profiles: DataFrame) -> DataFrame:
         _avg("independent_score", 2).alias("avg_independence_score"))
     names = A.ordered_names(profiles, "training_difficulty", "breed_name",
                             [F.desc("intelligence_score"), F.asc("breed_name")], 2, "example_breeds")
-    return (stats.join(names, "training_difficulty")
-            .select(F.lit("Training Analysis").alias("analysis_type"), "training_difficulty",
-                    "breed_count", "avg_intelligence_score", "avg_independence_score", "example_breeds")
-            .orderBy(F.desc("avg_intelligence_score")))
+    return A.order_small(stats.join(names, "training_difficulty")
+                         .select(F.lit("Training Analysis").alias("analysis_type"), "training_difficulty",
+                                 "breed_count", "avg_intelligence_score", "avg_independence_score",
+                                 "example_breeds"), F.desc("avg_intelligence_score"))
 
 
 def build_stats(fct: DataFrame) -> DataFrame:
@@ -95,7 +94,7 @@ def build_stats(fct: DataFrame) -> DataFrame:
         _avg("avg_height_inches", 1).alias("avg_height_inches"),
         _avg("weight_height_ratio_imperial", 2).alias("avg_weight_height_ratio"))
         .select(F.lit("Physical Characteristics").alias("analysis_type"), "*")
-        .orderBy(F.desc("avg_weight_lbs")))
+        .transform(lambda d: A.order_small(d, F.desc("avg_weight_lbs"))))
 
 
 SCORE_SUM = ("social_score", "energy_score", "intelligence_score", "protective_score",
@@ -111,7 +110,7 @@ def complexity_mode(profiles: DataFrame) -> DataFrame:
         F.round(F.avg(total), 2).alias("avg_total_score"),
         F.mode("primary_temperament_category", deterministic=True).alias("most_common_category"))
         .select(F.lit("Temperament Complexity").alias("analysis_type"), "*")
-        .orderBy(F.desc("avg_traits")))
+        .transform(lambda d: A.order_small(d, F.desc("avg_traits"))))
 
 
 def quality_summary(profiles: DataFrame) -> DataFrame:
@@ -156,7 +155,7 @@ def build_averages(fct: DataFrame, places: int = 6) -> DataFrame:
         _avg("avg_weight_lbs", places).alias("avg_weight"),
         _avg("avg_height_inches", places).alias("avg_height"),
         _avg("avg_life_span_years", places).alias("avg_lifespan"))
-        .orderBy(F.desc("avg_weight")))
+        .transform(lambda d: A.order_small(d, F.desc("avg_weight"))))
 
 
 def complexity_by_group(profiles: DataFrame, places: int = 6) -> DataFrame:
@@ -166,7 +165,7 @@ def complexity_by_group(profiles: DataFrame, places: int = 6) -> DataFrame:
         _avg("intelligence_score", places).alias("avg_intelligence"),
         _avg("family_friendliness_score", places).alias("avg_family_score"),
         F.count(F.lit(1)).alias("breed_count"))
-        .orderBy(F.desc("avg_temperament_complexity")))
+        .transform(lambda d: A.order_small(d, F.desc("avg_temperament_complexity"))))
 
 
 # --------------------------------------------------------------- monitoring

@@ -178,26 +178,25 @@ def fct_metrics(stg: DataFrame) -> DataFrame:
 
 
 def _with_items(stg: DataFrame) -> DataFrame:
-    return traits.with_item_arrays(stg, "temperament_raw")
+    # All trait measures in one struct column, in its own projection: Catalyst
+    # keeps it separate (higher-order functions are not cheap to inline) and
+    # the trait columns read its fields.
+    return stg.withColumn("_trait_stats", traits.trait_stats(F.col("temperament_raw")))
 
 
 @per_context
 def trait_columns() -> dict[str, Column]:
-    """Trait dimension columns over ``_trait_items`` (TRT-1..5, MSR-9, BND-9..12)."""
+    """Trait dimension columns over ``_trait_stats`` (TRT-1..5, MSR-9, BND-9..12)."""
     from traitlens import constants as K
 
-    arr = F.col("_trait_items")
-    total = F.size(arr).cast("bigint")
-    counts = {n: traits.lexicon_hits("_trait_low", lex) for n, lex in K.LEXICONS.items()}
-    scores = {n: measures.share(counts[n], total) for n in K.LEXICONS}
-    out: dict[str, Column] = {
-        "breed_id": F.col("breed_id"), "breed_name": F.col("breed_name"),
-        "temperament_raw": F.col("temperament_raw"),
-        "total_traits": total, "trait_array": F.array_sort(arr),
-    }
-    out.update({K.LEXICON_COLUMNS[n][1]: scores[n] for n in K.LEXICONS})
-    out.update({K.LEXICON_COLUMNS[n][0]: counts[n] for n in K.LEXICONS})
-    out.update(traits.score_labels(scores, total))
+    st = F.col("_trait_stats")
+    fields = (["total_traits", "trait_array"] + [K.LEXICON_COLUMNS[n][1] for n in K.LEXICONS]
+              + [K.LEXICON_COLUMNS[n][0] for n in K.LEXICONS]
+              + ["primary_temperament_category", "temperament_complexity", "family_suitability",
+                 "training_difficulty"])
+    out: dict[str, Column] = {"breed_id": F.col("breed_id"), "breed_name": F.col("breed_name"),
+                              "temperament_raw": F.col("temperament_raw")}
+    out.update({f: st[f] for f in fields})
     return out
 
 

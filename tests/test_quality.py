@@ -96,3 +96,11 @@ def test_summary_is_single_scan_per_table(inputs):
     plan = Q.summarize(_star_tables(inputs), rules)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
     assert F is not None
+
+
+def test_duplicate_keys_all_equals_single_rules(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b"), (3, None)], "k long, n string")
+    rules = [Q.unique("t", "k"), Q.unique("t", "n")]
+    one = Q.duplicate_keys_all(df, rules)
+    single = Q.duplicate_keys(df, rules[0]).unionByName(Q.duplicate_keys(df, rules[1]))
+    assert one.exceptAll(single).count() == 0 and single.exceptAll(one).count() == 0

@@ -119,6 +119,20 @@ def duplicate_keys(df: DataFrame, rule: Rule) -> DataFrame:
             .select(F.lit(rule.name).alias("test_name"), "value", "n_rows"))
 
 
+def duplicate_keys_all(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """``duplicate_keys`` for several unique rules of one table in ONE scan.
+
+    Each row emits one (rule, key) pair per rule; a single partial+final
+    aggregate on (rule, key) then counts them. Shuffle volume equals that of
+    separate checks; the table is read once.
+    """
+    pairs = F.array(*[F.struct(F.lit(r.name).alias("test_name"), F.col(r.column).cast("string").alias("value"))
+                      for r in rules])
+    return (df.select(F.inline(pairs)).where(F.col("value").isNotNull())
+            .groupBy("test_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+            .where(F.col("n_rows") > 1))
+
+
 def orphan_keys(child: DataFrame, parent: DataFrame, rule: Rule) -> DataFrame:
     """Non-NULL child keys absent from the parent: (test_name, child_key, n_rows)."""
     c = F.col(rule.column)

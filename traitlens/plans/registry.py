@@ -390,8 +390,11 @@ _PART_NAME_RULE = Q.unique("part", "p_name")
 def dq_unique(i: Inputs) -> DataFrame:
     tables = _star_tables(i)
     out = Q.duplicate_keys(i.table("part"), _PART_NAME_RULE)
+    by_table: dict[str, list[Q.Rule]] = {}
     for r in _rules("unique"):
-        out = out.unionByName(Q.duplicate_keys(tables[r.table], r))
+        by_table.setdefault(r.table, []).append(r)
+    for t, rs in by_table.items():
+        out = out.unionByName(Q.duplicate_keys_all(tables[t], rs))
     return out
 
 

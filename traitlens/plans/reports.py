@@ -210,10 +210,18 @@ def loads_per_day(df: DataFrame, ts: str, date_col: str | None = None) -> DataFr
 
 
 # --------------------------------------------------------------- facets
-def facet_values(profiles: DataFrame) -> DataFrame:
-    """RPT-18: distinct values of the three facets, one (facet, value) row each."""
-    parts = [A.distinct_values(profiles, c) for c in ("breed_group", "size_category", "family_suitability")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+FACETS = ("breed_group", "size_category", "family_suitability")
+
+
+def facet_values(profiles: DataFrame, facets=FACETS) -> DataFrame:
+    """RPT-18: distinct non-empty values of the facets, one (facet, value) row each.
+
+    One scan: every row emits a (facet, value) pair per facet, then one
+    distinct (a partial+final aggregate bounded by the facet cardinalities).
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value")) for c in facets])
+    return (profiles.select(F.inline(pairs))
+            .where(F.col("value").isNotNull() & (F.col("value") != "")).distinct())
 
 
 def facet_bounds(profiles: DataFrame) -> DataFrame:

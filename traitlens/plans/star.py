@@ -178,25 +178,26 @@ def fct_metrics(stg: DataFrame) -> DataFrame:
 
 
 def _with_items(stg: DataFrame) -> DataFrame:
-    # All trait measures in one struct column, in its own projection: Catalyst
-    # keeps it separate (higher-order functions are not cheap to inline) and
-    # the trait columns read its fields.
-    return stg.withColumn("_trait_stats", traits.trait_stats(F.col("temperament_raw")))
+    # All trait measures of a row come out of one generator (exactly one
+    # output row per input row). Filters on trait labels reference generator
+    # output, so Catalyst evaluates them above the Generate on computed
+    # columns instead of inlining the array lambdas into the scan once per
+    # reference (a Filter gets no common-subexpression elimination).
+    return stg.select("*", F.inline(F.array(traits.trait_stats(F.col("temperament_raw")))))
 
 
 @per_context
 def trait_columns() -> dict[str, Column]:
-    """Trait dimension columns over ``_trait_stats`` (TRT-1..5, MSR-9, BND-9..12)."""
+    """Trait dimension columns over the generated trait measures (TRT-1..5, MSR-9, BND-9..12)."""
     from traitlens import constants as K
 
-    st = F.col("_trait_stats")
     fields = (["total_traits", "trait_array"] + [K.LEXICON_COLUMNS[n][1] for n in K.LEXICONS]
               + [K.LEXICON_COLUMNS[n][0] for n in K.LEXICONS]
               + ["primary_temperament_category", "temperament_complexity", "family_suitability",
                  "training_difficulty"])
     out: dict[str, Column] = {"breed_id": F.col("breed_id"), "breed_name": F.col("breed_name"),
                               "temperament_raw": F.col("temperament_raw")}
-    out.update({f: st[f] for f in fields})
+    out.update({f: F.col(f) for f in fields})
     return out
 
 

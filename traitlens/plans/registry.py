@@ -72,7 +72,7 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-_INPUTS: dict[tuple[int, str], Inputs] = {}
+_INPUTS: dict[tuple[int, str, str], Inputs] = {}
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
@@ -81,7 +81,10 @@ def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     Only plans are shared (DataFrames are immutable), never cached data:
     every query still reads its tables when it runs.
     """
-    key = (id(spark), sf_dir)
+    # Load stamps and "as of" instants are UTC wall-clock values.
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
     if key not in _INPUTS:
         _INPUTS[key] = Inputs(spark, sf_dir)
     return _INPUTS[key]

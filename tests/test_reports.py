@@ -63,3 +63,13 @@ def test_freshness_counts_hour_boundaries(spark):
     df = spark.createDataFrame([(dt.datetime(2025, 1, 1, 10, 59),)], "ts timestamp_ntz")
     out = R.freshness({"t": (df, "ts")}, dt.datetime(2025, 1, 1, 11, 1)).first()
     assert out.hours_since_update == 1
+
+
+def test_top_traits_on_stored_marts_equals_fused(inputs):
+    from traitlens.plans import star as S
+
+    f = Filters(sizes=("Small", "Medium"), suitability=("Good for Families", "Moderate for Families"),
+                weight_range=(0.0, 1000.0))
+    fused = R.top_traits(inputs.profiles, f).collect()
+    stored = R.top_traits_stored(S.dim_profiles(inputs.stg), S.dim_traits(inputs.stg), f).collect()
+    assert [tuple(r) for r in fused] == [tuple(r) for r in stored]

@@ -57,3 +57,7 @@ def test_nan_option_keeps_literal_nan(inputs):
     lit = S.stage(inputs.raw, nan="propagate")
     assert lit.where(F.isnan("weight_min_kg")).count() > 0
     assert inputs.stg.where(F.isnan("weight_min_kg")).count() == 0
+
+
+def test_staging_column_order(inputs):
+    assert tuple(inputs.stg.columns) == S.STAGING_COLUMNS

@@ -24,25 +24,6 @@ def items(text: Column, sep: str = SEPARATOR) -> Column:
     return F.coalesce(parts, F.array().cast("array<string>"))
 
 
-def lexicon_hits(lowered_items: str, lexicon) -> Column:
-    """Number of items of the lower-cased array column ``lowered_items`` in ``lexicon``; bigint.
-
-    Written as one SQL expression: a single JVM call however long the lexicon.
-    """
-    words = ", ".join("'" + w.replace("'", "''") + "'" for w in lexicon)
-    return F.expr(f"cast(size(filter(`{lowered_items}`, x -> x IN ({words}))) as bigint)")
-
-
-def with_item_arrays(df, text: str, sep: str = SEPARATOR):
-    """Add ``_trait_items`` and ``_trait_low`` once, in their own projections.
-
-    Catalyst keeps them separate (higher-order functions are not cheap to
-    inline), so every count reads the arrays instead of re-splitting.
-    """
-    df = df.withColumn("_trait_items", items(F.col(text), sep))
-    return df.withColumn("_trait_low", F.transform(F.col("_trait_items"), lambda x: F.lower(x)))
-
-
 def _member_of(lexicon):
     """One-argument predicate (PySpark reads a lambda's arity)."""
     return lambda x: x.isin(*lexicon)

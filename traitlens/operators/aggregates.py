@@ -78,10 +78,3 @@ def slider_bounds(df: DataFrame, column: str, default_low: float = 0.0,
         F.when(same, F.greatest(F.lit(0.0), lo1 - F.lit(1.0))).otherwise(lo1).alias("min_w"),
         F.when(same, hi1 + F.lit(1.0)).otherwise(hi1).alias("max_w"),
     )
-
-
-def distinct_values(df: DataFrame, column: str, facet: str | None = None) -> DataFrame:
-    """Distinct non-NULL, non-empty values of a column (AGG-10)."""
-    c = F.col(column)
-    out = df.where(c.isNotNull() & (c != "")).select(c.alias("value")).distinct()
-    return out.select(F.lit(facet or column).alias("facet"), "value")

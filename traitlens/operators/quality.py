@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from traitlens.operators.joins import anti_join
+
 ROW_KINDS = ("not_null", "accepted_values", "accepted_range", "expression_is_true")
 
 
@@ -139,7 +141,7 @@ def orphan_keys(child: DataFrame, parent: DataFrame, rule: Rule) -> DataFrame:
     keys = (child.where(c.isNotNull()).groupBy(c.alias("child_key"))
             .agg(F.count(F.lit(1)).alias("n_rows")))
     parents = parent.select(F.col(rule.parent_column).alias("child_key"))
-    return (keys.join(parents, "child_key", "left_anti")
+    return (anti_join(keys, parents, "child_key")
             .select(F.lit(rule.name).alias("test_name"), F.col("child_key").cast("bigint"), "n_rows"))
 
 
@@ -211,13 +213,13 @@ def star_consistency(dim: DataFrame, others: dict[str, DataFrame], key: str, lab
     parts = []
     for name, other in others.items():
         other_keys = other.select(key).distinct()
-        parts.append(dim_keys.join(other_keys, key, "left_anti")
+        parts.append(anti_join(dim_keys, other_keys, key)
                      .select(F.lit(name).alias("issue_type"), key, label,
                              F.lit("missing_breed").alias("issue_description")))
     for name, other in others.items():
         lab = F.min(label) if label in other.columns else F.lit(None).cast("string")
         labelled = other.groupBy(key).agg(lab.alias(label))
-        parts.append(labelled.join(dim.select(key), key, "left_anti")
+        parts.append(anti_join(labelled, dim.select(key), key)
                      .select(F.lit(name).alias("issue_type"), key, label,
                              F.lit("orphaned_record").alias("issue_description")))
     out = parts[0]

@@ -46,6 +46,24 @@ def top_traits(profiles: DataFrame, filters: Filters = Filters(), k: int = 15) -
             .orderBy(F.desc("occurrences"), F.asc("temperament_trait")).limit(k))
 
 
+def top_traits_stored(dim: DataFrame, traits: DataFrame, filters: Filters = Filters(),
+                      k: int = 15) -> DataFrame:
+    """RPT-3 over stored marts: trait rows restricted to the filtered profiles.
+
+    The filtered dimension only supplies keys, so it is a semi-join (JN-6):
+    trait rows are never duplicated. Stored marts are bucketed by breed_id,
+    so the semi-join reads co-partitioned buckets.
+    """
+    from traitlens.operators.joins import semi_join
+
+    keys = dim.where(filters.profile_predicate(dim)).select("breed_id")
+    rows = (semi_join(traits.where(filters.trait_predicate() & (F.col("total_traits") > 0)), keys, "breed_id")
+            .select(F.explode("trait_array").alias("trait")))
+    return (rows.groupBy(F.lower(F.trim("trait")).alias("temperament_trait"))
+            .agg(F.count(F.lit(1)).alias("occurrences"))
+            .orderBy(F.desc("occurrences"), F.asc("temperament_trait")).limit(k))
+
+
 # --------------------------------------------------------------- analyses
 def family_by_size(profiles: DataFrame) -> DataFrame:
     """RPT-4: family-suited profiles per size band, with the top-3 names."""

@@ -41,8 +41,15 @@ def stage_view(stg: DataFrame, name: str = "stg_profiles") -> str:
 
 
 def write_mart(df: DataFrame, table: str, buckets: int = 8, partition_by_date: bool = False) -> str:
-    """SNK-4, SNK-6: overwrite a mart table, bucketed and sorted by breed_id."""
-    w = df.write.mode("overwrite").format("parquet").bucketBy(buckets, MART_KEY).sortBy(MART_KEY)
+    """SNK-4, SNK-6: overwrite a mart table, bucketed and sorted by breed_id.
+
+    Hash-partitioning on the key into ``buckets`` partitions first (the same
+    hash the bucketing uses) makes every task write exactly one bucket file,
+    instead of up to tasks x buckets small files.
+    """
+    keys = [MART_KEY, "extraction_date"] if partition_by_date else [MART_KEY]
+    w = (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
+         .bucketBy(buckets, MART_KEY).sortBy(MART_KEY))
     if partition_by_date:
         w = w.partitionBy("extraction_date")
     w.saveAsTable(table)

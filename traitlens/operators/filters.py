@@ -22,8 +22,9 @@ def conjunction(preds: list[Column]) -> Column:
 class Filters:
     """Dashboard selections over the profile frame.
 
-    ``weight_range=None`` means "the facet bounds": min/max of avg_weight_kg,
-    resolved by one single-row aggregate. The weight predicate is always
+    ``weight_range=None`` means "the facet bounds": min/max of avg_weight_kg
+    over the same frame, which every non-NULL weight satisfies (see
+    ``profile_predicate``). The weight predicate is always
     applied, as on the dashboard, so NULL weights drop out unless
     ``keep_null_weight`` is set.
     """
@@ -45,17 +46,14 @@ class Filters:
             preds.append(F.col("size_category").isin(*self.sizes))
         w = F.col(self.weight_column)
         if self.weight_range is None:
-            from traitlens.operators.aggregates import slider_bounds
-
-            # The facet bounds are one aggregated row, read once (as the dashboard
-            # does to place its slider) and applied as literals. A scalar
-            # subquery referenced from both ends of BETWEEN was planned and
-            # run more than once.
-            b = slider_bounds(profiles, self.weight_column).first()
-            lo, hi = F.lit(b.min_w), F.lit(b.max_w)
+            # The default slider spans the facet bounds, i.e. min..max of this
+            # same column over this same frame (widened when equal). Every
+            # non-NULL value lies inside, so the range test is exactly
+            # IS NOT NULL: no bounds job is needed.
+            in_range = w.isNotNull()
         else:
             lo, hi = F.lit(float(self.weight_range[0])), F.lit(float(self.weight_range[1]))
-        in_range = w.between(lo, hi)
+            in_range = w.between(lo, hi)
         preds.append(in_range | w.isNull() if self.keep_null_weight else in_range)
         preds.extend(self.extra)
         return conjunction(preds)

@@ -145,37 +145,46 @@ def orphan_keys(child: DataFrame, parent: DataFrame, rule: Rule) -> DataFrame:
             .select(F.lit(rule.name).alias("test_name"), F.col("child_key").cast("bigint"), "n_rows"))
 
 
+def by_frame(tables: dict[str, DataFrame], rules: list[Rule]) -> list[tuple[DataFrame, list[Rule]]]:
+    """Rules grouped by the DataFrame they run on (tables may share one frame)."""
+    groups: dict[int, tuple[DataFrame, list[Rule]]] = {}
+    for r in rules:
+        df = tables[r.table]
+        groups.setdefault(id(df), (df, []))[1].append(r)
+    return list(groups.values())
+
+
 def summarize(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     """Failure count per rule: (table_name, test_name, kind, severity, failures, status).
 
-    Row rules of one table are counted in one aggregate over one scan; key
-    rules add one aggregate each.
+    Row rules over one DataFrame are counted in one aggregate (one scan, even
+    when several table names map to that frame); unique rules over one frame
+    share one (rule, key) aggregate; relationships add one anti-join each.
     """
     parts: list[DataFrame] = []
-    by_table: dict[str, list[Rule]] = {}
-    for r in rules:
-        by_table.setdefault(r.table, []).append(r)
-    for tname, trules in by_table.items():
-        df = tables[tname]
-        row_rules = [r for r in trules if r.kind in ROW_KINDS]
+
+    def entries(counts: DataFrame, rs: list[Rule]) -> DataFrame:
+        structs = [F.struct(F.lit(r.table).alias("table_name"), F.lit(r.name).alias("test_name"),
+                            F.lit(r.kind).alias("kind"), F.lit(r.severity).alias("severity"),
+                            F.coalesce(F.col(f"c{i}"), F.lit(0)).cast("bigint").alias("failures"))
+                   for i, r in enumerate(rs)]
+        return counts.select(F.inline(F.array(*structs)))
+
+    for df, rs in by_frame(tables, rules):
+        row_rules = [r for r in rs if r.kind in ROW_KINDS]
         if row_rules:
             counts = df.agg(*[F.count_if(r.violation()).alias(f"c{i}") for i, r in enumerate(row_rules)])
-            entries = [F.struct(F.lit(r.name).alias("test_name"), F.lit(r.kind).alias("kind"),
-                                F.lit(r.severity).alias("severity"), F.col(f"c{i}").alias("failures"))
-                       for i, r in enumerate(row_rules)]
-            parts.append(counts.select(F.inline(F.array(*entries)))
-                         .select(F.lit(tname).alias("table_name"), "*"))
-        for r in trules:
-            if r.kind == "unique":
-                failed = duplicate_keys(df, r).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint"))
-            elif r.kind == "relationships":
-                failed = orphan_keys(df, tables[r.parent], r).agg(
-                    F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint"))
-            else:
-                continue
-            parts.append(failed.select(F.lit(tname).alias("table_name"), F.lit(r.name).alias("test_name"),
-                                       F.lit(r.kind).alias("kind"), F.lit(r.severity).alias("severity"),
-                                       F.col(failed.columns[0]).alias("failures")))
+            parts.append(entries(counts, row_rules))
+        uniques = [r for r in rs if r.kind == "unique"]
+        if uniques:
+            dups = duplicate_keys_all(df, uniques)
+            counts = dups.agg(*[F.sum(F.when(F.col("test_name") == r.name, F.col("n_rows"))).alias(f"c{i}")
+                                for i, r in enumerate(uniques)])
+            parts.append(entries(counts, uniques))
+        for r in rs:
+            if r.kind == "relationships":
+                failed = orphan_keys(df, tables[r.parent], r).agg(F.sum("n_rows").alias("c0"))
+                parts.append(entries(failed, [r]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -58,6 +58,10 @@ class Inputs:
     def fct(self) -> DataFrame:
         return S.fct_metrics(self.stg)
 
+    @cached_property
+    def star(self) -> DataFrame:
+        return S.star_frame(self.stg)
+
     @cached_property
     def dim(self) -> DataFrame:
         return S.dim_profiles(self.stg)
@@ -169,7 +173,7 @@ def dim_traits(i: Inputs) -> DataFrame:
     f"select size_category, count(*) as breed_count from prof where {_filters_sql(Filters())}"
     " group by size_category", _PROFILES + _BOUNDS))
 def size_distribution(i: Inputs) -> DataFrame:
-    return R.size_distribution(i.profiles, Filters())
+    return R.size_distribution(i.dim, Filters())
 
 
 @register("longest_lived", _with(
@@ -177,7 +181,7 @@ def size_distribution(i: Inputs) -> DataFrame:
     " and avg_life_span_years is not null order by avg_life_span_years desc, breed_name limit 10",
     _PROFILES))
 def longest_lived(i: Inputs) -> DataFrame:
-    return R.longest_lived(i.profiles, LONGEST_LIVED_FILTERS)
+    return R.longest_lived(i.dim, LONGEST_LIVED_FILTERS)
 
 
 @register("top_traits", _with(
@@ -217,7 +221,7 @@ select 'Longevity by Breed Group' as analysis_type, breed_group, count(*) as bre
        max(avg_life_span_years) as max_lifespan
 from dim where avg_life_span_years is not null group by breed_group"""))
 def longevity_by_group(i: Inputs) -> DataFrame:
-    return R.longevity_by_group(i.profiles)
+    return R.longevity_by_group(i.dim)
 
 
 @register("training_scores", _with(f"""
@@ -268,7 +272,7 @@ select 'Data Quality Summary' as analysis_type, 'Overall' as category, count(*)
        round(avg(data_completeness_score), 2) as avg_completeness_score
 from dim"""))
 def quality_summary(i: Inputs) -> DataFrame:
-    return R.quality_summary(i.profiles)
+    return R.quality_summary(i.dim)
 
 
 # Documented queries ------------------------------------------------------------
@@ -316,7 +320,7 @@ def facet_values(i: Inputs) -> DataFrame:
 
 @register("facet_bounds", _with("select min_w, max_w from bounds", _PROFILES + _BOUNDS))
 def facet_bounds(i: Inputs) -> DataFrame:
-    return R.facet_bounds(i.profiles)
+    return R.facet_bounds(i.dim)
 
 
 # Quality ---------------------------------------------------------------------
@@ -330,6 +334,11 @@ def _star_tables(i: Inputs) -> dict[str, DataFrame]:
     return {"stg_profiles": i.stg, "dim_profiles": i.dim, "fct_metrics": i.fct, "dim_traits": i.traits}
 
 
+def _rule_tables(i: Inputs) -> dict[str, DataFrame]:
+    """Model name -> frame: staging, dimension and fact rules share one scan, traits one more."""
+    return {"stg_profiles": i.star, "dim_profiles": i.star, "fct_metrics": i.star, "dim_traits": i.traits}
+
+
 def _violation_sql(r: Q.Rule) -> str:
     c = r.column
     if r.kind == "not_null":
@@ -360,11 +369,9 @@ def _rules(kind: str) -> list[Q.Rule]:
 
 def _failing_rows_query(kind: str):
     def run(i: Inputs) -> DataFrame:
-        tables = _star_tables(i)
-        by_table: dict[str, list[Q.Rule]] = {}
-        for r in _rules(kind):
-            by_table.setdefault(r.table, []).append(r)
-        parts = [Q.failing_rows_all(tables[t], rs, "breed_id") for t, rs in by_table.items()]
+        # the models are 1:1 projections of staging: one scan per frame, not per model
+        tables = _rule_tables(i)
+        parts = [Q.failing_rows_all(df, rs, "breed_id") for df, rs in Q.by_frame(tables, _rules(kind))]
         out = parts[0]
         for part in parts[1:]:
             out = out.unionByName(part)
@@ -391,14 +398,8 @@ _PART_NAME_RULE = Q.unique("part", "p_name")
 @register("dq_unique", _with("\nunion all\n".join(
     [_unique_sql(r, _SQL_TABLE[r.table]) for r in _rules("unique")] + [_unique_sql(_PART_NAME_RULE, "part")])))
 def dq_unique(i: Inputs) -> DataFrame:
-    tables = _star_tables(i)
     out = Q.duplicate_keys(i.table("part"), _PART_NAME_RULE)
-    by_table: dict[str, list[Q.Rule]] = {}
-    for r in _rules("unique"):
-        by_table.setdefault(r.table, []).append(r)
-    for t, rs in by_table.items():
-        out = out.unionByName(Q.duplicate_keys_all(tables[t], rs))
-    return out
+    return out.unionByName(Q.duplicate_keys_all(i.star, _rules("unique")))
 
 
 _NATIVE_RELATIONSHIPS = (
@@ -442,7 +443,7 @@ def _summary_sql() -> str:
 
 @register("dq_summary", _summary_sql())
 def dq_summary(i: Inputs) -> DataFrame:
-    return Q.summarize(_star_tables(i), QR.star_rules())
+    return Q.summarize(_rule_tables(i), QR.star_rules())
 
 
 @register("dq_recency", _with(f"""

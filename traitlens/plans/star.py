@@ -222,6 +222,23 @@ def profile_frame(stg: DataFrame, fct_columns: dict[str, str] | None = None) ->
     return _with_items(stg).select(*[v.alias(k) for k, v in {**dim, **trait, **fct}.items()])
 
 
+def star_frame(stg: DataFrame) -> DataFrame:
+    """Columns of staging, the profile dimension and the fact in one projection.
+
+    Same-named columns agree across these models (1:1 projections of
+    staging), except the fact's unrounded averages, which are left out. Rules
+    written against any of the three can be evaluated on this one frame.
+    Trait columns are not included: they come from a generator, which Spark
+    cannot prune, so only frames that need them (``profile_frame``,
+    ``dim_traits``) carry it.
+    """
+    cols: dict[str, Column] = {c: F.col(c) for c in STAGING_COLUMNS}
+    cols.update(dim_columns())
+    fct = fct_columns()
+    cols.update({k: v for k, v in fct.items() if k not in cols and not k.startswith("avg_")})
+    return stg.select(*[v.alias(k) for k, v in cols.items()])
+
+
 def join_marts(dim: DataFrame, traits_df: DataFrame) -> DataFrame:
     """``dim JOIN traits USING (breed_id)`` over stored marts (JN-1).
 

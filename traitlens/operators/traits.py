@@ -47,7 +47,10 @@ def trait_dimension_exploded(stg: DataFrame) -> DataFrame:
     """The trait dimension computed by unnest + group + left join back (TRT-5).
 
     Same result as the array form in ``plans.star.dim_traits`` on unique
-    keys; kept as the reference implementation of the explode form.
+    keys (guarded by the unique rule on breed_id); kept as the reference
+    implementation of the explode form. Its sorted item array collects one
+    key's items, which is bounded only because keys are unique; for inputs
+    with repeated keys use the counts (``lexicon_counts``), never the array.
     """
     keys = ["breed_id"]
     items = explode_items(stg, keys, "temperament_raw", item="trait")

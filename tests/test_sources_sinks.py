@@ -93,3 +93,18 @@ def test_streaming_ingest_available_now(spark, tmp_path):
     archive = spark.read.json(str(tmp_path / "archive"))
     assert sorted(r.extraction_date for r in archive.select(F.col("extraction_date").cast("string"))
                   .collect()) == ["2025-08-26", "2025-08-27"]
+
+
+def test_staging_runs_on_a_stream(spark, tmp_path):
+    from traitlens.plans.star import stage
+
+    land = str(tmp_path / "land")
+    _landed(land, RECORDS)
+    stream = RAW.stamp(RAW.flatten(spark.readStream.schema(RAW.NESTED_SCHEMA).json(land)),
+                       dt.datetime(2025, 8, 26, 12), "load-s")
+    q = (stage(stream).writeStream.format("memory").queryName("staged_stream")
+         .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = {r.breed_id: r for r in spark.table("staged_stream").collect()}
+    assert rows[1].weight_min_lbs == 6.0 and rows[1].size_category == "Small"
+    assert rows[2].life_span_max_years == 14 and rows[2].size_category == "Extra Large"

@@ -533,13 +533,13 @@ EVENT_LEXICONS = {"engagement": ("view", "click"), "conversion": ("signup", "pur
                       f" / count(event_type) else 0 end as double) as {k}_share" for k, v in EVENT_LEXICONS.items())
           + " from events where event_type is not null and trim(event_type) <> '' group by user_id")
 def user_event_shares(i: Inputs) -> DataFrame:
-    from traitlens.operators.traits import explode_items, lexicon_counts, lexicon_shares
+    from traitlens.operators.traits import lexicon_counts, lexicon_shares
+    # events already arrive one item per row: the explode form without the explode
     ev = i.table("events").select("user_id", F.col("event_type"))
-    items = ev.where(F.col("event_type").isNotNull()).select("user_id", F.trim("event_type").alias("item")) \
-        .where(F.col("item") != "")
+    items = (ev.where(F.col("event_type").isNotNull())
+             .select("user_id", F.trim("event_type").alias("item")).where(F.col("item") != ""))
     counts = lexicon_counts(items, ["user_id"], "item", EVENT_LEXICONS,
                             {k: f"{k}_count" for k in EVENT_LEXICONS}, total="total_events")
-    _ = explode_items  # explode form entry point for delimited text inputs
     return lexicon_shares(counts, EVENT_LEXICONS, {k: f"{k}_count" for k in EVENT_LEXICONS},
                           {k: f"{k}_share" for k in EVENT_LEXICONS}, total="total_events")
 

@@ -207,16 +207,17 @@ def freshness(sources: dict[str, tuple[DataFrame, str]], now: _dt.datetime) -> D
     return out
 
 
-def metric_report(metrics: list[tuple[str, DataFrame]], now: _dt.datetime) -> DataFrame:
-    """RPT-15: (metric, value, measured_at) rows; bigint and double values -> double."""
+def metric_report(df: DataFrame, metrics: list[tuple[str, Column]], now: _dt.datetime) -> DataFrame:
+    """RPT-15: (metric, value, measured_at) rows; bigint and double values -> double.
+
+    All metrics are aggregates over ``df`` computed in ONE pass, then
+    unpivoted into one row per metric.
+    """
     now_lit = F.lit(now).cast("timestamp_ntz")
-    out = None
-    for name, one_row in metrics:
-        (value,) = one_row.columns
-        part = one_row.select(F.lit(name).alias("metric"), F.col(value).cast("double").alias("value"),
-                              now_lit.alias("measured_at"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    one = df.agg(*[m.cast("double").alias(f"m{i}") for i, (_, m) in enumerate(metrics)])
+    rows = F.array(*[F.struct(F.lit(name).alias("metric"), F.col(f"m{i}").alias("value"))
+                     for i, (name, _) in enumerate(metrics)])
+    return one.select(F.inline(rows)).withColumn("measured_at", now_lit)
 
 
 def loads_per_day(df: DataFrame, ts: str, date_col: str | None = None) -> DataFrame:

@@ -60,3 +60,18 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(srows) == len(orows)
     assert _bag(df.columns, srows) == _bag(ocols, orows)
+
+
+_TYPES = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+          "BooleanType": "BOOLEAN", "TimestampType": "TIMESTAMP", "TimestampNTZType": "TIMESTAMP",
+          "DateType": "DATE", "ArrayType": "VARCHAR[]"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_types_match_oracle(spark, duck, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    spark_types = {f.name: _TYPES.get(type(f.dataType).__name__, type(f.dataType).__name__)
+                   for f in df.schema.fields}
+    res = duck.execute(f"select * from ({E.oracle_sql()[name]}) limit 0")
+    oracle_types = {d[0]: str(d[1]) for d in res.description}
+    assert spark_types == oracle_types

@@ -166,7 +166,8 @@ def recommend(requests: DataFrame, text: str, ctx: DataFrame, key: str,
                                                         "breed_name", "score")
     req = requests_with_intent(requests, text).select(key, "intent")
     # tops has at most 80 x k rows by construction: broadcast is size-bounded.
-    return req.join(F.broadcast(tops), "intent").select(key, "suggestion_rank", "breed_id", "breed_name", "score")
+    return req.join(F.broadcast(tops), "intent").select(
+        key, F.col("suggestion_rank").cast("bigint").alias("suggestion_rank"), "breed_id", "breed_name", "score")
 
 
 def _num_text(c: Column) -> Column:

@@ -73,3 +73,22 @@ def test_top_traits_on_stored_marts_equals_fused(inputs):
     fused = R.top_traits(inputs.profiles, f).collect()
     stored = R.top_traits_stored(S.dim_profiles(inputs.stg), S.dim_traits(inputs.stg), f).collect()
     assert [tuple(r) for r in fused] == [tuple(r) for r in stored]
+
+
+def test_dimension_join_broadcasts_only_with_proven_bound(spark):
+    from traitlens.operators.joins import dimension_join, has_at_most
+
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only explicit hints broadcast
+    try:
+        fact = spark.range(1000).select((F.col("id") % 50).alias("k"))
+        small = spark.range(50).withColumnRenamed("id", "k")
+        big = spark.range(5000).withColumnRenamed("id", "k")
+        assert has_at_most(small, 50) and not has_at_most(big, 50)
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan(dimension_join(fact, small, "k", max_rows=50))
+        assert "BroadcastHashJoin" not in plan(dimension_join(fact, big, "k", max_rows=50))
+        assert "BroadcastHashJoin" in plan(dimension_join(fact, small, "k", bounded_rows=50))
+        assert dimension_join(fact, small, "k", max_rows=50).count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)

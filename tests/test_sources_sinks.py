@@ -108,3 +108,19 @@ def test_staging_runs_on_a_stream(spark, tmp_path):
     rows = {r.breed_id: r for r in spark.table("staged_stream").collect()}
     assert rows[1].weight_min_lbs == 6.0 and rows[1].size_category == "Small"
     assert rows[2].life_span_max_years == 14 and rows[2].size_category == "Extra Large"
+
+
+def test_ingest_stamp_is_the_landing_time(spark, tmp_path):
+    land = str(tmp_path / "land")
+    _landed(land, RECORDS)
+    landed_at = dt.datetime(2025, 8, 26, 9, 30, 0)
+    for f in os.listdir(land):
+        os.utime(os.path.join(land, f), (landed_at.timestamp(), landed_at.timestamp()))
+    kw = dict(archive_dir=str(tmp_path / "archive"), bronze_dir=str(tmp_path / "bronze"),
+              checkpoint=str(tmp_path / "ckpt"))
+    assert run_ingest(spark, land, **kw) == 1
+    bronze = RAW.read_bronze(spark, str(tmp_path / "bronze")).collect()
+    # file times are read in the session zone (UTC); the stamp repeats on replay
+    assert {r.extracted_at for r in bronze} == {dt.datetime.fromtimestamp(landed_at.timestamp(), dt.timezone.utc)
+                                              .replace(tzinfo=None)}
+    assert {r.extraction_date for r in bronze} == {"2025-08-26"}

@@ -5,41 +5,55 @@ bronze. Here each scheduled run is ``trigger(availableNow=True)``: the
 stream picks up only files landed since the last run (tracked in the
 checkpoint), processes them as micro-batches, and stops. Each micro-batch
 is one load: stamped with ONE timestamp, archived under its date and load
-id (dynamic partition overwrite, so a replayed batch rewrites the same
-folder), and written as the new bronze table. The checkpoint lives in the
-cluster's shared checkpoint folder.
+id (dynamic partition overwrite), and written as the new bronze table.
+
+The stamp is the newest landing time (file modification time) of the
+batch's files, so a batch replayed after a failure gets the same stamp,
+the same archive folder and the same bronze rows. The checkpoint lives in
+the cluster's shared checkpoint folder.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
 import os
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from traitlens.session import checkpoint_dir
 from traitlens.sources.raw import NESTED_SCHEMA, flatten, stamp
 from traitlens.sources.sinks import archive_raw, replace_bronze
 
 
+LANDED_AT = "_landed_at"
+
+
 def landed_stream(spark: SparkSession, landing_dir: str, max_files: int | None = None) -> DataFrame:
     """Flattened streaming DataFrame over landed JSON files (explicit schema)."""
     reader = spark.readStream.schema(NESTED_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return flatten(reader.json(landing_dir))
+    landed = reader.json(landing_dir).select("*", F.col("_metadata.file_modification_time").alias(LANDED_AT))
+    return flatten(landed)
 
 
 def run_ingest(spark: SparkSession, landing_dir: str, archive_dir: str, bronze_dir: str,
-               checkpoint: str | None = None, load_prefix: str = "load",
-               clock=lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)) -> int:
-    """Process every newly landed file, then stop. Returns the number of batches run."""
+               checkpoint: str | None = None, load_prefix: str = "load", clock=None) -> int:
+    """Process every newly landed file, then stop. Returns the number of batches run.
+
+    ``clock`` (a no-argument callable) overrides the landing-time stamp.
+    """
     checkpoint = checkpoint or os.path.join(checkpoint_dir(spark), "traitlens-ingest")
     batches: list[int] = []
 
     def write_load(batch: DataFrame, batch_id: int) -> None:
-        loaded = stamp(batch, clock(), f"{load_prefix}-{batch_id}").persist(StorageLevel.MEMORY_AND_DISK)
+        if clock is not None:
+            ts = clock()
+        else:   # one aggregated row: the newest landing time of this batch's files
+            ts = batch.agg(F.max(LANDED_AT)).first()[0]
+        loaded = (stamp(batch.drop(LANDED_AT), ts, f"{load_prefix}-{batch_id}")
+                  .persist(StorageLevel.MEMORY_AND_DISK))
         try:
             archive_raw(loaded, archive_dir)
             replace_bronze(loaded, bronze_dir)

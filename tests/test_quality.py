@@ -102,3 +102,12 @@ def test_duplicate_keys_all_equals_single_rules(spark):
     one = Q.duplicate_keys_all(df, rules)
     single = Q.duplicate_keys(df, rules[0]).unionByName(Q.duplicate_keys(df, rules[1]))
     assert one.exceptAll(single).count() == 0 and single.exceptAll(one).count() == 0
+
+
+def test_relationship_on_one_shared_frame_has_no_orphans(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "breed_id long")
+    rule = Q.relationships("child", "breed_id", "parent", "breed_id")
+    shared = Q.summarize({"child": df, "parent": df}, [rule]).first()
+    separate = Q.summarize({"child": df, "parent": spark.createDataFrame([(1,)], "breed_id long")}, [rule]).first()
+    assert shared.failures == 0 and shared.status == "pass"
+    assert separate.failures == 1 and separate.status == "fail"

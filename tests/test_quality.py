@@ -111,3 +111,10 @@ def test_relationship_on_one_shared_frame_has_no_orphans(spark):
     separate = Q.summarize({"child": df, "parent": spark.createDataFrame([(1,)], "breed_id long")}, [rule]).first()
     assert shared.failures == 0 and shared.status == "pass"
     assert separate.failures == 1 and separate.status == "fail"
+
+
+def test_recency_units(spark):
+    df = spark.createDataFrame([(dt.datetime(2025, 8, 26, 14, 0),)], "ts timestamp")
+    assert Q.recency(df, "ts", dt.datetime(2025, 8, 26, 15, 30), 2, "r", unit="hour").first().passed is True
+    assert Q.recency(df, "ts", dt.datetime(2025, 8, 26, 17, 0), 2, "r", unit="hour").first().passed is False
+    assert Q.recency(df, "ts", dt.datetime(2025, 8, 26, 14, 20), 30, "r", unit="minute").first().passed is True

@@ -124,3 +124,12 @@ def test_ingest_stamp_is_the_landing_time(spark, tmp_path):
     assert {r.extracted_at for r in bronze} == {dt.datetime.fromtimestamp(landed_at.timestamp(), dt.timezone.utc)
                                               .replace(tzinfo=None)}
     assert {r.extraction_date for r in bronze} == {"2025-08-26"}
+
+
+def test_star_partitioned_by_load_date(spark, inputs):
+    names = SNK.build_and_write_star(spark, inputs.raw, "profiles_dated", buckets=2, store_failures=False,
+                                     partition_by_date=True)
+    dim = spark.table(names["dim_profiles"])
+    assert dim.count() == inputs.raw.count()
+    parts = spark.sql(f"show partitions {names['dim_profiles']}").collect()
+    assert [r[0] for r in parts] == ["extraction_date=2025-08-26"]

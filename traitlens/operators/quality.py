@@ -209,10 +209,16 @@ def enforce(summary: DataFrame) -> DataFrame:
     return summary
 
 
-def recency(df: DataFrame, column: str, now: _dt.datetime, days: int, name: str) -> DataFrame:
-    """Newest value of ``column`` within ``days`` of ``now`` (DQ-7): one status row."""
+_UNITS = {"day": 0, "hour": 1, "minute": 2}
+
+
+def recency(df: DataFrame, column: str, now: _dt.datetime, interval: int, name: str,
+            unit: str = "day") -> DataFrame:
+    """Newest value of ``column`` within ``interval`` ``unit``s of ``now`` (DQ-7): one status row."""
     now_lit = F.lit(now).cast("timestamp_ntz")
-    threshold = now_lit - F.make_dt_interval(F.lit(days))
+    parts = [F.lit(0), F.lit(0), F.lit(0)]
+    parts[_UNITS[unit]] = F.lit(interval)
+    threshold = now_lit - F.make_dt_interval(*parts)
     newest = df.agg(F.max(F.col(column).cast("timestamp_ntz")).alias("newest"))
     return newest.select(F.lit(name).alias("test_name"), "newest", threshold.alias("threshold"),
                          F.coalesce(F.col("newest") >= threshold, F.lit(False)).alias("passed"))

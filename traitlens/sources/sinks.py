@@ -63,9 +63,12 @@ def ensure_schema(spark: SparkSession, schema: str) -> None:
 
 
 def build_and_write_star(spark: SparkSession, raw: DataFrame, schema: str, buckets: int = 8,
-                         store_failures: bool = True, enforce: bool = False) -> dict[str, str]:
+                         store_failures: bool = True, enforce: bool = False,
+                         partition_by_date: bool = False) -> dict[str, str]:
     """SNK-7: staging, three marts and their tests, in dependency order.
 
+    ``partition_by_date`` also partitions the dimension and the fact by
+    ``extraction_date`` (the trait mart carries no load date).
     Staging is persisted (memory and disk) for the three mart writes, so the
     raw input is parsed once; a lost executor's blocks are recomputed from
     lineage. Rules then run against the written tables; failing rows are
@@ -76,8 +79,8 @@ def build_and_write_star(spark: SparkSession, raw: DataFrame, schema: str, bucke
     try:
         stage_view(stg, "stg_profiles")
         names = {
-            "dim_profiles": write_mart(S.dim_profiles(stg), f"`{schema}`.dim_profiles", buckets),
-            "fct_metrics": write_mart(S.fct_metrics(stg), f"`{schema}`.fct_metrics", buckets),
+            "dim_profiles": write_mart(S.dim_profiles(stg), f"`{schema}`.dim_profiles", buckets, partition_by_date),
+            "fct_metrics": write_mart(S.fct_metrics(stg), f"`{schema}`.fct_metrics", buckets, partition_by_date),
             "dim_traits": write_mart(S.dim_traits(stg), f"`{schema}`.dim_traits", buckets),
         }
         tables = {"stg_profiles": stg, **{k: spark.table(v) for k, v in names.items()}}

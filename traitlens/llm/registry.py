@@ -6,10 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from traitlens.llm import url_filter
+from traitlens.llm import packing, pii, repetition, url_filter
 from traitlens.llm.common import table
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repetition counts and verdict of every document."""
+    return repetition.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in windows of 2048 ids, sources mixed in proportion to their tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans of every document."""
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of the fixed rule list for every page's URL."""
     rules = spark.createDataFrame(url_filter.RULES, "host string, path string, verdict string")
@@ -17,7 +39,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_url_filter,)}
+    return {f.__name__: f for f in (op1_repetition, op5_packing, op9_pii, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from traitlens.llm import packing, pii, repetition, url_filter
-from traitlens.llm.common import table
+from traitlens.llm import html_text, packing, pii, repetition, url_filter, warc
+from traitlens.llm.common import shared_path, table
 
 
 def tokenizer(name: str) -> str:
@@ -22,11 +22,21 @@ def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back; equal payloads are revisits."""
+    return warc.round_trip(table(spark, sf_dir, "pages"), shared_path(spark, "warc"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in windows of 2048 ids, sources mixed in proportion to their tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data spans of every document."""
     return pii.find_pii(table(spark, sf_dir, "documents"))
@@ -39,8 +49,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_repetition, op5_packing, op9_pii, op10_url_filter)}
+    return {f.__name__: f for f in (op1_repetition, op3_warc, op5_packing, op6_html_text, op9_pii, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_url_filter": url_filter.ORACLE}
+    return {"op3_warc": warc.ORACLE, "op10_url_filter": url_filter.ORACLE}

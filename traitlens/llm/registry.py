@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from traitlens.llm import html_text, packing, pii, repetition, url_filter, warc
+from traitlens.llm import decontam, html_text, packing, pii, repetition, url_filter, warc
 from traitlens.llm.common import shared_path, table
 
 
@@ -37,6 +37,11 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and the window's similarity."""
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data spans of every document."""
     return pii.find_pii(table(spark, sf_dir, "documents"))
@@ -49,7 +54,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_repetition, op3_warc, op5_packing, op6_html_text, op9_pii, op10_url_filter)}
+    return {f.__name__: f for f in (op1_repetition, op3_warc, op5_packing, op6_html_text, op7_decontamination, op9_pii, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:

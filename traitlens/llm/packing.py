@@ -10,8 +10,11 @@ windows are filled in parallel and without gaps.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +29,7 @@ END_ID = 1
 #: Fixed-point digits of a quantum.
 SHIFT = 16
 #: Ids of so many pieces are kept; then the store is emptied, which changes no result.
-PIECES_KEPT = 300_000
+PIECES_KEPT = 600_000
 
 
 class Tokenizer:
@@ -34,42 +37,62 @@ class Tokenizer:
 
     The vocabulary's rules drop white space and never join across it, so a text's
     ids are those of its ASCII-space-separated pieces in order (tested against whole texts).
+    A piece of Latin letters, perhaps with a full stop or comma, goes straight to
+    the vocabulary's merges in lower case; any other is encoded by all its rules.
     """
 
+    LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+    PLAIN = re.compile(f"([{LATIN}]+)([.,]?)")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer as Model
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.model = Model.from_file(path)
+        self.merge = self.model.model.tokenize
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.as_bytes = {i: as_bytes.pre_tokenize_str(chr(i))[0][0] for i in range(0xc0, 0x100)}
+        self.mark = {c: self._ids([c])[0] for c in (".", ",")} | {"": b""}
         self.clear()
 
     def clear(self) -> None:
         self.code: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
+        self.flat, self.sizes = array("H"), array("q")
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [array("H", e.ids).tobytes()
+                for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letters(self, word: str) -> bytes:
+        return array("H", [t.id for t in self.merge(
+            word if word.isascii() else word.translate(self.as_bytes))]).tobytes()
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        texts = [p.decode("utf-8", "surrogatepass") for p in pieces]
+        plain = [m and m.groups() for m in map(self.PLAIN.fullmatch, texts)]
+        lower = [m and m[0].lower() for m in plain]
+        known = {w: self._letters(w) for w in set(lower) if w}
+        other = iter(self._ids([t for t, m in zip(texts, plain) if not m]))
+        ids = [known[w] + self.mark[m[1]] if m else next(other) for w, m in zip(lower, plain)]
+        self.code.update(zip(pieces, range(len(self.sizes), len(self.sizes) + len(ids))))
+        self.flat.frombytes(b"".join(ids))
+        self.sizes.extend(len(x) // 2 for x in ids)
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.code) > PIECES_KEPT:
             self.clear()
         pieces = [words_of(t) for t in texts]
-        code = self.code
-        new = list(dict.fromkeys(w for ws in pieces for w in ws if w not in code))
-        for i in range(0, len(new), 20_000):
-            some = new[i:i + 20_000]
-            encoded = self.model.encode_batch([w.decode("utf-8", "surrogatepass") for w in some],
-                                              add_special_tokens=False)
-            for w, e in zip(some, encoded):
-                code[w] = len(self.ids)
-                self.ids.append(np.array(e.ids, np.uint16))
-        flat = np.concatenate((*self.ids, [END_ID])).astype(np.uint16)
-        sizes = np.fromiter(map(len, self.ids), np.int64, len(self.ids))
+        self._learn(list(set(chain.from_iterable(pieces)).difference(self.code)))
+        flat, sizes = np.array(self.flat), np.array(self.sizes)
         starts = np.cumsum(sizes) - sizes
-        out = []
-        for ws in pieces:
-            c = np.fromiter(map(code.__getitem__, ws), np.int64, len(ws))
-            n = sizes[c]
-            total = int(n.sum())
-            at = np.arange(total) + np.repeat(starts[c] - (np.cumsum(n) - n), n)
-            out.append(np.append(flat[at], np.uint16(END_ID)))
-        return out
+        counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        c = np.fromiter(map(self.code.__getitem__, chain.from_iterable(pieces)), np.int64, int(counts.sum()))
+        n = sizes[c]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(n) else 0
+        ids = flat[np.arange(total) + np.repeat(starts[c] - ends + n, n)]
+        cuts = np.concatenate(([0], ends))[np.cumsum(counts)]
+        return [np.append(x, np.uint16(END_ID)) for x in np.split(ids, cuts[:-1])] if len(texts) else []
 
 
 _tokenizers: dict[str, Tokenizer] = {}
@@ -85,8 +108,8 @@ def _tokenized(tokenizer_path: str):
         part = TaskContext.get().partitionId()
         served: dict[str | None, int] = {}
         for whole in batches:
-            for i in range(0, whole.num_rows, 512):
-                batch = whole.slice(i, 512)
+            for i in range(0, whole.num_rows, 1024):
+                batch = whole.slice(i, 1024)
                 ids = encode(batch.column(2).to_pylist())
                 before = []
                 for source, x in zip(batch.column(1).to_pylist(), ids):
@@ -171,7 +194,7 @@ def pack(docs: DataFrame, tokenizer_path: str, weights: dict[str | None, float]
                 row, columns = [], [[], [], [], [], []]
                 for j, (src, at, n, raw) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(1, 5)))):
                     start, length, place = pieces_of(number[src], at, n, quanta, total, window)
-                    data = memoryview(np.frombuffer(raw, "<u2").astype("<u4")).cast("B")
+                    data = np.frombuffer(raw, "<u2").astype("<u4").tobytes()
                     crc = [zlib.crc32(data[4 * a:4 * (a + m)]) for a, m in zip(start.tolist(), length.tolist())]
                     row.append(np.full(len(crc), j))
                     for c, x in zip(columns, (start, length, crc, np.full(len(crc), n), place)):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from traitlens.llm import decontam, html_text, packing, pii, repetition, url_filter, warc
+from traitlens.llm import decontam, html_text, jaccard_join, packing, pii, repetition, url_filter, warc
 from traitlens.llm.common import shared_path, table
 
 
@@ -27,6 +27,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), shared_path(spark, "warc"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and number of links of every document."""
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in windows of 2048 ids, sources mixed in proportion to their tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
@@ -54,7 +59,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_repetition, op3_warc, op5_packing, op6_html_text, op7_decontamination, op9_pii, op10_url_filter)}
+    return {f.__name__: f for f in (op1_repetition, op3_warc, op4_jaccard_join, op5_packing, op6_html_text, op7_decontamination, op9_pii, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:

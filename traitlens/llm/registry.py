@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from traitlens.llm import decontam, html_text, jaccard_join, packing, pii, repetition, url_filter, warc
+from traitlens.llm import (decontam, html_text, jaccard_join, kneser_ney, license_scan, packing, pii, repetition,
+                           url_filter, warc)
 from traitlens.llm.common import shared_path, table
 
 
@@ -22,6 +23,11 @@ def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and verdict of every document under a model of the trusted ones."""
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back; equal payloads are revisits."""
     return warc.round_trip(table(spark, sf_dir, "pages"), shared_path(spark, "warc"))
@@ -47,6 +53,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Own and inherited licence of every document."""
+    templates = spark.createDataFrame(license_scan.TEMPLATES, "name string, text string")
+    return license_scan.scan(table(spark, sf_dir, "documents"), templates, license_scan.document_path())
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data spans of every document."""
     return pii.find_pii(table(spark, sf_dir, "documents"))
@@ -59,7 +71,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_repetition, op3_warc, op4_jaccard_join, op5_packing, op6_html_text, op7_decontamination, op9_pii, op10_url_filter)}
+    return {f.__name__: f for f in (
+        op1_repetition, op2_kneser_ney, op3_warc, op4_jaccard_join, op5_packing, op6_html_text, op7_decontamination,
+        op8_license_scan, op9_pii, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -10,11 +10,12 @@ windows are filled in parallel and without gaps.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,27 @@ WINDOW = 2048
 END_ID = 1
 #: Fixed-point digits of a quantum.
 SHIFT = 16
-#: Ids of so many pieces are kept; then the store is emptied, which changes no result.
-PIECES_KEPT = 600_000
+#: Pieces of a generation whose ids are kept. Of the one before, only pieces that are met again are taken over.
+PIECES_KEPT = 300_000
+
+
+class _Kept:
+    """Ids of pieces, one after the other in a flat array."""
+
+    def __init__(self):
+        self.code: dict[bytes, int] = {}
+        self.flat, self.starts, self.sizes = array("H"), array("q"), array("q")
+
+    def get(self, piece: bytes) -> bytes | None:
+        i = self.code.get(piece)
+        return None if i is None else self.flat[self.starts[i]:self.starts[i] + self.sizes[i]].tobytes()
+
+    def add(self, pieces: list[bytes], ids: list[bytes]) -> None:
+        at, first = len(self.flat), len(self.sizes)
+        self.code.update(zip(pieces, range(first, first + len(ids))))
+        self.flat.frombytes(b"".join(ids))
+        self.sizes.extend(len(x) // 2 for x in ids)
+        self.starts.extend(accumulate(self.sizes[first:-1], initial=at) if ids else ())
 
 
 class Tokenizer:
@@ -45,6 +65,7 @@ class Tokenizer:
     PLAIN = re.compile(f"([{LATIN}]+)([.,]?)")
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads only hold memory
         from tokenizers import Tokenizer as Model
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -53,40 +74,38 @@ class Tokenizer:
         as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         self.as_bytes = {i: as_bytes.pre_tokenize_str(chr(i))[0][0] for i in range(0xc0, 0x100)}
         self.mark = {c: self._ids([c])[0] for c in (".", ",")} | {"": b""}
-        self.clear()
-
-    def clear(self) -> None:
-        self.code: dict[bytes, int] = {}
-        self.flat, self.sizes = array("H"), array("q")
+        self.old = self.now = _Kept()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("H", e.ids).tobytes()
                 for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _letters(self, word: str) -> bytes:
-        return array("H", [t.id for t in self.merge(
+        kept = self._met(word.encode())
+        return kept if kept is not None else array("H", [t.id for t in self.merge(
             word if word.isascii() else word.translate(self.as_bytes))]).tobytes()
 
+    def _met(self, piece: bytes) -> bytes | None:
+        kept = self.now.get(piece)
+        return self.old.get(piece) if kept is None else kept
+
     def _learn(self, pieces: list[bytes]) -> None:
-        texts = [p.decode("utf-8", "surrogatepass") for p in pieces]
-        plain = [m and m.groups() for m in map(self.PLAIN.fullmatch, texts)]
-        lower = [m and m[0].lower() for m in plain]
-        known = {w: self._letters(w) for w in set(lower) if w}
-        other = iter(self._ids([t for t, m in zip(texts, plain) if not m]))
-        ids = [known[w] + self.mark[m[1]] if m else next(other) for w, m in zip(lower, plain)]
-        self.code.update(zip(pieces, range(len(self.sizes), len(self.sizes) + len(ids))))
-        self.flat.frombytes(b"".join(ids))
-        self.sizes.extend(len(x) // 2 for x in ids)
+        ids = [self.old.get(p) for p in pieces]
+        texts = [None if x is not None else p.decode("utf-8", "surrogatepass") for p, x in zip(pieces, ids)]
+        plain = [t and (m := self.PLAIN.fullmatch(t)) and (m[1].lower(), m[2]) for t in texts]
+        known = {w: self._letters(w) for w in {m[0] for m in plain if m}}
+        other = iter(self._ids([t for t, m in zip(texts, plain) if t is not None and not m]))
+        self.now.add(pieces, [x if x is not None else known[m[0]] + self.mark[m[1]] if m else next(other)
+                              for x, m in zip(ids, plain)])
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.code) > PIECES_KEPT:
-            self.clear()
+        if len(self.now.code) > PIECES_KEPT:
+            self.old, self.now = self.now, _Kept()
         pieces = [words_of(t) for t in texts]
-        self._learn(list(set(chain.from_iterable(pieces)).difference(self.code)))
-        flat, sizes = np.array(self.flat), np.array(self.sizes)
-        starts = np.cumsum(sizes) - sizes
+        self._learn(list(set(chain.from_iterable(pieces)).difference(self.now.code)))
+        flat, starts, sizes = map(np.array, (self.now.flat, self.now.starts, self.now.sizes))
         counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        c = np.fromiter(map(self.code.__getitem__, chain.from_iterable(pieces)), np.int64, int(counts.sum()))
+        c = np.fromiter(map(self.now.code.__getitem__, chain.from_iterable(pieces)), np.int64, int(counts.sum()))
         n = sizes[c]
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(n) else 0

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from traitlens.operators.filters import Filters  # noqa: E402
 from traitlens.sources.fixture import raw_profiles_from_part  # noqa: E402
-from traitlens.sources.tables import spread, table  # noqa: E402
+from traitlens.sources.tables import table  # noqa: E402
 
 KEY_STRIDE = 10_000_000   # offset between copies; driver part keys stay far below it
 
@@ -69,8 +69,7 @@ def main() -> int:
         timings.append((label, time.perf_counter() - t0, out if isinstance(out, str) else ""))
         return out
 
-    part = spread(grown_part(table(spark, args.sf_dir, "part"), args.copies), "p_partkey",
-                  min_partitions=args.cpus * 4)
+    part = grown_part(table(spark, args.sf_dir, "part"), args.copies).repartition(args.cpus * 4, "p_partkey")
     raw = raw_profiles_from_part(spark, part)
     n = timed("count raw profiles", lambda: str(raw.count()))
     names = timed("star build: staging + 3 bucketed marts + 58 rules + stored failures",

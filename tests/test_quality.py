@@ -58,6 +58,15 @@ def test_unique_and_relationships(spark):
     assert [(r.child_key, r.n_rows) for r in orphans] == [(9, 1)]
 
 
+def test_summary_evaluates_relationships_within_one_frame(spark):
+    df = spark.createDataFrame([(1, 1), (2, 1), (3, 9)], "k long, parent long")
+    rules = [Q.relationships("c", "parent", "c", "k"), Q.relationships("c", "k", "c", "k")]
+    out = Q.summarize({"c": df}, rules)
+    assert {r.test_name: r.failures for r in out.collect()} == {
+        "relationships__c__parent": 1, "relationships__c__k": 0}
+    assert "Range" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_enforce_raises_on_error_severity(inputs):
     summary = Q.summarize(_star_tables(inputs), star_rules())
     with pytest.raises(Q.QualityError):

@@ -1,7 +1,5 @@
 """Recommender: intents (FIXTURES F5) and batch result vs brute force."""
 
-import math
-
 from pyspark.sql import functions as F
 
 from traitlens import constants as K
@@ -30,58 +28,60 @@ def test_intent_table_has_80_rows():
     assert len(rows) == 80 and len({r[-1] for r in rows}) == 80
 
 
-def _brute_force(ctx_rows, text):
-    """Row-by-row scoring of every profile, as the interactive finder does."""
-    t = text.lower()
-    size_pref = None
-    for words, label in K.SIZE_WORDS:
-        if any(w in t for w in words):
-            size_pref = label
-            break
-    active = any(w in t for w in K.ACTIVE_WORDS)
-    calm = any(w in t for w in K.CALM_WORDS)
-    family = any(w in t for w in K.FAMILY_WORDS)
-    guard = any(w in t for w in K.GUARD_WORDS)
-    apartment = K.APARTMENT_WORD in t
-    scored = []
-    for r in ctx_rows:
-        s = 0
-        size = (r["size_category"] or "").lower()
-        traits = (r["temperament_traits"] or "").lower()
-        fam = (r["family_suitability"] or "").lower()
-        w = r["avg_weight_kg"]
-        if size_pref and size_pref in size:
-            s += 3
-        if apartment:
-            if size in ("small", "medium"):
-                s += 2
-            if w is not None and not math.isnan(w) and w <= 15:
-                s += 2
-        if family and fam in ("high", "medium"):
-            s += 3 if fam == "high" else 2
-        if active and any(x in traits for x in ("energetic", "active", "athletic")):
-            s += 2
-        if calm and any(x in traits for x in ("calm", "gentle", "laid back", "quiet")):
-            s += 2
-        if guard and any(x in traits for x in ("protective", "alert", "confident")):
-            s += 2
-        life = r["avg_life_span_years"]
-        if life is not None and life >= 12:
-            s += 1
-        scored.append((s, r["breed_name"], r["breed_id"]))
-    scored.sort(key=lambda x: (-x[0], x[1], x[2]))
-    top = [x for x in scored[:5] if x[0] > 0] or scored[:5]
-    return [(x[1], x[0]) for x in top]
-
-
-def test_batch_recommender_equals_brute_force(spark, inputs):
+# (intent, what a profile must have, points): the scoring rules as a table
+POINT_RULES = [
+    ("size", "size", 3), ("apartment", "small or medium", 2), ("apartment", "light", 2),
+    ("family", "family high", 3), ("family", "family medium", 2),
+    ("active", "active", 2), ("calm", "calm", 2), ("guard", "guard", 2), ("always", "long-lived", 1),
+]
+
+
+def _signals(row, size_pref):
+    text, size = row["temperament_traits"].lower(), row["size_category"].lower()
+    kg, years = row["avg_weight_kg"], row["avg_life_span_years"]
+    found = {f"family {row['family_suitability'].lower()}"}
+    found |= {"size"} if size_pref and size_pref in size else set()
+    found |= {"small or medium"} if size in ("small", "medium") else set()
+    found |= {"light"} if kg is not None and kg <= 15 else set()
+    found |= {"long-lived"} if years is not None and years >= 12 else set()
+    for signal, words in (("active", "energetic active athletic"), ("calm", "calm,gentle,laid back,quiet"),
+                          ("guard", "protective alert confident")):
+        if any(w in text for w in (words.split(",") if "," in words else words.split())):
+            found.add(signal)
+    return found
+
+
+def _expected(ctx_rows, intent, points=POINT_RULES):
+    size_pref, *flags = intent
+    wanted = {"always", "size"} | {n for n, f in zip(("apartment", "family", "active", "calm", "guard"), flags) if f}
+    ranked = sorted((-sum(p for i, s, p in points if i in wanted and s in _signals(r, size_pref)), r["breed_name"])
+                    for r in ctx_rows)[:5]
+    positive = [(n, -s) for s, n in ranked if s]
+    return positive or [(n, -s) for s, n in ranked]
+
+
+def test_batch_recommender_equals_rule_table(spark, inputs):
     ctx = context_frame(inputs.profiles, Filters())
     ctx_rows = [r.asDict() for r in ctx.collect()]
     req = spark.createDataFrame([(i, t[0]) for i, t in enumerate(F5)], "rid long, text string")
     got = REC.recommend(req, "text", ctx, "rid").orderBy("rid", "suggestion_rank").collect()
     for i, t in enumerate(F5):
-        mine = [(r.breed_name, r.score) for r in got if r.rid == i]
-        assert mine == _brute_force(ctx_rows, t[0]), t[0]
+        assert [(r.breed_name, r.score) for r in got if r.rid == i] == _expected(ctx_rows, t[1:]), t[0]
+
+
+def test_family_points_reach_the_score(spark, inputs):
+    ctx = context_frame(inputs.profiles, Filters())
+    req = spark.createDataFrame([(0, "a dog for kids")], "rid long, text string")
+    points = {"excellent for families": 3, "good for families": 2}
+    top = REC.recommend(req, "text", ctx, "rid", family_points=points).first()
+    assert top.score >= 3
+
+
+def test_empty_context_answers_every_request(spark, inputs):
+    ctx = context_frame(inputs.profiles, Filters()).where("false")
+    req = spark.createDataFrame([(0, F5[0][0]), (1, "")], "rid long, text string")
+    got = REC.recommend_text(req, "text", ctx, "rid").collect()
+    assert {r.rid: r.suggestions for r in got} == {0: K.REC_EMPTY, 1: K.REC_EMPTY}
 
 
 def test_recommend_text_lines(spark, inputs):

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from traitlens.plans import registry as R
 from traitlens.sources.tables import TABLES, table_path
 
 from conftest import SF_SMALL
@@ -46,11 +47,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(R.queries()) - set(R.oracle_sql())
     assert not missing, missing
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(R.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
@@ -67,7 +68,7 @@ _TYPES = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE"
           "DateType": "DATE", "ArrayType": "VARCHAR[]"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(R.queries()))
 def test_query_types_match_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     spark_types = {f.name: _TYPES.get(type(f.dataType).__name__, type(f.dataType).__name__)

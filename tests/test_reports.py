@@ -76,19 +76,40 @@ def test_top_traits_on_stored_marts_equals_fused(inputs):
 
 
 def test_dimension_join_broadcasts_only_with_proven_bound(spark):
-    from traitlens.operators.joins import dimension_join, has_at_most
+    from traitlens.operators.joins import dimension_join
 
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only explicit hints broadcast
     try:
         fact = spark.range(1000).select((F.col("id") % 50).alias("k"))
         small = spark.range(50).withColumnRenamed("id", "k")
-        big = spark.range(5000).withColumnRenamed("id", "k")
-        assert has_at_most(small, 50) and not has_at_most(big, 50)
         plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan(dimension_join(fact, small, "k", max_rows=50))
-        assert "BroadcastHashJoin" not in plan(dimension_join(fact, big, "k", max_rows=50))
+        assert "BroadcastHashJoin" not in plan(dimension_join(fact, small, "k"))
         assert "BroadcastHashJoin" in plan(dimension_join(fact, small, "k", bounded_rows=50))
-        assert dimension_join(fact, small, "k", max_rows=50).count() == 1000
+        assert dimension_join(fact, small, "k").count() == 1000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_excerpt_of_an_empty_context_and_of_a_hot_segment(spark):
+    from traitlens import constants as K
+    from traitlens.plans.context import grounding_excerpt
+
+    schema = ("breed_id long, breed_name string, breed_group string, size_category string, avg_weight_kg double, "
+              "avg_life_span_years double, family_suitability string, temperament_traits string")
+    empty = grounding_excerpt(spark.createDataFrame([], schema), max_rows=80).collect()
+    assert [(r.n_rows, r.excerpt) for r in empty] == [(0, K.EXCERPT_EMPTY)]
+    hot = spark.range(3000).select(F.col("id").alias("breed_id"), F.format_string("n%05d", "id").alias("breed_name"),
+                                   F.lit("g").alias("breed_group"), F.lit("s").alias("size_category"),
+                                   F.lit(1.0).alias("avg_weight_kg"), F.lit(1.0).alias("avg_life_span_years"),
+                                   F.lit("f").alias("family_suitability"), F.lit("t").alias("temperament_traits"))
+    row = grounding_excerpt(hot, max_rows=3).first()
+    assert row.n_rows == 3000 and row.excerpt.count("- breed: ") == 3 and "2997 more rows" in row.excerpt
+    assert [f"n0000{i}" in row.excerpt for i in range(4)] == [True, True, True, False]
+
+
+def test_context_is_uncapped_unless_asked(inputs):
+    from traitlens.plans.context import context_frame, context_table
+
+    assert context_table(inputs.profiles).count() == context_frame(inputs.profiles).count()
+    assert context_table(inputs.profiles, limit=5).count() == 5

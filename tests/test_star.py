@@ -37,8 +37,8 @@ def test_star_build_has_no_join_or_aggregate_shuffle(inputs):
 def test_parse_error_flags_planted_rows(inputs):
     stg = inputs.stg
     bad = stg.where("parse_error").select("breed_id").collect()
-    # '35-70' weights and 'unknown' life spans are the only unreadable texts in the fixture
-    raw = inputs.raw.where("weight__imperial = '35-70' or life_span = 'unknown'").count()
+    # '35-70' and '12f' weights and 'unknown' life spans are the only unreadable texts in the fixture
+    raw = inputs.raw.where("weight__imperial in ('35-70', '12f') or life_span = 'unknown'").count()
     assert len(bad) == raw
 
 

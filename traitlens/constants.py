@@ -157,6 +157,7 @@ EXCERPT_HEAD = (
     "family_suitability | temperament_traits",
 )
 EXCERPT_MAX_ROWS = 80
+REC_EMPTY = "I cannot suggest breeds because the dataset for the current filters is empty."
 EXCERPT_EMPTY = "No rows matched the current filters."
 CONTEXT_MAX_ROWS = 300
 

@@ -26,8 +26,14 @@ NAN_SENTINEL = "NaN"
 _OPEN_LOW = r"^up [-–] (\d+)$"
 
 
+# a decimal number, NaN or infinity; the cast alone would also take "12f" and "5d"
+_NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf(inity)?)\s*$"
+
+
 def _to_double(c: Column, strict: bool) -> Column:
-    return c.cast("double") if strict else c.try_cast("double")
+    if strict:
+        return F.when(c.rlike(_NUMBER) | c.isNull(), c).otherwise(F.lit("not a number")).cast("double")
+    return F.regexp_extract(c, _NUMBER, 0).try_cast("double")
 
 
 def is_blank(raw: Column) -> Column:

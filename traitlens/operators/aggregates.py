@@ -15,22 +15,30 @@ from pyspark.sql import functions as F
 
 
 def order_small(df: DataFrame, *order) -> DataFrame:
-    """ORDER BY for results bounded by a label's cardinality (a few groups).
+    """ORDER BY for results of a few aggregated rows.
 
-    A global sort range-partitions (a sampling job plus a shuffle); a result
-    of a handful of aggregated rows is instead gathered into one partition
-    without a shuffle and sorted there. Use ``orderBy`` for unbounded results.
+    The result rows move to one partition by an exchange of their own, so the
+    work below stays parallel, and are sorted there without the sampling job of
+    a global sort. Use ``orderBy`` for unbounded results.
     """
-    return df.coalesce(1).sortWithinPartitions(*order)
+    return df.repartition(1).sortWithinPartitions(*order)
 
 
 def top_k_per_group(df: DataFrame, group: list[str] | str, order: list[Column], k: int,
-                    rank_col: str = "rank") -> DataFrame:
+                    rank_col: str = "rank", salt: str | None = None, salts: int = 64) -> DataFrame:
     """Rows ranked 1..k within each group by ``order`` (ORD-3).
 
-    ``order`` must end in a unique key for deterministic ties.
+    ``order`` must end in a unique key for deterministic ties. With ``salt``
+    (a column spread over a group's rows) the first k of each of ``salts``
+    shares of a group are kept first, so the task that ranks a hot group gets
+    at most k * salts rows instead of k per input task.
     """
     groups = [group] if isinstance(group, str) else list(group)
+    if salt is not None:
+        share = F.pmod(F.xxhash64(salt), F.lit(salts))
+        first = Window.partitionBy(*groups, "_share").orderBy(*order)
+        df = (df.withColumn("_share", share).withColumn("_first", F.row_number().over(first))
+              .where(F.col("_first") <= k).drop("_share", "_first"))
     w = Window.partitionBy(*groups).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 
@@ -43,7 +51,7 @@ def ordered_names(df: DataFrame, group: list[str] | str, name: str, order: list[
     group holds at most k entries, so collecting it is bounded.
     """
     groups = [group] if isinstance(group, str) else list(group)
-    ranked = top_k_per_group(df, groups, order, k, rank_col="_rk")
+    ranked = top_k_per_group(df, groups, order, k, rank_col="_rk", salt=name)
     return (ranked.groupBy(*groups)
             .agg(F.array_join(
                 F.transform(F.array_sort(F.collect_list(F.struct(F.col("_rk"), F.col(name)))),

@@ -48,9 +48,8 @@ class Filters:
         if self.weight_range is None:
             # The default slider spans the facet bounds, i.e. min..max of this
             # same column over this same frame (widened when equal). Every
-            # non-NULL value lies inside, so the range test is exactly
-            # IS NOT NULL: no bounds job is needed.
-            in_range = w.isNotNull()
+            # value lies inside but NULL and NaN, so no bounds job is needed.
+            in_range = w.isNotNull() & ~F.isnan(w.cast("double"))
         else:
             lo, hi = F.lit(float(self.weight_range[0])), F.lit(float(self.weight_range[1]))
             in_range = w.between(lo, hi)

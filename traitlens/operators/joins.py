@@ -3,9 +3,8 @@
 Spark's planner already broadcasts a side whose estimated size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans with runtime
 sizes, so the default here is to let it decide. ``dimension_join``
-broadcasts only when the caller proves a row bound: either a bound that
-holds by construction (``bounded_rows``), or a cheap check that the side
-has at most ``max_rows`` rows. Beyond that the join stays a shuffle join.
+broadcasts only when the caller states a row bound that holds by
+construction (``bounded_rows``).
 """
 
 from __future__ import annotations
@@ -14,20 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows+1."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner", *,
-                   bounded_rows: int | None = None, max_rows: int | None = None) -> DataFrame:
+                   bounded_rows: int | None = None) -> DataFrame:
     """Join a fact to a dimension; broadcast the dimension only with a proven bound.
 
     ``bounded_rows``: the caller guarantees the dimension never exceeds this
-    many rows (e.g. a fixed code table). ``max_rows``: check it at run time.
+    many rows (e.g. a fixed code table).
     """
-    small = bounded_rows is not None or (max_rows is not None and has_at_most(dim, max_rows))
-    return fact.join(F.broadcast(dim) if small else dim, on, how)
+    return fact.join(F.broadcast(dim) if bounded_rows is not None else dim, on, how)
 
 
 def anti_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
@@ -40,7 +33,11 @@ def semi_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "left_semi")
 
 
-def latest_only(df: DataFrame, column: str) -> DataFrame:
-    """Rows whose ``column`` equals its maximum: an uncorrelated scalar subquery (JN-7)."""
-    return df.where(F.col(column) == df.select(F.max(column)).scalar())
+def latest_only(df: DataFrame, column: str, of: DataFrame | None = None) -> DataFrame:
+    """Rows whose ``column`` equals its maximum: an uncorrelated scalar subquery (JN-7).
+
+    ``of`` is the frame whose maximum counts, by default ``df``; name the
+    narrow source of a wide frame, so the subquery reads one column.
+    """
+    return df.where(F.col(column) == (df if of is None else of).select(F.max(column)).scalar())
 

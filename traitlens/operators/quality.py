@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,40 +100,40 @@ def failing_rows(df: DataFrame, rule: Rule, key: str) -> DataFrame:
 def failing_rows_all(df: DataFrame, rules: list[Rule], key: str) -> DataFrame:
     """Rows failing any of several row rules of one table, in ONE scan.
 
-    Each row carries the (test_name, value) of every rule it fails; the
-    array is filtered and exploded, so a row failing no rule emits nothing.
+    Rows that fail no rule are dropped first; a failing row then carries the
+    (test_name, value) of every rule it fails, which are exploded.
     """
-    entries = []
+    hits = []
     for r in rules:
         value = (F.col(r.column).cast("string") if r.kind != "expression_is_true"
                  else F.lit(None).cast("string"))
-        entries.append(F.struct(F.lit(r.name).alias("test_name"), value.alias("value"),
-                                r.violation().alias("bad")))
-    hits = F.filter(F.array(*entries), lambda e: e["bad"])
-    return (df.select(F.col(key).cast("bigint").alias("row_key"), F.explode(hits).alias("f"))
+        hits.append(F.when(r.violation(), F.struct(F.lit(r.name).alias("test_name"), value.alias("value"))))
+    failing = df.where(reduce(lambda a, b: a | b, [r.violation() for r in rules]))
+    return (failing.select(F.col(key).cast("bigint").alias("row_key"),
+                           F.explode(F.array_compact(F.array(*hits))).alias("f"))
             .select(F.col("f.test_name").alias("test_name"), "row_key", F.col("f.value").alias("value")))
 
 
 def duplicate_keys(df: DataFrame, rule: Rule) -> DataFrame:
     """Keys occurring more than once (NULL keys ignored): (test_name, value, n_rows)."""
     c = F.col(rule.column)
-    return (df.where(c.isNotNull()).groupBy(c.cast("string").alias("value"))
+    return (df.where(c.isNotNull()).groupBy(c.alias("value"))
             .agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
-            .select(F.lit(rule.name).alias("test_name"), "value", "n_rows"))
+            .select(F.lit(rule.name).alias("test_name"), F.col("value").cast("string").alias("value"), "n_rows"))
 
 
 def duplicate_keys_all(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """``duplicate_keys`` for several unique rules of one table in ONE scan.
+    """``duplicate_keys`` for several unique rules, one aggregate per distinct key column.
 
-    Each row emits one (rule, key) pair per rule; a single partial+final
-    aggregate on (rule, key) then counts them. Shuffle volume equals that of
-    separate checks; the table is read once.
+    Keys keep their own type in the shuffle; only those that repeat become
+    text. Rules of one frame on one column share its aggregate.
     """
-    pairs = F.array(*[F.struct(F.lit(r.name).alias("test_name"), F.col(r.column).cast("string").alias("value"))
-                      for r in rules])
-    return (df.select(F.inline(pairs)).where(F.col("value").isNotNull())
-            .groupBy("test_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
-            .where(F.col("n_rows") > 1))
+    parts = []
+    for column in dict.fromkeys(r.column for r in rules):
+        names = [r.name for r in rules if r.column == column]
+        parts.append(duplicate_keys(df, unique("", column)).select(
+            F.explode(F.array(*map(F.lit, names))).alias("test_name"), "value", "n_rows"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, rule: Rule) -> DataFrame:
@@ -184,12 +185,7 @@ def summarize(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
         for r in rs:
             if r.kind != "relationships":
                 continue
-            if tables[r.parent] is df and r.parent_column == r.column:
-                # child and parent are one frame and one column: a frame's keys
-                # are always among its own keys, so no orphan can exist
-                failed = df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("c0"))
-            else:
-                failed = orphan_keys(df, tables[r.parent], r).agg(F.sum("n_rows").alias("c0"))
+            failed = orphan_keys(df, tables[r.parent], r).agg(F.sum("n_rows").alias("c0"))
             parts.append(entries(failed, [r]))
     out = parts[0]
     for p in parts[1:]:
@@ -225,10 +221,11 @@ def recency(df: DataFrame, column: str, now: _dt.datetime, interval: int, name:
 
 
 def star_consistency(dim: DataFrame, others: dict[str, DataFrame], key: str, label: str) -> DataFrame:
-    """Keys missing from, or orphaned in, each other table (DQ-8, JN-4, SET-1).
+    """Keys missing from, and records orphaned in, each other table (DQ-8, JN-4, SET-1).
 
-    Output: (issue_type, <key>, <label>, issue_description). Other tables
-    are reduced to their distinct keys before the anti-joins.
+    Output: (issue_type, <key>, <label>, issue_description), one row per
+    orphaned record. Both sides are anti-joins on the key; only keys of the
+    side that is looked up cross the shuffle, each once per task.
     """
     dim_keys = dim.select(key, label)
     parts = []
@@ -238,9 +235,8 @@ def star_consistency(dim: DataFrame, others: dict[str, DataFrame], key: str, lab
                      .select(F.lit(name).alias("issue_type"), key, label,
                              F.lit("missing_breed").alias("issue_description")))
     for name, other in others.items():
-        lab = F.min(label) if label in other.columns else F.lit(None).cast("string")
-        labelled = other.groupBy(key).agg(lab.alias(label))
-        parts.append(anti_join(labelled, dim.select(key), key)
+        lab = F.col(label) if label in other.columns else F.lit(None).cast("string")
+        parts.append(anti_join(other.select(key, lab.alias(label)), dim.select(key), key)
                      .select(F.lit(name).alias("issue_type"), key, label,
                              F.lit("orphaned_record").alias("issue_description")))
     out = parts[0]

@@ -193,4 +193,6 @@ def recommend_text(requests: DataFrame, text: str, ctx: DataFrame, key: str,
     msg = per_intent.select("intent", F.concat_ws("\n", F.lit(K.REC_PREFIX), F.col("body"),
                                                   F.lit(K.REC_SUFFIX)).alias("suggestions"))
     req = requests_with_intent(requests, text).select(key, text, "intent")
-    return req.join(F.broadcast(msg), "intent").select(key, text, "suggestions")
+    # an intent has no message only if no profile is left: then every request gets the same answer
+    return req.join(F.broadcast(msg), "intent", "left").select(
+        key, text, F.coalesce("suggestions", F.lit(K.REC_EMPTY)).alias("suggestions"))

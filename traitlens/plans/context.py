@@ -45,10 +45,12 @@ def context_frame(profiles: DataFrame, filters: Filters = Filters(), mode: str =
 
 
 def context_table(profiles: DataFrame, filters: Filters = Filters(), mode: str = "annotate",
-                  limit: int = K.CONTEXT_MAX_ROWS) -> DataFrame:
-    """RPT-19: the first ``limit`` context rows by name (a top-k: TakeOrderedAndProject)."""
+                  limit: int | None = None) -> DataFrame:
+    """RPT-19: context rows, with ``limit`` the first so many by name (a top-k: TakeOrderedAndProject)."""
     ctx = context_frame(profiles, filters, mode)
-    return ctx.orderBy("breed_name", "breed_id").limit(limit).select(*CONTEXT_COLUMNS)
+    if limit is not None:
+        ctx = ctx.orderBy("breed_name", "breed_id").limit(limit)
+    return ctx.select(*CONTEXT_COLUMNS)
 
 
 def _num_text(c):
@@ -67,22 +69,26 @@ def excerpt_line():
 
 
 def grounding_excerpt(ctx: DataFrame, segment: str = "breed_group",
-                      max_rows: int = K.EXCERPT_MAX_ROWS) -> DataFrame:
+                      *, max_rows: int) -> DataFrame:
     """RPT-20 per segment: header, first ``max_rows`` lines by name, and a remainder line.
 
     Output: (segment, n_rows, excerpt). Each segment's text holds at most
-    ``max_rows`` lines: the ranked window keeps max_rows rows per segment
-    before the shuffle, and the row count is a partial aggregate.
+    ``max_rows`` lines, ranked in two levels (see ``top_k_per_group``) and
+    formatted after ranking; the row count is a partial aggregate. A context
+    without rows gives one row: segment '', 0 and the empty text.
     """
-    lines = ctx.withColumn("line", excerpt_line())
-    first = top_k_per_group(lines, segment, [F.asc("breed_name"), F.asc("breed_id")], max_rows, "_rk")
+    first = top_k_per_group(ctx, segment, [F.asc("breed_name"), F.asc("breed_id")], max_rows, "_rk",
+                            salt="breed_id").withColumn("line", excerpt_line())
     body = first.groupBy(segment).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rk", "line"))),
                                  lambda x: x["line"]), "\n").alias("body"))
     counts = ctx.groupBy(segment).agg(F.count(F.lit(1)).alias("n_rows"))
     more = F.when(F.col("n_rows") > max_rows,
                   F.format_string("… and %d more rows not shown", F.col("n_rows") - max_rows))
-    return (counts.join(body, counts[segment].eqNullSafe(body[segment]))
-            .select(counts[segment], "n_rows",
-                    F.concat_ws("\n", *[F.lit(h) for h in K.EXCERPT_HEAD], F.col("body"), more)
-                    .alias("excerpt")))
+    found = (counts.join(body, counts[segment].eqNullSafe(body[segment]))
+             .select(counts[segment], "n_rows",
+                     F.concat_ws("\n", *[F.lit(h) for h in K.EXCERPT_HEAD], F.col("body"), more)
+                     .alias("excerpt")))
+    nothing = (ctx.agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows = 0")
+               .select(F.lit("").alias(segment), "n_rows", F.lit(K.EXCERPT_EMPTY).alias("excerpt")))
+    return found.unionByName(nothing)

@@ -76,22 +76,12 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-_INPUTS: dict[tuple[int, str, str], Inputs] = {}
-
-
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    """Shared lazy inputs per (session, directory).
-
-    Only plans are shared (DataFrames are immutable), never cached data:
-    every query still reads its tables when it runs.
-    """
+    """Lazy inputs of one call: tables are listed anew each time, so a rewritten one is seen."""
     # Load stamps and "as of" instants are UTC wall-clock values.
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-    if key not in _INPUTS:
-        _INPUTS[key] = Inputs(spark, sf_dir)
-    return _INPUTS[key]
+    return Inputs(spark, sf_dir)
 
 
 def register(name: str, oracle: str | None = None):
@@ -194,6 +184,11 @@ def top_traits(i: Inputs) -> DataFrame:
     return R.top_traits(i.profiles, TOP_TRAITS_FILTERS)
 
 
+@register("top_traits_stored", ORACLE["top_traits"])
+def top_traits_stored(i: Inputs) -> DataFrame:
+    return R.top_traits_stored(i.dim, i.traits, TOP_TRAITS_FILTERS)
+
+
 # Analyses --------------------------------------------------------------------
 def _top_names_sql(src: str, group: str, order: str, k: int, alias: str) -> str:
     return f"""
@@ -390,7 +385,32 @@ def _failing_rows_sql(kind: str) -> str:
 
 for _kind, _qname in (("not_null", "dq_not_null"), ("accepted_values", "dq_values"),
                       ("accepted_range", "dq_range"), ("expression_is_true", "dq_expr")):
-    register(_qname, _failing_rows_sql(_kind))(_failing_rows_query(_kind))
+    if _kind in ("accepted_range", "expression_is_true"):
+        register(_qname, _failing_rows_sql(_kind))(_failing_rows_query(_kind))
+
+#: Rules on driver tables that have failing rows: documents outside two languages, documents without a label.
+_LANG_RULE = Q.accepted_values("documents", "lang", ("en", "de"))
+_LABEL_RULE = Q.not_null("documents_labels", "quality")
+_LABELLED = "(select documents.doc_id, quality from documents left join labels on labels.doc_id = documents.doc_id)"
+
+
+def _native_failing_sql(kind: str, r: Q.Rule, table: str) -> str:
+    return _failing_rows_sql(kind) + f"""
+union all select '{r.name}', cast(doc_id as bigint), cast({r.column} as varchar) from {table} x
+where {_violation_sql(r)}"""
+
+
+@register("dq_values", _native_failing_sql("accepted_values", _LANG_RULE, "documents"))
+def dq_values(i: Inputs) -> DataFrame:
+    return _failing_rows_query("accepted_values")(i).unionByName(
+        Q.failing_rows(i.table("documents"), _LANG_RULE, "doc_id"))
+
+
+@register("dq_not_null", _native_failing_sql("not_null", _LABEL_RULE, _LABELLED))
+def dq_not_null(i: Inputs) -> DataFrame:
+    labelled = i.table("documents").select("doc_id").join(i.table("labels").select("doc_id", "quality"), "doc_id", "left")
+    return _failing_rows_query("not_null")(i).unionByName(Q.failing_rows(labelled, _LABEL_RULE, "doc_id"))
+
 
 _PART_NAME_RULE = Q.unique("part", "p_name")
 
@@ -407,6 +427,7 @@ _NATIVE_RELATIONSHIPS = (
     Q.relationships("lineitem", "l_partkey", "part", "p_partkey"),
     Q.relationships("lineitem", "l_suppkey", "supplier", "s_suppkey"),
     Q.relationships("orders", "o_custkey", "customer", "c_custkey"),
+    Q.relationships("documents", "doc_id", "labels", "doc_id"),
 )
 
 
@@ -453,12 +474,16 @@ select test_name, newest, threshold, coalesce(newest >= threshold, false) as pas
   union all
   select 'recency__events__ts', cast(max(ts) as timestamp), {AS_OF_SQL} - interval 7 day from events
   union all
+  select 'recency__events__ts__feb_2024', cast(max(ts) as timestamp), timestamp '2024-01-25 00:00:00' from events
+  union all
   select 'recency__orders__o_orderdate', cast(max(o_orderdate) as timestamp), {AS_OF_SQL} - interval 7 day
   from orders)"""))
 def dq_recency(i: Inputs) -> DataFrame:
     days = K.RECENCY_DAYS
     return (Q.recency(i.raw, "extracted_at", AS_OF, days, "recency__raw__extracted_at")
             .unionByName(Q.recency(i.table("events"), "ts", AS_OF, days, "recency__events__ts"))
+            .unionByName(Q.recency(i.table("events"), "ts", _dt.datetime(2024, 2, 1), days,
+                                   "recency__events__ts__feb_2024"))
             .unionByName(Q.recency(i.table("orders"), "o_orderdate", AS_OF, days,
                                    "recency__orders__o_orderdate")))
 
@@ -469,20 +494,36 @@ def _consistency_sql(dim: str, others: list[str], key: str, label: str, other_la
         parts.append(f"select '{o}' as issue_type, d.{key}, d.{label}, 'missing_breed' as issue_description "
                      f"from {dim} d where not exists (select 1 from {o} x where x.{key} = d.{key})")
     for o in others:
-        lab = f"min(x.{label})" if other_labels else "cast(null as varchar)"
+        lab = f"x.{label}" if other_labels else "cast(null as varchar)"
         parts.append(f"select '{o}' as issue_type, x.{key}, {lab} as {label}, 'orphaned_record' "
-                     f"from {o} x where not exists (select 1 from {dim} d where d.{key} = x.{key}) group by x.{key}")
+                     f"from {o} x where not exists (select 1 from {dim} d where d.{key} = x.{key})")
     return "\nunion all\n".join(parts)
 
 
+def _both_ways_sql() -> str:
+    """Documents without a label, seen from the documents and from the labels."""
+    return (_consistency_sql("documents", ["labels"], "doc_id", "source", False)
+            + "\nunion all\n"
+            + "select 'documents', x.doc_id, x.source, 'orphaned_record' from documents x "
+              "where not exists (select 1 from labels d where d.doc_id = x.doc_id)")
+
+
 @register("dq_star", _with(
-    "select issue_type, breed_id, breed_name, issue_description from ("
+    "select issue_type, cast(breed_id as bigint) as record_key, breed_name as record_label, issue_description from ("
     + _consistency_sql("dim", ["fct", "traits"], "breed_id", "breed_name", True).replace("'fct'", "'fct_metrics'")
-    .replace("'traits'", "'dim_traits'") + ")"))
+    .replace("'traits'", "'dim_traits'") + ")\nunion all\n"
+    + "select issue_type, doc_id, source, issue_description from (" + _both_ways_sql() + ")"))
 def dq_star(i: Inputs) -> DataFrame:
+    """The star's marts (which agree), and documents against labels both ways (which do not)."""
     t = _star_tables(i)
-    return Q.star_consistency(t["dim_profiles"], {"fct_metrics": t["fct_metrics"], "dim_traits": t["dim_traits"]},
+    docs, labels = i.table("documents").select("doc_id", "source"), i.table("labels").select("doc_id")
+    star = Q.star_consistency(t["dim_profiles"], {"fct_metrics": t["fct_metrics"], "dim_traits": t["dim_traits"]},
                               "breed_id", "breed_name")
+    missing = Q.star_consistency(docs, {"labels": labels}, "doc_id", "source")
+    orphaned = Q.star_consistency(labels.withColumn("source", F.lit(None).cast("string")), {"documents": docs},
+                                  "doc_id", "source")
+    names = ("issue_type", "record_key", "record_label", "issue_description")
+    return star.toDF(*names).unionByName(missing.toDF(*names)).unionByName(orphaned.toDF(*names))
 
 
 @register("dq_label_coverage", "with x as (select 1)\n"
@@ -618,10 +659,9 @@ union all select 'Average Data Completeness', cast(round(avg(completeness), 2) a
 def quality_metrics(i: Inputs) -> DataFrame:
     from traitlens.functions.measures import flag_count
     from traitlens.functions.ranges import is_present
-    from traitlens.sources.tables import spread
     # Reduce each document to its presence flags BEFORE the join: only keys and
     # booleans cross the shuffle, never the document texts.
-    docs = spread(i.table("documents").select("doc_id", "text", "lang", "source"), "doc_id").select(
+    docs = i.table("documents").select(
         "doc_id", flag_count(is_present(F.col("text"), False), is_present(F.col("lang"), False),
                              is_present(F.col("source"), False)).alias("doc_flags"))
     labels = i.table("labels").select("doc_id", "quality")
@@ -664,7 +704,7 @@ where d.extraction_date = (select max(extraction_date) from dim)
 def latest_snapshot_profiles(i: Inputs) -> DataFrame:
     from traitlens.operators.joins import latest_only
     wide = S.profile_frame(i.stg, fct_columns={"fct_avg_weight_lbs": "avg_weight_lbs"})
-    rows = latest_only(wide, "extraction_date")
+    rows = latest_only(wide, "extraction_date", of=i.raw)
     return (rows.where(F.col("has_weight_data") & (F.col("family_suitability") == "Excellent for Families"))
             .select("breed_name", "size_category", F.col("fct_avg_weight_lbs").alias("avg_weight_lbs"),
                     "family_suitability"))
@@ -679,8 +719,7 @@ select doc_id,
 from documents""")
 def document_keyword_label(i: Inputs) -> DataFrame:
     from traitlens.functions.labels import family_friendliness
-    from traitlens.sources.tables import spread
-    d = spread(i.table("documents").select("doc_id", "text"), "doc_id")
+    d = i.table("documents")
     return d.select("doc_id", family_friendliness(F.col("text")).alias("keyword_label"))
 
 
@@ -709,7 +748,13 @@ ctx as (select b.breed_id, b.breed_name, coalesce(b.breed_group, '') as breed_gr
     " temperament_traits from ctx", _PROFILES + _BOUNDS + "," + _context_sql(CONTEXT_FILTERS, K.CONTEXT_MAX_ROWS)))
 def context_table(i: Inputs) -> DataFrame:
     from traitlens.plans.context import context_table as build
-    return build(i.profiles, CONTEXT_FILTERS)
+    return build(i.profiles, CONTEXT_FILTERS, limit=K.CONTEXT_MAX_ROWS)
+
+
+@register("context_frame", _with("select * from ctx", _PROFILES + _BOUNDS + "," + _context_sql(CONTEXT_FILTERS, None)))
+def context_frame_all(i: Inputs) -> DataFrame:
+    from traitlens.plans.context import context_frame
+    return context_frame(i.profiles, CONTEXT_FILTERS)
 
 
 def _num_sql(c: str) -> str:
@@ -734,7 +779,7 @@ where rk <= {K.EXCERPT_MAX_ROWS} group by breed_group, n_rows""",
     _PROFILES + _BOUNDS + "," + _context_sql(CONTEXT_FILTERS, None)))
 def grounding_excerpt(i: Inputs) -> DataFrame:
     from traitlens.plans.context import context_frame, grounding_excerpt as build
-    return build(context_frame(i.profiles, CONTEXT_FILTERS))
+    return build(context_frame(i.profiles, CONTEXT_FILTERS), max_rows=K.EXCERPT_MAX_ROWS)
 
 
 def _requests(i: Inputs) -> DataFrame:
@@ -817,6 +862,63 @@ def recommend_text(i: Inputs) -> DataFrame:
     return build(_requests(i), "request_text", context_frame(i.profiles, REC_FILTERS), "c_custkey")
 
 
+def _turns(i: Inputs) -> DataFrame:
+    """Requests that users typed: their turns of the given conversations."""
+    return i.table("conversations").where("role = 'user'").select(
+        F.concat_ws("-", "conv_id", "turn").alias("request_id"), F.col("text").alias("request_text"))
+
+
+_TURN_CTES = _REC_CTES.replace(_requests_sql(), """req as (
+  select concat_ws('-', conv_id, turn) as request_id, text as request_text from conversations where role = 'user')""") \
+    .replace("c_custkey", "request_id")
+_BY_INTENT = """r.size_pref and t.apartment = r.apartment and t.family = r.family and t.active = r.active
+  and t.calm = r.calm and t.guard = r.guard"""
+
+
+@register("recommend_conversations", _with(f"""
+select r.request_id, t.suggestion_rank, t.breed_id, t.breed_name, t.score
+from reqi r join tops t on t.size_pref is not distinct from {_BY_INTENT}""",
+    _PROFILES + _BOUNDS + "," + _context_sql(REC_FILTERS, None) + _TURN_CTES))
+def recommend_conversations(i: Inputs) -> DataFrame:
+    from traitlens.operators.recommend import recommend as build
+    from traitlens.plans.context import context_frame
+    return build(_turns(i), "request_text", context_frame(i.profiles, REC_FILTERS), "request_id")
+
+
+#: Points for the suitability labels that the model does emit.
+FAMILY_POINTS = {"excellent for families": 3, "good for families": 2}
+
+
+def _family_points_sql() -> str:
+    literal = " ".join(f"when lower(c.family_suitability) = '{k}' then {v}" for k, v in K.FAMILY_POINTS_LITERAL.items())
+    mine = " ".join(f"when lower(c.family_suitability) = '{k}' then {v}" for k, v in FAMILY_POINTS.items())
+    return _REC_CTES.replace(literal, mine)
+
+
+@register("recommend_family_points", _with(f"""
+select r.c_custkey, t.suggestion_rank, t.breed_id, t.breed_name, t.score
+from reqi r join tops t on t.size_pref is not distinct from {_BY_INTENT}""",
+    _PROFILES + _BOUNDS + "," + _context_sql(REC_FILTERS, None) + _family_points_sql()))
+def recommend_family_points(i: Inputs) -> DataFrame:
+    from traitlens.operators.recommend import recommend as build
+    from traitlens.plans.context import context_frame
+    return build(_requests(i), "request_text", context_frame(i.profiles, REC_FILTERS), "c_custkey",
+                 family_points=FAMILY_POINTS)
+
+
+NO_PROFILE = Filters(groups=("No such group",))
+
+
+@register("recommend_text_empty", f"""
+select concat_ws('-', conv_id, turn) as request_id, text as request_text, '{K.REC_EMPTY}' as suggestions
+from conversations where role = 'user'""")
+def recommend_text_empty(i: Inputs) -> DataFrame:
+    """Requests under a filter that leaves no profile: each gets the fixed answer."""
+    from traitlens.operators.recommend import recommend_text as build
+    from traitlens.plans.context import context_frame
+    return build(_turns(i), "request_text", context_frame(i.profiles, NO_PROFILE), "request_id")
+
+
 # Flatten, explode form -----------------------------------------------------------
 @register("flatten_raw", _with("select * from raw"))
 def flatten_raw(i: Inputs) -> DataFrame:

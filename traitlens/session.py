@@ -18,9 +18,20 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # a long-lived driver runs many query shapes: keep their compiled stages, little status history
+    "spark.sql.codegen.cache.maxEntries": "1000",
+    "spark.sql.ui.retainedExecutions": "20",
+    "spark.ui.retainedJobs": "100",
+    "spark.ui.retainedStages": "100",
+    "spark.ui.retainedTasks": "2000",
+    "spark.ui.dagGraph.retainedRootRDDs": "100",
 }
 
 
+#: Settings of BASE_CONF that a running session cannot change.
+STATIC_SQL_CONF = ("spark.sql.codegen.cache.maxEntries", "spark.sql.ui.retainedExecutions")
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "traitlens", extra: dict | None = None) -> SparkSession:
     """Return (or build) a session with traitlens defaults.
@@ -39,7 +50,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     # getOrCreate may return an existing session: enforce the runtime SQL confs.
-    runtime = {k: v for k, v in BASE_CONF.items() if k.startswith("spark.sql.")}
+    runtime = {k: v for k, v in BASE_CONF.items() if k.startswith("spark.sql.") and k not in STATIC_SQL_CONF}
     if shuffle_partitions:
         runtime["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for k, v in runtime.items():

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from traitlens.sources.tables import spread, table
+from traitlens.sources.tables import table
 
 RAW_PROFILES_SQL = """
 select cast(p_partkey as bigint) as id,
@@ -21,7 +21,8 @@ select cast(p_partkey as bigint) as id,
        case p_type when 'ECONOMY' then 'Toy' when 'LARGE' then 'Working'
                    when 'MEDIUM' then 'Hound' when 'PROMO' then 'Sporting'
                    when 'SMALL' then 'Terrier' else '' end as breed_group,
-       case when p_partkey % 53 = 7 then '35-70' else case p_partkey % 20
+       case when p_partkey % 53 = 7 then '35-70' when p_partkey % 59 = 8 then '12f'
+            when p_partkey % 61 = 9 then '5d - 9' else case p_partkey % 20
             when 0 then null when 1 then '' when 2 then 'NaN'
             when 3 then concat('up - ', cast(p_size as varchar(20)))
             when 4 then concat('up – ', cast(p_size as varchar(20)))
@@ -70,8 +71,9 @@ select cast(p_partkey as bigint) as id,
        cast(null as varchar(20)) as description,
        cast(null as varchar(20)) as history,
        concat('img', cast(p_partkey as varchar(20))) as reference_image_id,
-       timestamp '2025-08-26 14:17:18' as extracted_at,
-       '2025-08-26' as extraction_date,
+       case when p_partkey % 4 = 0 then timestamp '2025-08-25 14:17:18'
+            else timestamp '2025-08-26 14:17:18' end as extracted_at,
+       case when p_partkey % 4 = 0 then '2025-08-25' else '2025-08-26' end as extraction_date,
        'load-1' as _dlt_load_id,
        concat('row-', cast(p_partkey as varchar(20))) as _dlt_id
 from {part}
@@ -90,9 +92,5 @@ def raw_profiles_from_part(spark: SparkSession, part: DataFrame) -> DataFrame:
 
 
 def raw_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw profiles from the whole ``part`` table of a driver data directory.
-
-    The scan is spread over the session's parallelism when it arrives as
-    too few partitions (see ``spread``); at scale this adds nothing.
-    """
-    return raw_profiles_from_part(spark, spread(table(spark, sf_dir, "part"), "p_partkey"))
+    """Raw profiles from the whole ``part`` table of a driver data directory."""
+    return raw_profiles_from_part(spark, table(spark, sf_dir, "part"))

@@ -101,8 +101,16 @@ def read_landed_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_bronze(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read the flattened bronze table (SRC-1) with its explicit schema."""
-    return spark.read.schema(BRONZE_SCHEMA).format(fmt).load(path)
+    """Read the flattened bronze table (SRC-1) with its explicit schema.
+
+    Of a versioned table the newest committed version is read (a folder with
+    Spark's success marker); the listing goes through the Hadoop file system.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    done = fs.globStatus(hadoop(f"{path}/version=*/_SUCCESS")) or []
+    newest = max((s.getPath().getParent().toString() for s in done), default=path)
+    return spark.read.schema(BRONZE_SCHEMA).format(fmt).load(newest)
 
 
 def nest(df: DataFrame, sep: str = "__") -> DataFrame:

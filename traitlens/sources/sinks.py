@@ -9,19 +9,27 @@ bucket file is a few hundred MB (thousands at 100 TB).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from traitlens.operators import quality as Q
 from traitlens.plans import star as S
-from traitlens.plans.quality_rules import star_rules
+from traitlens.plans.quality_rules import recency_rule, star_rules
 
 MART_KEY = "breed_id"
 
 
-def replace_bronze(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """SNK-1: full replace of the bronze table at ``path``."""
-    df.write.mode("overwrite").format(fmt).save(path)
+def replace_bronze(df: DataFrame, path: str, fmt: str = "parquet", version: int | None = None) -> None:
+    """SNK-1: full replace of the bronze table at ``path``.
+
+    With ``version`` the rows go to a folder of their own, and readers
+    (``read_bronze``) take the newest version that has been committed: until
+    then they see the one before, and a replay writes the same folder again.
+    """
+    target = path if version is None else f"{path}/version={version:012d}"
+    df.write.mode("overwrite").format(fmt).save(target)
 
 
 def archive_raw(df: DataFrame, path: str, fmt: str = "json") -> None:
@@ -40,16 +48,16 @@ def stage_view(stg: DataFrame, name: str = "stg_profiles") -> str:
     return name
 
 
-def write_mart(df: DataFrame, table: str, buckets: int = 8, partition_by_date: bool = False) -> str:
+def write_mart(df: DataFrame, table: str, buckets: int, partition_by_date: bool = False, dealt: bool = False) -> str:
     """SNK-4, SNK-6: overwrite a mart table, bucketed and sorted by breed_id.
 
-    Hash-partitioning on the key into ``buckets`` partitions first (the same
-    hash the bucketing uses) makes every task write exactly one bucket file,
-    instead of up to tasks x buckets small files.
+    Hash-partitioning on the key into ``buckets`` partitions (the hash that
+    bucketing uses) makes one task write a whole bucket: one file per bucket,
+    or per bucket and date. ``dealt``: the rows come from a table with these
+    buckets, whose scan is already so partitioned.
     """
-    keys = [MART_KEY, "extraction_date"] if partition_by_date else [MART_KEY]
-    w = (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
-         .bucketBy(buckets, MART_KEY).sortBy(MART_KEY))
+    rows = df if dealt else df.repartition(buckets, MART_KEY)
+    w = rows.write.mode("overwrite").format("parquet").bucketBy(buckets, MART_KEY).sortBy(MART_KEY)
     if partition_by_date:
         w = w.partitionBy("extraction_date")
     w.saveAsTable(table)
@@ -62,45 +70,65 @@ def ensure_schema(spark: SparkSession, schema: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}_tests`")
 
 
-def build_and_write_star(spark: SparkSession, raw: DataFrame, schema: str, buckets: int = 8,
+def build_and_write_star(spark: SparkSession, raw: DataFrame, schema: str, buckets: int,
                          store_failures: bool = True, enforce: bool = False,
-                         partition_by_date: bool = False) -> dict[str, str]:
+                         partition_by_date: bool = False, now: _dt.datetime | None = None) -> dict[str, str]:
     """SNK-7: staging, three marts and their tests, in dependency order.
 
+    Staging is written once as a bucketed table (the only shuffle); a view
+    names it, and the three marts are projections of its buckets.
     ``partition_by_date`` also partitions the dimension and the fact by
-    ``extraction_date`` (the trait mart carries no load date).
-    Staging is persisted (memory and disk) for the three mart writes, so the
-    raw input is parsed once; a lost executor's blocks are recomputed from
-    lineage. Rules then run against the written tables; failing rows are
-    stored per failing rule in ``<schema>_tests``.
+    ``extraction_date`` (the trait mart carries no load date). All rules run
+    against the written tables, with the source's recency (as of ``now``) and
+    the consistency of the marts; failures of every kind are stored in
+    ``<schema>_tests``.
     """
     ensure_schema(spark, schema)
-    stg = S.stage(raw).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stage_view(stg, "stg_profiles")
-        names = {
-            "dim_profiles": write_mart(S.dim_profiles(stg), f"`{schema}`.dim_profiles", buckets, partition_by_date),
-            "fct_metrics": write_mart(S.fct_metrics(stg), f"`{schema}`.fct_metrics", buckets, partition_by_date),
-            "dim_traits": write_mart(S.dim_traits(stg), f"`{schema}`.dim_traits", buckets),
-        }
-        tables = {"stg_profiles": stg, **{k: spark.table(v) for k, v in names.items()}}
-        rules = star_rules()
-        summary = Q.summarize(tables, rules)
-        summary_table = f"`{schema}_tests`.rule_summary"
-        summary.write.mode("overwrite").saveAsTable(summary_table)
-        names["rule_summary"] = summary_table
-        if store_failures:
-            failed = {r.test_name for r in spark.table(summary_table).where("failures > 0")
-                      .select("test_name").collect()}
-            by_table: dict[str, list[Q.Rule]] = {}
-            for r in rules:
-                if r.name in failed and r.kind in Q.ROW_KINDS:
-                    by_table.setdefault(r.table, []).append(r)
-            for tname, trules in by_table.items():
-                names[f"failures_{tname}"] = Q.store_failures(
-                    Q.failing_rows_all(tables[tname], trules, MART_KEY), schema, f"failures_{tname}")
-        if enforce:
-            Q.enforce(spark.table(summary_table))
-        return names
-    finally:
-        stg.unpersist()
+    stored = write_mart(S.stage(raw), f"`{schema}`.stg_profiles_rows", buckets)
+    stg = spark.table(stored)
+    stage_view(stg, "stg_profiles")
+    names = {
+        "stg_profiles": stored,
+        "dim_profiles": write_mart(S.dim_profiles(stg), f"`{schema}`.dim_profiles", buckets, partition_by_date, True),
+        "fct_metrics": write_mart(S.fct_metrics(stg), f"`{schema}`.fct_metrics", buckets, partition_by_date, True),
+        "dim_traits": write_mart(S.dim_traits(stg), f"`{schema}`.dim_traits", buckets, dealt=True),
+    }
+    tables = {k: spark.table(v) for k, v in names.items()}
+    rules = star_rules()
+    marts = {k: tables[k] for k in ("fct_metrics", "dim_traits")}
+    inconsistent = Q.star_consistency(tables["dim_profiles"], marts, MART_KEY, "breed_name")
+    source, column, days = recency_rule()
+    stale = Q.recency(raw, column, now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), days,
+                      f"recency__{source}__{column}")
+    status = F.when(F.col("failures") == 0, "pass").otherwise("fail")
+    summary = Q.summarize(tables, rules).unionByName(
+        stale.select(F.lit(source).alias("table_name"), "test_name", F.lit("recency").alias("kind"),
+                     F.lit("error").alias("severity"), (~F.col("passed")).cast("bigint").alias("failures"))
+        .unionByName(inconsistent.agg(F.count(F.lit(1)).alias("failures")).select(
+            F.lit("dim_profiles").alias("table_name"), F.lit("consistency__star").alias("test_name"),
+            F.lit("consistency").alias("kind"), F.lit("error").alias("severity"), "failures"))
+        .withColumn("status", status))
+    names["rule_summary"] = f"`{schema}_tests`.rule_summary"
+    summary.write.mode("overwrite").saveAsTable(names["rule_summary"])
+    if store_failures:
+        failed = {r.test_name for r in spark.table(names["rule_summary"]).where("failures > 0")
+                  .select("test_name").collect()}
+
+        def store(name: str, rows: DataFrame) -> None:
+            names[name] = Q.store_failures(rows, schema, name)
+
+        for df, rs in Q.by_frame(tables, [r for r in rules if r.name in failed]):
+            kinds = {k: [r for r in rs if r.kind in k] for k in (Q.ROW_KINDS, ("unique",), ("relationships",))}
+            if some := kinds[Q.ROW_KINDS]:
+                store(f"failures_{some[0].table}", Q.failing_rows_all(df, some, MART_KEY))
+            if some := kinds[("unique",)]:
+                store(f"duplicates_{some[0].table}", Q.duplicate_keys_all(df, some))
+            for r in kinds[("relationships",)]:
+                store(f"orphans_{r.table}_{r.column}", Q.orphan_keys(df, tables[r.parent], r))
+        if f"recency__{source}__{column}" in failed:
+            store("failures_recency", stale)
+        if "consistency__star" in failed:
+            store("failures_consistency", inconsistent)
+    if enforce:
+        Q.enforce(spark.table(names["rule_summary"]))
+    return names

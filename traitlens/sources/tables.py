@@ -21,18 +21,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(table_path(sf_dir, name))
 
-
-def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition by ``keys`` only when the input has too few partitions.
-
-    A file stored as one row group scans as one task, which serialises the
-    heavy per-row work after it (range parsing, regexes over long texts).
-    When the scan already has at least ``min_partitions`` (default: the
-    session's parallelism) partitions -- always the case for large inputs
-    -- nothing is added, so no shuffle appears at scale. Hash partitioning
-    on a key is deterministic, so a recomputed task gets the same rows.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys)

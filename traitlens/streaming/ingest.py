@@ -3,25 +3,21 @@
 The source model loads on a schedule: fetch, stamp, archive, replace
 bronze. Here each scheduled run is ``trigger(availableNow=True)``: the
 stream picks up only files landed since the last run (tracked in the
-checkpoint), processes them as micro-batches, and stops. Each micro-batch
-is one load: stamped with ONE timestamp, archived under its date and load
-id (dynamic partition overwrite), and written as the new bronze table.
+checkpoint), oldest first, and stops. One landed file is one extract, one
+micro-batch and one load: stamped with ONE timestamp, archived under its
+date and load id (dynamic partition overwrite), and written as a new
+version of the bronze table, so the newest extract is what readers see.
 
-The stamp is the newest landing time (file modification time) of the
-batch's files, so a batch replayed after a failure gets the same stamp,
-the same archive folder and the same bronze rows. The checkpoint lives in
-the cluster's shared checkpoint folder.
+The stamp is the file's landing time, so a load replayed after a failure
+gets the same stamp, archive folder and bronze version. The checkpoint must
+be in a folder that all machines share.
 """
 
 from __future__ import annotations
 
-import os
-
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitlens.session import checkpoint_dir
 from traitlens.sources.raw import NESTED_SCHEMA, flatten, stamp
 from traitlens.sources.sinks import archive_raw, replace_bronze
 
@@ -40,28 +36,30 @@ def landed_stream(spark: SparkSession, landing_dir: str, max_files: int | None =
 
 def run_ingest(spark: SparkSession, landing_dir: str, archive_dir: str, bronze_dir: str,
                checkpoint: str | None = None, load_prefix: str = "load", clock=None) -> int:
-    """Process every newly landed file, then stop. Returns the number of batches run.
+    """Process every newly landed file, then stop. Returns the number of loads.
 
+    ``checkpoint`` defaults to a folder in spark.checkpoint.dir; without
+    either it fails, for progress in a folder of one process would be lost.
     ``clock`` (a no-argument callable) overrides the landing-time stamp.
     """
-    checkpoint = checkpoint or os.path.join(checkpoint_dir(spark), "traitlens-ingest")
-    batches: list[int] = []
+    if checkpoint is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            raise ValueError("name a shared checkpoint folder, or set spark.checkpoint.dir")
+        checkpoint = f"{shared.rstrip('/')}/traitlens-ingest"
+    loads: list[int] = []
 
     def write_load(batch: DataFrame, batch_id: int) -> None:
-        if clock is not None:
-            ts = clock()
-        else:   # one aggregated row: the newest landing time of this batch's files
-            ts = batch.agg(F.max(LANDED_AT)).first()[0]
-        loaded = (stamp(batch.drop(LANDED_AT), ts, f"{load_prefix}-{batch_id}")
-                  .persist(StorageLevel.MEMORY_AND_DISK))
-        try:
-            archive_raw(loaded, archive_dir)
-            replace_bronze(loaded, bronze_dir)
-        finally:
-            loaded.unpersist()
-        batches.append(batch_id)
+        # one aggregated row: the landing time of this load's file
+        ts = clock() if clock is not None else batch.agg(F.max(LANDED_AT)).first()[0]
+        if ts is None:
+            return  # an empty file
+        loaded = stamp(batch.drop(LANDED_AT), ts, f"{load_prefix}-{batch_id}")
+        archive_raw(loaded, archive_dir)
+        replace_bronze(loaded, bronze_dir, version=batch_id)
+        loads.append(batch_id)
 
-    query = (landed_stream(spark, landing_dir).writeStream.foreachBatch(write_load)
+    query = (landed_stream(spark, landing_dir, max_files=1).writeStream.foreachBatch(write_load)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
-    return len(batches)
+    return len(loads)

@@ -3,7 +3,7 @@
 Every DOM node gets a density: its characters per tag, adjusted by the
 characters and tags of links. The node whose children's densities have the
 largest sum is the content's root; the least density on its path to ``body``
-is the threshold that sections beside the path must reach.
+is the threshold, a share of which sections beside the path must reach.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ FURNITURE = frozenset(
     "recommended share sharing social toolbar pagination pager widget form search".split())
 _KEPT = frozenset(("html", "body", "main", "article"))
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+#: Share of the threshold for sections beside the path: shorter paragraphs are article text too.
+BESIDE = 0.5
 # a start tag that closes open elements up to the nearest one of the set, unless a wall is nearer
 _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
            "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -161,7 +163,7 @@ def main_text(html: str | None) -> str:
         p = dom.parents[i]
         if i == root or (i and taken[p]):
             taken[i] = True
-        elif i not in on_path and p in on_path and p != root and dense[i] >= threshold:
+        elif i not in on_path and p in on_path and p != root and dense[i] >= BESIDE * threshold:
             # beside the path: inside the main container, or another container of its kind
             taken[i] = p != body or (dom.tags[i] == dom.tags[below] and dom.tags[i] in ("article", "section", "main"))
     # text that stands directly in a container on the path, and the root's own

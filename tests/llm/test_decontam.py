@@ -20,7 +20,7 @@ def brute(docs, items):
         for i, item in items:
             own = grams(item)
             best = 0
-            for s in range(max(0, len(g) - len(own)) + 1) if own and len(g) >= 1 else ():
+            for s in range(len(g)) if own else ():  # clipped where the text ends
                 a, b = Counter(g[s:s + len(own)]), Counter(own)
                 best = max(best, sum((a & b).values()) / sum((a | b).values()))
             if best >= 0.8:

@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, exact verification.
 
 Only DataFrame functions. A window has as many five-word shingles as a
-benchmark item. Windows are laid wherever they can be similar enough: the
+benchmark item (fewer where the text ends). Windows are laid wherever they can be similar enough: the
 first shingle is one of an item of that size, and enough shingles of such
 items follow (a window without them cannot reach the similarity, so none is
 lost). Windows and items meet on blocks of their 64-bit SimHash: with eight

@@ -22,7 +22,7 @@ BITS = 6
 SYMBOLS = 1 << BITS
 ORDER = 4
 #: Quantile of the trusted texts' perplexity, per language, above which a text is rejected.
-QUANTILE = 0.99
+QUANTILE = 0.995
 #: One in so many trusted texts sets the thresholds and does not train.
 FOLDS = 5
 _CHUNK = 1 << 21  # characters that are scored together

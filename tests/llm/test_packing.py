@@ -81,11 +81,14 @@ def test_places_follow_the_rounds():
             order += [(s, t) for t in range(given[s], due)]
             given[s] = max(given[s], due)
     place = {x: i for i, x in enumerate(order)}
-    for s in range(3):
-        for start, n in ((0, int(totals[s])), (1, int(totals[s]) - 1)):
-            for a, m, at in zip(*P.pieces_of(s, start, n, quanta, totals, window)):
-                assert [place[s, start + a + j] for j in range(m)] == list(range(at, at + m))
-                assert at // window == (at + m - 1) // window
+    docs = np.array([(s, i, int(totals[s]) - i) for s in range(3) for i in (0, 1)])
+    seen = np.zeros(len(docs), int)
+    for i, a, m, at in zip(*P.pieces_of(*docs.T, quanta, totals, window)):
+        s, start, _ = docs[i]
+        assert [place[s, start + a + j] for j in range(m)] == list(range(at, at + m))
+        assert at // window == (at + m - 1) // window
+        seen[i] += m
+    assert seen.tolist() == docs[:, 2].tolist()
 
 
 def test_edges(edge_docs, empty_docs):

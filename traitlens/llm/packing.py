@@ -33,23 +33,35 @@ SHIFT = 16
 PIECES_KEPT = 300_000
 
 
+class _Codes(dict):
+    """Numbers pieces as they are met; ``new`` are those without ids yet."""
+
+    def __init__(self):
+        self.new: list[bytes] = []
+
+    def __missing__(self, piece: bytes) -> int:
+        code = self[piece] = len(self)
+        self.new.append(piece)
+        return code
+
+
 class _Kept:
     """Ids of pieces, one after the other in a flat array."""
 
     def __init__(self):
-        self.code: dict[bytes, int] = {}
+        self.code = _Codes()
         self.flat, self.starts, self.sizes = array("H"), array("q"), array("q")
 
     def get(self, piece: bytes) -> bytes | None:
         i = self.code.get(piece)
         return None if i is None else self.flat[self.starts[i]:self.starts[i] + self.sizes[i]].tobytes()
 
-    def add(self, pieces: list[bytes], ids: list[bytes]) -> None:
+    def add(self, ids: list[bytes]) -> None:
         at, first = len(self.flat), len(self.sizes)
-        self.code.update(zip(pieces, range(first, first + len(ids))))
         self.flat.frombytes(b"".join(ids))
         self.sizes.extend(len(x) // 2 for x in ids)
         self.starts.extend(accumulate(self.sizes[first:-1], initial=at) if ids else ())
+        self.code.new = []
 
 
 class Tokenizer:
@@ -84,27 +96,29 @@ class Tokenizer:
         return array("H", [t.id for t in self.merge(
             word if word.isascii() else word.translate(self.as_bytes))]).tobytes()
 
-    def _learn(self, pieces: list[bytes]) -> None:
-        ids = [self.old.get(p) for p in pieces]
+    def _learn(self) -> None:
+        """Ids of the pieces that were met for the first time."""
+        pieces = self.now.code.new
+        ids = [self.old.get(p) for p in pieces] if self.old is not self.now else [None] * len(pieces)
         texts = [None if x is not None else p.decode("utf-8", "surrogatepass") for p, x in zip(pieces, ids)]
         plain = [t and (m := self.PLAIN.fullmatch(t)) and (m[1].lower(), m[2]) for t in texts]
         known = {w: self._letters(w) for w in {m[0] for m in plain if m}}
         other = iter(self._ids([t for t, m in zip(texts, plain) if t is not None and not m]))
-        self.now.add(pieces, [x if x is not None else known[m[0]] + self.mark[m[1]] if m else next(other)
-                              for x, m in zip(ids, plain)])
+        self.now.add([x if x is not None else known[m[0]] + self.mark[m[1]] if m else next(other)
+                      for x, m in zip(ids, plain)])
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.now.code) > PIECES_KEPT:
             self.old, self.now = self.now, _Kept()
         pieces = [words_of(t) for t in texts]
-        self._learn(list(set(chain.from_iterable(pieces)).difference(self.now.code)))
-        flat, starts, sizes = map(np.array, (self.now.flat, self.now.starts, self.now.sizes))
         counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
         c = np.fromiter(map(self.now.code.__getitem__, chain.from_iterable(pieces)), np.int64, int(counts.sum()))
-        n = sizes[c]
+        self._learn()
+        flat, starts, sizes = map(np.array, (self.now.flat, self.now.starts, self.now.sizes))
+        n = sizes[c] if len(c) else c
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(n) else 0
-        ids = flat[np.arange(total) + np.repeat(starts[c] - ends + n, n)]
+        ids = flat[np.arange(total) + np.repeat(starts[c] - ends + n, n)] if total else np.empty(0, np.uint16)
         cuts = np.concatenate(([0], ends))[np.cumsum(counts)]
         return [np.append(x, np.uint16(END_ID)) for x in np.split(ids, cuts[:-1])] if len(texts) else []
 
@@ -142,30 +156,33 @@ def served(rounds: np.ndarray, quanta: np.ndarray, totals: np.ndarray) -> np.nda
     return np.minimum((rounds[:, None] * quanta[None, :]) >> SHIFT, totals[None, :])
 
 
-def pieces_of(s: int, start: int, n: int, quanta: np.ndarray, totals: np.ndarray, window: int):
-    """(first token, tokens, place in the packed stream) of a document's pieces.
+def pieces_of(s: np.ndarray, start: np.ndarray, n: np.ndarray, quanta: np.ndarray, totals: np.ndarray, window: int):
+    """(document, first token, tokens, place in the packed stream) of all documents' pieces.
 
-    The document holds ``n`` tokens of source ``s`` from ``start`` on in its queue.
+    Document i holds ``n[i]`` tokens of source ``s[i]`` from ``start[i]`` on in its queue.
     """
-    q = int(quanta[s])
-    # the round that serves token t is the largest r with floor(r * q) <= t
-    first, last = (((t + 1 << SHIFT) - 1) // q for t in (start, start + n - 1))
-    rounds = np.arange(first, last + 1)
-    given = served(np.arange(first, last + 2), quanta, totals)
-    own = given[:-1, s]
-    a = np.maximum(own, start)
-    b = np.minimum(given[1:, s], start + n)
+    # the round that serves token t is the largest r with floor(r * quantum) <= t
+    first, last = ((((t + 1) << SHIFT) - 1) // quanta[s] for t in (start, start + n - 1))
+    doc, r = _ranges(first, last - first + 1)
+    given, after = served(r, quanta, totals), served(r + 1, quanta, totals)
+    at, own = np.arange(len(r)), s[doc]
+    a = np.maximum(given[at, own], start[doc])
+    b = np.minimum(after[at, own], (start + n)[doc])
+    turn = after - given
+    place = given.sum(1) + (np.cumsum(turn, 1) - turn)[at, own] + a - given[at, own]
     some = b > a
-    ahead = given[:-1].sum(1) + (given[1:, :s] - given[:-1, :s]).sum(1)
-    a, b, place = a[some], b[some], (ahead + a - own)[some] if len(rounds) else a
+    doc, a, b, place = doc[some], a[some], b[some], place[some]
     # cut where a window ends
-    first_w, last_w = place // window, (place + (b - a) - 1) // window
-    times = last_w - first_w + 1
-    k = np.repeat(np.arange(len(a)), times)
-    w = first_w[k] + np.arange(len(k)) - np.repeat(np.cumsum(times) - times, times)
+    k, w = _ranges(place // window, (place + b - a - 1) // window - place // window + 1)
     lo = np.maximum(place[k], w * window)
-    hi = np.minimum(place[k] + (b - a)[k], (w + 1) * window)
-    return a[k] + lo - place[k] - start, hi - lo, lo
+    hi = np.minimum((place + b - a)[k], (w + 1) * window)
+    return doc[k], a[k] + lo - place[k] - start[doc[k]], hi - lo, lo
+
+
+def _ranges(first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and values of first, first + 1, ... of each row."""
+    row = np.repeat(np.arange(len(first)), sizes)
+    return row, first[row] + np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, weights: dict[str | None, float] | None = None,
@@ -205,16 +222,14 @@ def pack(docs: DataFrame, tokenizer_path: str, weights: dict[str | None, float]
         for whole in batches:
             for i in range(0, whole.num_rows, 256):
                 batch = whole.slice(i, 256)
-                row, columns = [], [[], [], [], [], []]
-                for j, (src, at, n, raw) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(1, 5)))):
-                    start, length, place = pieces_of(number[src], at, n, quanta, total, window)
-                    data = np.frombuffer(raw, "<u2").astype("<u4").tobytes()
-                    crc = [zlib.crc32(data[4 * a:4 * (a + m)]) for a, m in zip(start.tolist(), length.tolist())]
-                    row.append(np.full(len(crc), j))
-                    for c, x in zip(columns, (start, length, crc, np.full(len(crc), n), place)):
-                        c.append(np.asarray(x, np.int64))
-                row = np.concatenate(row)
-                start, length, crc, n, place = map(np.concatenate, columns)
+                src, raw = batch.column(1).to_pylist(), batch.column(4).to_pylist()
+                at, n = (batch.column(c).to_numpy() for c in (2, 3))
+                row, start, length, place = pieces_of(np.array([number[x] for x in src], np.int64), at, n,
+                                                      quanta, total, window)
+                data = [np.frombuffer(x, "<u2").astype("<u4").tobytes() for x in raw]
+                crc = np.array([zlib.crc32(data[j][4 * a:4 * b]) for j, a, b in zip(
+                    row.tolist(), start.tolist(), (start + length).tolist())], np.int64)
+                n = n[row]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(row)), *map(pa.array, (start, length, crc, n, place // window,
                                                                           place % window)),

@@ -300,14 +300,35 @@ def _verify(similarity: float, every_pair: bool):
     return run
 
 
+def _filter_of(hashes: DataFrame, column: str):
+    """Broadcast bits of a column of 64-bit hashes: at most FILTER_BITS / 64 rows reach the driver, whatever the corpus."""
+    at = F.col(column).bitwiseAND(F.lit(FILTER_BITS - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
+    words = np.zeros(FILTER_BITS // 64, np.uint64)
+    for i, w in hashes.groupBy(F.shiftright(at, 6).alias("i")).agg(F.bit_or(bit).alias("w")).collect():
+        words[i] = w & (1 << 64) - 1
+    return hashes.sparkSession.sparkContext.broadcast(words)
+
+
+def _held(bits, hashes: pa.Array) -> np.ndarray:
+    """Which hashes the filter holds (all that were put in, and some others)."""
+    h = hashes.to_numpy().view(np.uint64) & np.uint64(FILTER_BITS - 1)
+    return (bits.value[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _where_held(bits, column: str, held: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_held(bits, batch.column(column)) == held))
+    return run
+
+
 def _gather(shingle: int, bits):
     """Shingle sets of the texts whose hash the filter holds, each set once per task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen = bits.value, set()
+        seen = set()
         for batch in batches:
-            h = batch.column(1).to_numpy().view(np.uint64) & np.uint64(FILTER_BITS - 1)
-            hit = (words[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1)
-            texts = batch.column(0).take(pa.array(np.flatnonzero(hit)))
+            texts = batch.column(0).take(pa.array(np.flatnonzero(_held(bits, batch.column(1)))))
             for i in range(0, len(texts), 256):
                 rows = {}
                 for t in texts.slice(i, 256).to_pylist():
@@ -328,7 +349,6 @@ class JaccardJoin:
     def __init__(self, docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
                  shingle: int = SHINGLE, recall: float = RECALL, every_pair: bool = False, leaf: int = LEAF,
                  bucket: int = BUCKET, block: int = BLOCK):
-        spark = docs.sparkSession
         texts = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("t"))
         texts = texts.withColumn("h", F.xxhash64("t"))
         kind = dict(texts.dtypes)["id"]
@@ -342,12 +362,7 @@ class JaccardJoin:
         groups = written(met.join(met.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "label")
                          .join(self.classes.select(F.col("key").alias("node"), "copies", "text_hash"), "node")
                          .withColumnRenamed("node", "key"), "groups")
-        at = F.col("text_hash").bitwiseAND(F.lit(FILTER_BITS - 1))
-        words = np.zeros(FILTER_BITS // 64, np.uint64)
-        for i, w in groups.groupBy(F.shiftright(at, 6).alias("i")).agg(F.bit_or(F.call_function(
-                "shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))).alias("w")).collect():
-            words[i] = w & (1 << 64) - 1  # at most FILTER_BITS / 64 rows, whatever the corpus
-        bits = spark.sparkContext.broadcast(words)
+        bits = _filter_of(groups, "text_hash")
         sets = texts.where("t is not null").select("t", "h") \
             .mapInArrow(_gather(shingle, bits), "key binary, shingles binary") \
             .groupBy("key").agg(F.first("shingles").alias("shingles"))
@@ -416,8 +431,13 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     repeated = written(rows.groupBy("id", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(each), "repeated")
 
     whole = docs.select(F.struct(*[F.col(c) for c in columns]).alias("_doc"), F.struct(
-        F.col(key).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("h")).alias("_row"))
-    kept = whole.join(gone, "_row", "left_anti")
+        F.col(key).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("h")).alias("_row")) \
+        .withColumn("_hash", F.xxhash64("_row"))
+    # rows that are surely neither gone nor repeated stay where they are; only the rest is shuffled
+    bits = _filter_of(gone.unionByName(repeated).select(F.xxhash64("_row").alias("_hash")), "_hash")
+    stay = whole.mapInArrow(_where_held(bits, "_hash", False), whole.schema).select("_doc")
+    kept = written(whole.mapInArrow(_where_held(bits, "_hash", True), whole.schema).join(gone, "_row", "left_anti"),
+                   "perhaps-repeated")
     once = kept.join(repeated, "_row", "left_semi").groupBy("_row").agg(F.first("_doc").alias("_doc"))
-    kept = kept.join(repeated, "_row", "left_anti").select("_doc").unionByName(once.select("_doc"))
+    kept = stay.unionByName(kept.join(repeated, "_row", "left_anti").select("_doc")).unionByName(once.select("_doc"))
     return kept.select([F.col("_doc").getField(c).alias(c) for c in columns])

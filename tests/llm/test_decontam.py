@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from traitlens.llm import decontam as D
 
+from llm.edge_rows import edge_docs, empty_docs  # noqa: F401
+
 
 def grams(text):
     words = re.findall(r"[^\W_]+", (text or "").lower())

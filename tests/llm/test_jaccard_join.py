@@ -8,6 +8,8 @@ from traitlens.llm import jaccard_join as J
 from traitlens.llm.common import shingle_set, words_of
 from traitlens.llm.components import components
 
+from llm.edge_rows import edge_docs, empty_docs  # noqa: F401
+
 
 def corpus(seed=1, n=60):
     rnd = random.Random(seed)

@@ -6,6 +6,8 @@ import numpy as np
 
 from traitlens.llm import kneser_ney as K
 
+from llm.edge_rows import edge_docs, empty_docs  # noqa: F401
+
 
 def symbols(text):
     return [0] * (K.ORDER - 1) + [int(K._CLASSES[ord(c)]) for c in text]

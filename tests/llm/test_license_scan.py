@@ -2,6 +2,8 @@ from pyspark.sql import functions as F
 
 from traitlens.llm import license_scan as L
 
+from llm.edge_rows import edge_docs  # noqa: F401
+
 
 def test_statements_files_and_inheritance(spark):
     rows = [

@@ -7,6 +7,8 @@ import pytest
 from traitlens.llm import packing as P
 from traitlens.llm.registry import tokenizer
 
+from llm.edge_rows import edge_docs, empty_docs  # noqa: F401
+
 PATH = tokenizer("word_bpe_49k.json")
 
 

@@ -4,6 +4,8 @@ import re
 
 from traitlens.llm import pii as P
 
+from llm.edge_rows import edge_docs, empty_docs  # noqa: F401
+
 BASE = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
         ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"),
         ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))

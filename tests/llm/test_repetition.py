@@ -4,6 +4,8 @@ import pytest
 
 from traitlens.llm import repetition as R
 
+from llm.edge_rows import edge_docs, empty_docs  # noqa: F401
+
 
 def brute(words, k):
     places = {}

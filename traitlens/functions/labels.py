@@ -83,6 +83,7 @@ def temperament_complexity(total: Column) -> Column:
     return band(total, K.COMPLEXITY_BANDS, default=K.COMPLEXITY_DEFAULT)
 
 
+# FIXED VALUES: the share thresholds of the two labels below.
 def family_suitability(fam: Column, calm: Column, prot: Column, indep: Column) -> Column:
     s = K.SUITABILITY_LABELS
     return (F.when((fam >= 0.4) & (calm >= 0.2), F.lit(s[0]))

@@ -17,6 +17,7 @@ COMPLETENESS_BOUNDS = "data_completeness_score >= 0 and data_completeness_score
 SCORE_COLUMNS = tuple(K.LEXICON_COLUMNS[n][1] for n in K.LEXICONS)
 
 
+# FIXED VALUES: the columns under test, the bounds of ranges and the order expressions.
 def star_rules() -> list[Q.Rule]:
     stg, dim, fct, trt = "stg_profiles", "dim_profiles", "fct_metrics", "dim_traits"
     rules = [

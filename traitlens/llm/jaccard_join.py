@@ -193,7 +193,7 @@ def _compare_buckets(similarity: float, leaf: int):
 
 def _cross(side: np.ndarray, compare, rows: np.ndarray) -> np.ndarray:
     """Symmetric matrix of one block with itself, or only between two blocks."""
-    if (side == side[0]).all():
+    if side[0] == 2:
         return compare(rows, rows)
     a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     out = np.zeros((len(rows), len(rows)), bool)
@@ -204,14 +204,16 @@ def _cross(side: np.ndarray, compare, rows: np.ndarray) -> np.ndarray:
 def in_blocks(rows: DataFrame, group: str, block: int) -> DataFrame:
     """Deal ``rows`` (with ``key`` and the group's size ``n``) to tasks: columns ``gid`` and ``side``.
 
-    A group of up to ``block`` rows is one task's (side 0); a larger one is cut
-    into blocks, each pair of which is a task's (sides 0 and 1).
+    A group of up to ``block`` rows is one task's (side 2); a larger one is cut
+    into blocks: each block with itself (side 2) and each pair of blocks (sides
+    0 and 1, of which one may be empty) is a task's.
     """
     rows = rows.withColumn("_b", F.ceil(F.col("n") / block)) \
         .withColumn("_at", F.pmod(F.xxhash64("key"), F.col("_b")))
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_b") - 1)))
     lo, hi = F.least("_at", "_other"), F.greatest("_at", "_other")
-    return rows.withColumn("side", (F.col("_at") > F.col("_other")).cast("int")) \
+    return rows.withColumn("side", F.when(F.col("_at") == F.col("_other"), 2).otherwise(
+        (F.col("_at") > F.col("_other")).cast("int"))) \
         .withColumn("gid", F.xxhash64(F.col(group), lo, hi)).drop("_b", "_at", "_other")
 
 
@@ -271,8 +273,9 @@ def _verify(similarity: float, every_pair: bool):
             sets = [np.frombuffer(x, "<u8") for x in group.column("shingles").to_pylist()]
             side, copies = group.column("side").to_numpy(), group.column("copies").to_numpy()
             keys, n = group.column("key").combine_chunks(), len(sets)
-            one = (side == side[0]).all()
-            a, b = (np.arange(n),) * 2 if one else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+            a, b = (np.arange(n),) * 2 if side[0] == 2 else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+            if not len(a) or not len(b):
+                continue
             alike = linked([sets[i] for i in a], [sets[i] for i in b])
             link = np.zeros((n, n), bool)
             link[np.ix_(a, b)] = alike >= similarity - 1e-9

@@ -83,3 +83,30 @@ def test_salvage_covers_every_byte():
 def test_digest_is_sha1_in_base32():
     assert len(W.digest_of(b"x")) == 32 and hashlib.sha1(b"x").digest()[0] >> 3 == "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567".index(
         W.digest_of(b"x")[0])
+
+
+def saved(data):
+    found = list(W.salvage(data))
+    return [f[3].fields["warc-record-id"] for f in found if f[3]], [f[1:3] for f in found if f[0] == "gap"]
+
+
+def test_records_around_a_bad_one_in_a_member_are_saved():
+    records = archive()
+    ids = [f"<urn:page:{i}>" for i in range(12)]
+    bad = bytearray(b"".join(records[:8]))
+    bad[sum(map(len, records[:4])) - 6] ^= 0x55  # in the block of record 3
+    packed = W.member(bytes(bad))
+    data = packed + W.member(records[8]) + b"".join(records[9:])
+    assert saved(data) == (ids[:3] + ids[4:], [(0, len(packed))])
+
+
+def test_a_cut_or_damaged_single_stream_keeps_its_records():
+    records = [W.record(i, "u", random.Random(i).randbytes(3000), None, False, "d") for i in range(40)]
+    data = W.member(b"".join(records))
+    ids, gaps = saved(data[:len(data) // 2])
+    assert ids == [f"<urn:page:{i}>" for i in range(len(ids))] and 17 <= len(ids) <= 20
+    assert gaps == [(0, len(data) // 2)]
+    assert len(saved(data[:-4] + b"xxxx")[0]) == 40  # only the member's check fails
+    tail = W.member(W.record(99, "u", b"x", None, False, "d"))
+    ids, gaps = saved(data[:len(data) // 2] + tail)
+    assert ids[-1] == "<urn:page:99>" and len(ids) >= 18 and len(set(ids)) == len(ids)

@@ -7,7 +7,8 @@ sequence of members that any reader of ``.warc.gz`` can open.
 
 The reader checks every record (member checksum, framing, block digest). After
 a failed check it searches for the next member or version line that passes,
-goes on from there and logs the bytes between as a quarantined gap.
+goes on from there and logs the bytes between as a quarantined gap. What a
+damaged member still inflates to is searched in the same way.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ VERSION = b"WARC/1.1\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000ff03000000000000000000")
 _CANDIDATE = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+_VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
 
@@ -98,50 +100,74 @@ def _plain(data: bytes, at: int) -> tuple[Record, int] | None:
     return Record(fields, block), b + 4
 
 
-def _at(data: bytes, at: int) -> tuple[list[Record], int] | None:
-    """The valid member or plain record at a place, as (records, end)."""
+def _inflated(data: bytes, at: int) -> tuple[bytes, int | None]:
+    """What a gzip member inflates to, as far as it does, and its checked end (None: damaged or cut off)."""
+    inflate, parts, end = zlib.decompressobj(31), [], at
+    while not inflate.eof and end < len(data):  # stops at the member's checked end
+        before, piece = inflate.copy(), data[end:end + 65536]
+        try:
+            parts.append(inflate.decompress(piece))
+        except zlib.error:
+            try:  # the bytes before the damage
+                for k in range(len(piece)):
+                    parts.append(before.decompress(piece[k:k + 1]))
+            except zlib.error:
+                pass
+            return b"".join(parts), None
+        end = min(end + 65536, len(data))
+    return b"".join(parts), end - len(inflate.unused_data) if inflate.eof else None
+
+
+def _at(data: bytes, at: int) -> tuple[list[Record], int | None, bool] | None:
+    """Records of the member or plain record at a place, its end (None: unknown) and whether bytes in it are lost.
+
+    Of a member with damage, records at its version lines count if they pass; where
+    the member's own check fails, only with a block digest, and not a record that
+    is the whole member, as it is what the check denies.
+    """
     if data[at:at + 3] != b"\x1f\x8b\x08":
         found = _plain(data, at)
-        return found and ([found[0]], found[1])
-    inflate, parts, end = zlib.decompressobj(31), [], at
-    try:
-        while not inflate.eof and end < len(data):  # stops at the member's checked end
-            parts.append(inflate.decompress(data[end:end + 65536]))
-            end = min(end + 65536, len(data))
-    except zlib.error:
-        return None
-    if not inflate.eof:
-        return None
-    raw = b"".join(parts)
-    records, inner = [], 0
+        return found and ([found[0]], found[1], False)
+    raw, end = _inflated(data, at)
+    records, inner, lost = [], 0, end is None
     while inner < len(raw):
         found = _plain(raw, inner)
-        if not found:
-            return None
-        records.append(found[0])
-        inner = found[1]
-    return records, end - len(inflate.unused_data)
+        if found and (end is not None or "warc-block-digest" in found[0].fields):
+            if end is None and inner == 0 and found[1] == len(raw):
+                return None
+            records.append(found[0])
+            inner = found[1]
+        else:
+            lost = True
+            line = _VERSION_LINE.search(raw, inner + 1)
+            inner = line.start() if line else len(raw)
+    return (records, end, lost) if records or not lost else None
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, Record | None]]:
-    """('record' | 'gap', start, end, record) over all bytes of an archive, in order."""
-    at = 0
+    """('record' | 'gap', start, end, record) over all bytes of an archive, in order.
+
+    A damaged member is a gap, followed by the records that are saved from it; these have its place.
+    """
+    at, good = 0, None
     while at < len(data):
-        good = _at(data, at)
-        start = at
-        if not good:
+        start, good = at, good or _at(data, at)
+        records, end, lost = good or ([], None, True)
+        good = None
+        if end is None:
             for m in _CANDIDATE.finditer(data, at + 1):
-                if good := _at(data, m.start()):
-                    at = m.start()
+                good = _at(data, m.start())
+                # bytes that a member stores as they are hold its records once more
+                if good and not (good[0] and all(r in records for r in good[0])):
+                    end = m.start()
                     break
             else:
-                at = len(data)
-            yield "gap", start, at, None
-            if not good:
-                return
-        for r in good[0]:
-            yield "record", at, good[1], r
-        at = good[1]
+                end, good = len(data), None
+        if lost:
+            yield "gap", start, end, None
+        for r in records:
+            yield "record", start, end, r
+        at = end
 
 
 def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html",

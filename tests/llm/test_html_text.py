@@ -35,3 +35,14 @@ def test_rows(spark):
     rows = H.extract(pages).collect()
     assert len(rows) == 3 and {(r.page_id, r.n_chars) for r in rows} == {(1, len(H.main_text(PAGE))), (None, 0)}
     assert H.extract(pages.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("wrapper", ["div class='content with-sidebar'", "div class='site has-sidebar'",
+                                     "section class='post share-enabled'", "form", "div id='search-map'"])
+def test_wrappers_with_furniture_names_keep_the_article(wrapper):
+    lines = [f"Paragraph {i} of the article has some words in it." for i in range(8)]
+    article = "".join(f"<p>{x}</p>" for x in lines)
+    small = "<div class='sidebar'><p>Side words</p></div><form>your name</form>"
+    for heading in ("<h1>Head</h1>", ""):
+        html = f"<body><{wrapper}>{heading}{article}{small}</{wrapper.split()[0]}><footer>f</footer></body>"
+        assert H.main_text(html).split("\n") == (["Head"] if heading else []) + lines

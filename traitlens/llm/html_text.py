@@ -21,11 +21,13 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt "
                    "ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements that are never article text.
-DROPPED = frozenset("script style noscript template head title nav header footer aside form button select textarea "
+DROPPED = frozenset("script style noscript template head title nav header footer aside button select textarea "
                     "input dialog iframe object embed svg canvas audio video map menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu "
                   "menubar".split())
-#: Words of a class or id that name page furniture.
+#: Share of the body's characters outside links from which a named element is no furniture: with the heading, without.
+WITH_HEADING, WITHOUT_HEADING = 0.2, 0.5
+#: Words of a class or id that name page furniture, if the element is not most of the page.
 FURNITURE = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar aside menu nav "
     "navbar navigation breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr notice notices alert "
@@ -47,7 +49,7 @@ class Dom(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.tags, self.parents, self.dropped = ["#page"], [0], [False]
+        self.tags, self.parents, self.dropped, self.named = ["#page"], [0], [False], [False]
         self.texts: list[tuple[int, int, str]] = []
         self.open = [0]
         self.block = 0
@@ -66,7 +68,8 @@ class Dom(HTMLParser):
         parent = self.open[-1]
         self.tags.append(tag)
         self.parents.append(parent)
-        self.dropped.append(self.dropped[parent] or self._furniture(tag, attrs))
+        self.dropped.append(self.dropped[parent] or self._never_text(tag, attrs))
+        self.named.append(self._named(tag, attrs))
         if tag not in VOID:
             self.open.append(len(self.tags) - 1)
         elif tag == "br":
@@ -93,18 +96,35 @@ class Dom(HTMLParser):
                 return
 
     @staticmethod
-    def _furniture(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if tag in DROPPED:
-            return True
-        if tag in _KEPT:
-            return False
-        for name, value in attrs:
-            if name in ("class", "id") and value:
-                if not FURNITURE.isdisjoint(w.lower() for w in _WORD.findall(value)):
-                    return True
-            elif name == "hidden" or name == "role" and (value or "").lower() in ROLES:
-                return True
-        return False
+    def _never_text(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        return tag in DROPPED or tag not in _KEPT and any(
+            name == "hidden" or name == "role" and (value or "").lower() in ROLES for name, value in attrs)
+
+    @staticmethod
+    def _named(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        return tag == "form" or tag not in _KEPT and any(
+            name in ("class", "id") and value and not FURNITURE.isdisjoint(w.lower() for w in _WORD.findall(value))
+            for name, value in attrs)
+
+    def drop_furniture(self) -> None:
+        """Drop named elements, except wrappers: those that hold most of the text, or the heading and much of it."""
+        if not any(self.named):
+            return
+        n = len(self.tags)
+        in_link, chars, heading = [False] * n, [0] * n, [False] * n
+        for i in range(1, n):
+            in_link[i] = self.tags[i] == "a" or in_link[self.parents[i]]
+        for node, _, text in self.texts:
+            if not self.dropped[node] and not in_link[node]:
+                chars[node] += sum(map(len, text.split()))
+        for i in range(n - 1, 0, -1):  # children come after their parents
+            if not self.dropped[i]:
+                heading[i] |= self.tags[i] == "h1" and chars[i] > 0
+                chars[self.parents[i]] += chars[i]
+                heading[self.parents[i]] |= heading[i]
+        for i in range(1, n):
+            furniture = self.named[i] and chars[i] <= (WITH_HEADING if heading[i] else WITHOUT_HEADING) * chars[0]
+            self.dropped[i] |= self.dropped[self.parents[i]] or furniture
 
 
 def density(chars: int, tags: int, link_chars: int, link_tags: int, ratio: float) -> float:
@@ -124,6 +144,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     dom = Dom(html)
+    dom.drop_furniture()
     n = len(dom.tags)
     chars, links, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n

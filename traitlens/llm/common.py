@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,6 +91,19 @@ def shingle_set(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
     return np.unique(mix(h))
 
 
+def slices_by_chars(batch: pa.RecordBatch, text: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in order, in slices of at most ``limit`` characters in column ``text``, or of one row."""
+    if not batch.num_rows:
+        return
+    size = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(size):
+        served = size[at - 1] if at else 0
+        end = max(int(np.searchsorted(size, served + limit, "right")), at + 1)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def streamed_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """The runs of rows with equal ``key`` of a partition sorted by it, one table each."""
     held: list[pa.RecordBatch] = []

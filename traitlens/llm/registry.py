@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from traitlens.llm import (decontam, html_text, jaccard_join, kneser_ney, license_scan, packing, pii, repetition,
-                           url_filter, warc)
+from traitlens.llm import (decontam, html_text, jaccard_join, kneser_ney, license_scan, packing, phrases,
+                           piece_encoding, pii, prefix_trie, repetition, url_filter, warc)
 from traitlens.llm.common import shared_path, table
 
 
@@ -70,11 +70,27 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct prefix of the rebuilt conversations, with its members, leaves and savings."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document under the merge-type vocabulary, and the text decoded from them, as digests."""
+    return piece_encoding.digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest phrases of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_repetition, op2_kneser_ney, op3_warc, op4_jaccard_join, op5_packing, op6_html_text, op7_decontamination,
-        op8_license_scan, op9_pii, op10_url_filter)}
+        op8_license_scan, op9_pii, op10_url_filter, op11_prefix_trie, op12_sentencepiece, op13_phrases)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": warc.ORACLE, "op10_url_filter": url_filter.ORACLE}
+    return {"op3_warc": warc.ORACLE, "op10_url_filter": url_filter.ORACLE, "op11_prefix_trie": prefix_trie.ORACLE,
+            "op13_phrases": phrases.ORACLE}

@@ -41,14 +41,16 @@ def test_ids_and_texts_equal_the_library():
         assert c.decode(np.array(ids, "<u4").tobytes()) == sp.decode(ids)
 
 
-def test_agenda_equals_best_pair_by_search():
-    """A search of all pairs for the best one after every merge gives the agenda's pieces."""
+@pytest.mark.parametrize("short", [0, 10_000])
+def test_agenda_equals_best_pair_by_search(monkeypatch, short):
+    """A search of all pairs for the best one after every merge gives the agenda's pieces, list or heap."""
+    monkeypatch.setattr(P, "SHORT", short)
     agenda = P.Codec(PATH).agenda
     for text in strings(8, 300):
         symbols = list(text)
         while True:
-            pairs = [(-agenda.scores[a + b], i) for i, (a, b) in enumerate(zip(symbols, symbols[1:]))
-                     if a + b in agenda.scores]
+            pairs = [(agenda.costs[a + b], i) for i, (a, b) in enumerate(zip(symbols, symbols[1:]))
+                     if a + b in agenda.costs]
             if not pairs:
                 break
             i = min(pairs)[1]
@@ -56,6 +58,19 @@ def test_agenda_equals_best_pair_by_search():
         assert agenda.merged(text) == symbols
 
 
+@pytest.mark.parametrize("cuts", [True, False])
+def test_segments_lose_nothing_and_whole_texts_agree(cuts):
+    c, sp = P.Codec(PATH), library()
+    if not cuts:
+        c.cuts, c.segments = False, lambda text: [text]
+    texts = [t or "" for t in ODD[:15]] + list(strings(6, 400))
+    for t in texts:
+        assert "".join(c.segments(t)) == t
+    ids = [c.encode(t) for t in texts]
+    c.check(texts, ids, [c.decode(x) for x in ids])
+    assert [np.frombuffer(x, "<u4").tolist() for x in ids] == sp.encode(texts, add_bos=True, add_eos=True)
+
+
 def test_full_store_of_segments_changes_nothing(monkeypatch):
     monkeypatch.setattr(P, "SEGMENTS_KEPT", 3)
     c, sp = P.Codec(PATH), library()
@@ -70,8 +85,10 @@ def test_unknown_symbols_without_byte_pieces():
 
 def test_difference_from_the_library_raises():
     c = P.Codec(PATH)
+    c.agenda.costs = {}  # nothing is merged
     with pytest.raises(ValueError, match="ids differ"):
-        c.check(["some text"], [c.encode("another text")], ["some text"])
+        c.check(["some text"], [c.encode("some text")], ["some text"])
+    c = P.Codec(PATH)
     with pytest.raises(ValueError, match="decoded"):
         c.check(["some text"], [c.encode("some text")], ["another text"])
 

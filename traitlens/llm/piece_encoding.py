@@ -7,10 +7,11 @@ join the agenda, and pairs whose symbols have changed meanwhile are passed
 over. Symbols left without a piece fall back to byte pieces.
 
 Merges never cross a place where no piece of the vocabulary holds both sides,
-so a text is cut before each run of spaces (and around line feeds) where the
-vocabulary allows it, and the ids of short segments are kept for the next text.
-The library encodes and decodes every Arrow batch once more; a difference ends
-the job.
+so a text is cut before each run of spaces, around line feeds and between
+letters and other characters where the vocabulary allows it, and the ids of
+short segments are kept for the next text. With every Arrow batch the library encodes the segments that
+were worked out for it (whole texts where the vocabulary allows no cut) and
+decodes all of its ids; a difference ends the job.
 """
 
 from __future__ import annotations
@@ -29,8 +30,10 @@ from traitlens.llm.common import slices_by_chars
 
 #: The vocabulary's mark of a space.
 SPACE = "▁"
+#: The longest segment whose agenda is a plain list searched for its best pair; longer ones take a heap.
+SHORT = 48
 #: Segments whose ids a worker keeps, and the longest of them; neither changes a result.
-SEGMENTS_KEPT = 400_000
+SEGMENTS_KEPT = 1_000_000
 LONGEST_KEPT = 32
 #: Characters of texts encoded and checked at a time.
 BATCH_CHARS = 2_000_000
@@ -40,10 +43,13 @@ class Agenda(dict):
     """Ids (little-endian unsigned 32-bit) of segments, worked out when first asked for."""
 
     def __init__(self, scores: dict[str, float], ids: dict[str, int], byte_ids: list[int] | None, unknown: int):
-        self.scores, self.ids, self.byte_ids, self.unknown = scores, ids, byte_ids, unknown
+        self.costs = {p: -s for p, s in scores.items()}
+        self.ids, self.byte_ids, self.unknown = ids, byte_ids, unknown
+        self.fresh: list[tuple[str, bytes]] = []
 
     def __missing__(self, segment: str) -> bytes:
         found = self.encode(segment)
+        self.fresh.append((segment, found))
         if len(segment) <= LONGEST_KEPT:
             if len(self) >= SEGMENTS_KEPT:
                 self.clear()
@@ -64,16 +70,35 @@ class Agenda(dict):
 
     def merged(self, segment: str) -> list[str]:
         """The pieces that stand when the agenda is empty."""
-        score = self.scores.get
+        if len(segment) > SHORT:
+            return self._merged_by_heap(segment)
+        cost, none = self.costs.get, float("inf")
+        symbols = list(segment)
+        agenda = [cost(a + b, none) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == none:
+                break
+            i = agenda.index(best)  # the leftmost of equals
+            symbols[i:i + 2] = [symbols[i] + symbols[i + 1]]
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = cost(symbols[i] + symbols[i + 1], none)
+            if i:
+                agenda[i - 1] = cost(symbols[i - 1] + symbols[i], none)
+        return symbols
+
+    def _merged_by_heap(self, segment: str) -> list[str]:
+        cost = self.costs.get
         symbols: list[str | None] = list(segment)
         n = len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda = []
         for i in range(n - 1):
             pair = segment[i:i + 2]
-            s = score(pair)
-            if s is not None:
-                agenda.append((-s, i, i + 1, pair))
+            c = cost(pair)
+            if c is not None:
+                agenda.append((c, i, i + 1, pair))
         heapq.heapify(agenda)
         while agenda:
             _, left, right, pair = heapq.heappop(agenda)
@@ -85,18 +110,29 @@ class Agenda(dict):
             if far < n:
                 before[far] = left
                 joined = pair + symbols[far]
-                s = score(joined)
-                if s is not None:
-                    heapq.heappush(agenda, (-s, left, far, joined))
+                c = cost(joined)
+                if c is not None:
+                    heapq.heappush(agenda, (c, left, far, joined))
             near = before[left]
             if near >= 0:
                 joined = symbols[near] + pair
-                s = score(joined)
-                if s is not None:
-                    heapq.heappush(agenda, (-s, near, left, joined))
+                c = cost(joined)
+                if c is not None:
+                    heapq.heappush(agenda, (c, near, left, joined))
         return [s for s in symbols if s is not None]
 
 
+def _apart(pieces: list[str]) -> str:
+    """Letters that are to count as other characters, so that no piece joins a letter to another character."""
+    other: set[str] = set()
+    pairs = {(a, b) for p in pieces for x, y in zip(p, p[1:]) for a, b in ((x, y), (y, x))}
+    letter = {c: bool(re.match(r"[^\W\d_]", c)) for a in pairs for c in a}
+    while more := {a for a, b in pairs if letter[a] and a not in other and b != SPACE
+                   and (not letter[b] or b in other)}:
+        other |= more
+    return "".join(map(re.escape, sorted(other)))
+
+
 class Codec:
     """Ids of whole texts and texts of ids under one vocabulary file."""
 
@@ -115,16 +151,12 @@ class Codec:
             if any(sp.is_byte(i) for i in range(n)) else None
         self.agenda = Agenda({p: s for i in plain for p, s in [(pieces[i], sp.get_score(i))] if len(p) > 1},
                              {pieces[i]: i for i in plain}, byte_ids, sp.unk_id())
-        # places that no piece spans: before a run of spaces, beside a line feed
-        if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in joint):
-            cut = "(?s:.+)"
-        elif any("\n" in p for p in joint):
-            cut = f"{SPACE}*[^{SPACE}]+|{SPACE}+"
-        else:
-            cut = f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+"
-        self.segments = re.compile(cut).findall
-        if byte_ids is None:  # a run of unknown symbols may then span segments
-            self.segments = lambda text: [text]
+        # places that no piece spans: before a run of spaces, around line feeds, beside letters. Without byte
+        # pieces a run of unknown symbols is one id and may span them.
+        self.cuts = byte_ids is not None and not any("\n" in p or re.search(f"[^{SPACE}]{SPACE}", p) for p in joint)
+        other = _apart(joint)
+        word = rf"{SPACE}*[^\W\d_{other}]+|{SPACE}*(?:[^\w{SPACE}\n]|[\d_{other}])+"
+        self.segments = re.compile(rf"{word}|\n|{SPACE}+").findall if self.cuts else lambda text: [text]
         self.begin, self.end = (np.array([i], "<u4").tobytes() for i in (sp.bos_id(), sp.eos_id()))
         self.surface = [b"" if sp.is_control(i) else " ⁇ ".encode() if sp.is_unknown(i)
                         else bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace(SPACE, " ").encode()
@@ -141,14 +173,22 @@ class Codec:
         return raw[raw.startswith(b" "):].decode("utf-8", "replace")
 
     def check(self, texts: list[str], ids: list[bytes], decoded: list[str]) -> None:
-        """Raise unless the library gives the same ids and the same texts back."""
-        expected = self.library.encode(texts, add_bos=True, add_eos=True, num_threads=1)
-        for text, own, theirs in zip(texts, ids, expected):
-            if own != np.array(theirs, "<u4").tobytes():
+        """Raise unless the library gives the same ids, and the same texts back."""
+        fresh, self.agenda.fresh = self.agenda.fresh, []
+        if self.cuts:  # one text of all new segments, a line each
+            feed = self.agenda["\n"]
+            front = self.agenda[SPACE] + feed
+            self.agenda.fresh = []
+            texts, own = ["\n" + "\n".join(x for x, _ in fresh)], [front + feed.join(x for _, x in fresh)]
+        else:
+            own = [x[4:-4] for x in ids]
+        for text, a, b in zip(texts, own, self.library.encode(texts, num_threads=1)):
+            if a != np.array(b, "<u4").tobytes():
                 raise ValueError(f"ids differ from the library's: {text[:200]!r}")
-        for text, own, theirs in zip(texts, decoded, self.library.decode(expected, num_threads=1)):
-            if own != theirs:
-                raise ValueError(f"decoded text differs from the library's: {text[:200]!r}")
+        back = self.library.decode([np.frombuffer(x, "<u4").tolist() for x in ids], num_threads=1)
+        for a, b in zip(decoded, back):
+            if a != b:
+                raise ValueError(f"decoded text differs from the library's: {b[:200]!r}")
 
 
 _codecs: dict[str, Codec] = {}

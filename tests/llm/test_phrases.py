@@ -63,7 +63,7 @@ def found(spark, rows, least, longest=5, top=2000, **more):
     return sorted(tuple(r) for r in P.collocations(docs.repartition(4), least, longest, top, **more).collect())
 
 
-@pytest.mark.parametrize("least,longest,top,shard_bytes", [(3, 5, 2000, 6_000_000), (2, 5, 40, 500), (5, 3, 2000, 1),
+@pytest.mark.parametrize("least,longest,top,shard_bytes", [(3, 5, 2000, 10_000_000), (2, 5, 40, 500), (5, 3, 2000, 1),
                                                            (4, 2, 2000, 200)])
 def test_phrases_equal_brute_force(spark, least, longest, top, shard_bytes):
     rows = texts(least)

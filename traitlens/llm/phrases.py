@@ -10,8 +10,8 @@ there share one, the word before and the word after. Sums and extremes over
 the shards give exact counts and tell which phrases always stand in a longer one.
 
 No phrase is frequent unless its words and pairs are. So shards report words
-first, then pairs of frequent words, then longer phrases along frequent pairs;
-after each report the frequent ones come back to the shards that hold them.
+first, then pairs of frequent words, and the frequent ones come back to the
+shards that hold them; indexes are built of the text along frequent pairs.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ LEAST = 100
 LONGEST = 5
 TOP = 2000
 #: Bytes of text in a shard (a longer piece is a shard of its own); results do not depend on it.
-SHARD_BYTES = 6_000_000
+SHARD_BYTES = 10_000_000
 #: Bits of a word's number within its shard, and of a shard's within its task.
 WORD_BITS, SHARD_BITS = 26, 12
 
@@ -155,56 +156,66 @@ def phrases_of(x: np.ndarray, shortest: int, longest: int):
         symbols = [s[of] for s in symbols] + [symbol]
 
 
-def _along(x: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """x reduced to runs of three symbols or more whose neighbours are all among ``pairs``, separated by 0."""
-    linked = np.isin(x[:-1] << 32 | x[1:], pairs)
+def _along(x: np.ndarray, linked: np.ndarray) -> np.ndarray:
+    """x reduced to runs of two symbols or more whose neighbours are ``linked``, separated by 0."""
     edge = np.diff(np.concatenate(([0], linked.view(np.int8), [0])))
-    start, n = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - np.flatnonzero(edge == 1)
-    start, n = start[n >= 2], n[n >= 2] + 1
+    start = np.flatnonzero(edge == 1)
+    n = np.flatnonzero(edge == -1) - start + 1
     out = x[_ranges(start, n + 1) % len(x)]
     out[np.cumsum(n + 1) - 1] = 0
     return np.concatenate(([0], out))
 
 
-def _enumerated(shortest: int, longest: int):
-    """A shard's rows (own number; the shard's ids, frequent words with their global number, or pairs)
-    -> its phrases of frequent words, of ``longest`` > 2 along frequent pairs."""
+def _frequent(shard: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """A shard's frequent words numbered from 1 on in its text's order (0: any other or a break), and their
+    global numbers (-1 at 0)."""
+    kind, code, gid = (shard.column(c).to_numpy() for c in ("kind", "code", "gid"))
+    at = int(np.flatnonzero(kind == 0)[0])
+    x = np.frombuffer(pa.decompress(shard.column("ids")[at].as_py(), int(gid[at]) * 4, codec="zstd"), np.int32)
+    codes, gids = code[kind == 1], gid[kind == 1]
+    number = np.zeros(max(int(x.max()), int(codes.max(initial=0))) + 1, np.int64)
+    number[codes] = np.arange(1, len(codes) + 1)
+    return number[x], np.concatenate(([-1], gids))
+
+
+_PAIRS = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("shard", pa.int64()), ("count", pa.int64())])
+
+
+def _pairs(shard: pa.Table) -> pa.Table:
+    """A shard's row of ids and rows of frequent words -> its pairs of neighbouring frequent words."""
+    x, gids = _frequent(shard)
+    key, count = np.unique((x[:-1] * len(gids) + x[1:])[(x[:-1] > 0) & (x[1:] > 0)], return_counts=True)
+    first, second = np.divmod(key, len(gids))
+    return pa.table([pa.array(gids[first]), pa.array(gids[second]),
+                     pa.array(np.full(len(key), shard.column("shard")[0].as_py())), pa.array(count)], schema=_PAIRS)
+
+
+_PHRASES = pa.schema([("ws", pa.list_(pa.int64())), ("count", pa.int64()), ("before", pa.int64()),
+                      ("after", pa.int64())])
+
+
+def _phrases(longest: int):
+    """A shard's row of ids and rows of frequent words and pairs -> its phrases along frequent pairs."""
     def run(shard: pa.Table) -> pa.Table:
-        kind = shard.column("kind").to_numpy()
-        code, gid = shard.column("code").to_numpy(), shard.column("gid").to_numpy()
-        at = int(np.flatnonzero(kind == 0)[0])
-        x = np.frombuffer(pa.decompress(shard.column("ids")[at].as_py(), int(gid[at]) * 4, codec="zstd"), np.int32)
-        frequent = np.sort(code[kind == 1])
-        gids = np.concatenate(([-1], gid[kind == 1][np.argsort(code[kind == 1])]))
-        number = np.zeros(max(int(x.max()), int(frequent[-1]) if len(frequent) else 0) + 1, np.int64)
-        number[frequent] = np.arange(1, len(frequent) + 1)
-        x = number[x]
-        if longest > 2:
-            pairs = code[kind == 2]
-            x = _along(x, number[pairs >> 32] << 32 | number[pairs & 0xFFFFFFFF])
-        tables = [_SHARD_PHRASES.empty_table()]
+        x, gids = _frequent(shard)
+        pairs = shard.filter(pc.equal(shard.column("kind"), 2))
+        order = np.argsort(gids)
+        first, second = (order[np.searchsorted(gids, pairs.column(c).to_numpy(), sorter=order)]
+                         for c in ("code", "gid"))
+        x = _along(x, np.isin(x[:-1] * len(gids) + x[1:], first * len(gids) + second))
+        tables = [_PHRASES.empty_table()]
         if x.any():
-            used, x = np.unique(np.concatenate(([0], x)), return_inverse=True)
-            for symbols, count, before, after in phrases_of(x, shortest, longest):
-                words = [gids[used[s]] for s in symbols]
-                n = len(count)
-                if not n:
-                    continue
-                flat = pa.array(np.stack(words, 1).ravel())
-                pair = frequent[used[symbols[0]] - 1] << 32 | frequent[used[symbols[1]] - 1]
+            used, x = np.unique(x, return_inverse=True)
+            for symbols, count, before, after in phrases_of(x, 2, longest):
+                n, m = len(count), len(symbols)
                 tables.append(pa.table(
-                    [pa.array(np.full(n, shard.column("shard")[0].as_py())), pa.array(pair),
-                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * len(words)), flat),
-                     pa.array(count), pa.array(gids[used[before]]), pa.array(gids[used[after]])],
-                    schema=_SHARD_PHRASES))
+                    [pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * m),
+                                              pa.array(gids[used[np.stack(symbols, 1).ravel()]])),
+                     pa.array(count), pa.array(gids[used[before]]), pa.array(gids[used[after]])], schema=_PHRASES))
         return pa.concat_tables(tables)
     return run
 
 
-_SHARD_PHRASES = pa.schema([("shard", pa.int64()), ("pair", pa.int64()), ("ws", pa.list_(pa.int64())),
-                            ("count", pa.int64()), ("before", pa.int64()), ("after", pa.int64())])
-
-
 def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text: str = "text",
             lang: str = "lang", shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Exact counts per language, as three written tables.
@@ -240,21 +251,15 @@ def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text: s
     nothing = F.lit(None).cast("binary").alias("ids")
     known = frequent.select(F.expr(f"own >> {WORD_BITS}").alias("shard"), F.lit(1).alias("kind"),
                             F.expr(f"own & {mask}L").alias("code"), "gid", nothing)
-    schema = "shard long, pair long, ws array<long>, count long, before long, after long"
-
-    pairs = ids.unionByName(known).groupBy("shard").applyInArrow(_enumerated(2, 2), schema)
-    pairs = written(pairs.withColumn("a", F.sum("count").over(Window.partitionBy("ws"))).where(F.col("a") >= least),
-                    "phrase-pairs")
-    steps = pairs.select("shard", F.lit(2).alias("kind"), F.col("pair").alias("code"),
-                         F.lit(0).cast("long").alias("gid"), nothing)
-    longer = ids.unionByName(known).unionByName(steps).groupBy("shard").applyInArrow(_enumerated(3, longest), schema)
-
-    def summed(found: DataFrame) -> DataFrame:
-        return found.groupBy("ws").agg(F.sum("count").alias("a"), *[
-            f(side).alias(f"{name}_{side}") for side in ("before", "after")
-            for name, f in (("least", F.min), ("most", F.max))]).where(F.col("a") >= least)
-
-    found = summed(pairs) if longest == 2 else summed(pairs).unionByName(summed(longer))
+    pairs = ids.unionByName(known).groupBy("shard").applyInArrow(_pairs, "w1 long, w2 long, shard long, count long")
+    pairs = written(pairs.withColumn("a", F.sum("count").over(Window.partitionBy("w1", "w2")))
+                    .where(F.col("a") >= least).select("shard", "w1", "w2"), "phrase-pairs")
+    steps = pairs.select("shard", F.lit(2).alias("kind"), F.col("w1").alias("code"), F.col("w2").alias("gid"), nothing)
+    found = ids.unionByName(known).unionByName(steps).groupBy("shard").applyInArrow(
+        _phrases(longest), "ws array<long>, count long, before long, after long")
+    found = found.groupBy("ws").agg(F.sum("count").alias("a"), *[
+        f(side).alias(f"{name}_{side}") for side in ("before", "after")
+        for name, f in (("least", F.min), ("most", F.max))]).where(F.col("a") >= least)
     found = found.select("ws", "a", F.expr(
         f"size(ws) < {longest} and (least_before >= 0 and least_before = most_before or "
         "least_after >= 0 and least_after = most_after)").alias("inside"))

@@ -6,7 +6,7 @@ import pytest
 
 from traitlens.operators import quality as Q
 from traitlens.plans.quality_rules import star_rules
-from traitlens.plans.registry import _star_tables
+from traitlens.plans.star import build_star
 
 
 def test_rule_count_matches_model():
@@ -26,7 +26,7 @@ def test_row_rules_null_passes(spark):
 
 
 def test_failing_rows_all_equals_union_of_single_rules(spark, inputs):
-    tables = _star_tables(inputs)
+    tables = build_star(inputs.raw)
     rules = [r for r in star_rules() if r.table == "stg_profiles" and r.kind in Q.ROW_KINDS]
     one_pass = Q.failing_rows_all(tables["stg_profiles"], rules, "breed_id")
     union = None
@@ -37,7 +37,7 @@ def test_failing_rows_all_equals_union_of_single_rules(spark, inputs):
 
 
 def test_planted_rows_fail_range_and_order_rules(inputs):
-    summary = {r.test_name: r.failures for r in Q.summarize(_star_tables(inputs), star_rules()).collect()}
+    summary = {r.test_name: r.failures for r in Q.summarize(build_star(inputs.raw), star_rules()).collect()}
     raw = inputs.raw
     heights = raw.where("height__imperial = '45 - 42.5'").count()
     lives = raw.where("life_span = '29 - 27 years'").count()
@@ -68,12 +68,12 @@ def test_summary_evaluates_relationships_within_one_frame(spark):
 
 
 def test_enforce_raises_on_error_severity(inputs):
-    summary = Q.summarize(_star_tables(inputs), star_rules())
+    summary = Q.summarize(build_star(inputs.raw), star_rules())
     with pytest.raises(Q.QualityError):
         Q.enforce(summary)
     warn_only = [Q.Rule(r.table, r.kind, r.column, r.values, r.low, r.high, r.expression, r.parent,
                         r.parent_column, "warn") for r in star_rules()]
-    Q.enforce(Q.summarize(_star_tables(inputs), warn_only))
+    Q.enforce(Q.summarize(build_star(inputs.raw), warn_only))
 
 
 def test_recency(spark):
@@ -101,7 +101,7 @@ def test_store_failures_writes_tests_schema(spark, inputs):
 
 def test_summary_is_single_scan_per_table(inputs):
     rules = [r for r in star_rules() if r.table == "dim_profiles" and r.kind in Q.ROW_KINDS]
-    plan = Q.summarize(_star_tables(inputs), rules)._jdf.queryExecution().executedPlan().toString()
+    plan = Q.summarize(build_star(inputs.raw), rules)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
 
 

@@ -61,3 +61,44 @@ def test_nan_option_keeps_literal_nan(inputs):
 
 def test_staging_column_order(inputs):
     assert tuple(inputs.stg.columns) == S.STAGING_COLUMNS
+
+
+def test_frame_equals_the_marts_columns(inputs):
+    """Narrow frames hold the same values as the marts, and only parse or score when a column asks for it."""
+    star = S.build_star(inputs.raw)
+    keys = S.frame(inputs.raw, ["breed_id", "breed_name", "data_completeness_score", "has_weight_data"])
+    dim = star["dim_profiles"].select(*keys.columns)
+    assert keys.exceptAll(dim).count() == 0 and dim.exceptAll(keys).count() == 0
+    assert "Generate" not in keys._jdf.queryExecution().optimizedPlan().toString()
+    wide = S.frame(inputs.raw, ["breed_id", "size_category", "avg_weight_kg", "family_suitability", "build_type"],
+                   {"exact_kg": "avg_weight_kg"})
+    joined = star["dim_profiles"].select("breed_id", "size_category", "avg_weight_kg").join(
+        star["dim_traits"].select("breed_id", "family_suitability"), "breed_id").join(
+        star["fct_metrics"].select("breed_id", "build_type", F.col("avg_weight_kg").alias("exact_kg")), "breed_id")
+    assert wide.exceptAll(joined).count() == 0 and joined.count() == wide.count()
+
+
+def test_range_texts_are_parsed_once(spark, inputs):
+    """No registered star query substitutes the parsers into its filters: at most ten regexes per parsed text."""
+    from traitlens.plans import registry
+
+    for name in ("dq_values", "dq_range", "dq_expr", "family_search_light", "top_traits", "grounding_excerpt"):
+        plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        scans = max(plan.count("Relation ["), 1)
+        assert plan.count("regexp_extract(") <= 10 * 5 * scans, (name, plan.count("regexp_extract("), scans)
+
+
+def test_registered_queries_compile(spark):
+    """Generated code of the widest queries compiles: without the fallback a failure would end the query."""
+    from traitlens.plans import registry
+
+    strict = {"spark.sql.codegen.fallback": "false", "spark.sql.codegen.factoryMode": "CODEGEN_ONLY"}
+    before = {k: spark.conf.get(k) for k in strict}
+    try:
+        for k, v in strict.items():
+            spark.conf.set(k, v)
+        for name in ("dq_values", "dq_range", "dq_expr", "dq_summary", "stg_profiles", "fct_metrics", "top_traits"):
+            registry.queries()[name](spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

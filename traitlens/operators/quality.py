@@ -12,6 +12,7 @@ keys. NULL passes every rule except not_null, as in the source model.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -44,6 +45,13 @@ class Rule:
     def name(self) -> str:
         return f"{self.kind}__{self.table}__{self.column}"
 
+    @property
+    def columns(self) -> tuple[str, ...]:
+        """Names the rule reads: its column, or every word of its expression."""
+        if self.kind == "expression_is_true":
+            return tuple(dict.fromkeys(re.findall(r"[A-Za-z_]\w*", self.expression)))
+        return (self.column,)
+
     def violation(self) -> Column:
         """True for a failing row (row rules only). Never NULL."""
         c = F.col(self.column) if self.column else None

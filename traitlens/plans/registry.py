@@ -19,6 +19,7 @@ from traitlens.operators.filters import Filters
 from traitlens.plans import oracle as O
 from traitlens.plans import reports as R
 from traitlens.plans import star as S
+from traitlens.session import BASE_CONF
 from traitlens.sources.fixture import raw_profiles
 from traitlens.sources.tables import table
 
@@ -50,6 +51,10 @@ class Inputs:
     def stg(self) -> DataFrame:
         return S.stage(self.raw)
 
+    def frame(self, *columns: str, fct_columns: dict[str, str] | None = None) -> DataFrame:
+        """The given columns of the star, as narrow as they allow."""
+        return S.frame(self.raw, columns, fct_columns)
+
     @cached_property
     def profiles(self) -> DataFrame:
         return S.profile_frame(self.stg)
@@ -58,17 +63,13 @@ class Inputs:
     def fct(self) -> DataFrame:
         return S.fct_metrics(self.stg)
 
-    @cached_property
-    def star(self) -> DataFrame:
-        return S.star_frame(self.stg)
-
     @cached_property
     def dim(self) -> DataFrame:
         return S.dim_profiles(self.stg)
 
     @cached_property
     def traits(self) -> DataFrame:
-        return S.dim_traits(self.stg)
+        return S.dim_traits(S.stage(self.raw, measures=False))
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,9 +79,10 @@ ORACLE: dict[str, str] = {}
 
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     """Lazy inputs of one call: tables are listed anew each time, so a rewritten one is seen."""
-    # Load stamps and "as of" instants are UTC wall-clock values.
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # Load stamps and "as of" instants are UTC wall-clock values; wide stages must stay compilable.
+    for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
+        if spark.conf.get(key) != BASE_CONF[key]:
+            spark.conf.set(key, BASE_CONF[key])
     return Inputs(spark, sf_dir)
 
 
@@ -163,7 +165,7 @@ def dim_traits(i: Inputs) -> DataFrame:
     f"select size_category, count(*) as breed_count from prof where {_filters_sql(Filters())}"
     " group by size_category", _PROFILES + _BOUNDS))
 def size_distribution(i: Inputs) -> DataFrame:
-    return R.size_distribution(i.dim, Filters())
+    return R.size_distribution(i.frame("breed_group", "size_category", "avg_weight_kg"), Filters())
 
 
 @register("longest_lived", _with(
@@ -171,7 +173,7 @@ def size_distribution(i: Inputs) -> DataFrame:
     " and avg_life_span_years is not null order by avg_life_span_years desc, breed_name limit 10",
     _PROFILES))
 def longest_lived(i: Inputs) -> DataFrame:
-    return R.longest_lived(i.dim, LONGEST_LIVED_FILTERS)
+    return R.longest_lived(i.frame("breed_group", "size_category", "avg_weight_kg", "breed_name", "avg_life_span_years"), LONGEST_LIVED_FILTERS)
 
 
 @register("top_traits", _with(
@@ -181,12 +183,15 @@ where {_filters_sql(TOP_TRAITS_FILTERS)} and family_suitability in ({_in(TOP_TRA
   and total_traits > 0
 group by 1 order by occurrences desc, temperament_trait limit 15""", _PROFILES + _BOUNDS))
 def top_traits(i: Inputs) -> DataFrame:
-    return R.top_traits(i.profiles, TOP_TRAITS_FILTERS)
+    return R.top_traits(i.frame("breed_group", "size_category", "avg_weight_kg", "family_suitability", "total_traits", "trait_array"),
+                        TOP_TRAITS_FILTERS)
 
 
 @register("top_traits_stored", ORACLE["top_traits"])
 def top_traits_stored(i: Inputs) -> DataFrame:
-    return R.top_traits_stored(i.dim, i.traits, TOP_TRAITS_FILTERS)
+    return R.top_traits_stored(i.frame("breed_id", "breed_group", "size_category", "avg_weight_kg"),
+                               i.frame("breed_id", "family_suitability", "total_traits", "trait_array"),
+                               TOP_TRAITS_FILTERS)
 
 
 # Analyses --------------------------------------------------------------------
@@ -207,7 +212,7 @@ join ({_top_names_sql('fam', 'size_category', 'family_friendliness_score desc, b
     _PROFILES + ",\nfam as (select * from prof where family_suitability in "
                 "('Excellent for Families', 'Good for Families'))"))
 def family_by_size(i: Inputs) -> DataFrame:
-    return R.family_by_size(i.profiles)
+    return R.family_by_size(i.frame("breed_name", "size_category", "family_suitability", "family_friendliness_score"))
 
 
 @register("longevity_by_group", _with("""
@@ -216,7 +221,7 @@ select 'Longevity by Breed Group' as analysis_type, breed_group, count(*) as bre
        max(avg_life_span_years) as max_lifespan
 from dim where avg_life_span_years is not null group by breed_group"""))
 def longevity_by_group(i: Inputs) -> DataFrame:
-    return R.longevity_by_group(i.dim)
+    return R.longevity_by_group(i.frame("breed_group", "avg_life_span_years"))
 
 
 @register("training_scores", _with(f"""
@@ -229,7 +234,7 @@ from (select training_difficulty, count(*) as breed_count,
 join ({_top_names_sql('traits', 'training_difficulty', 'intelligence_score desc, breed_name', 2, 'example_breeds')}) n
   using (training_difficulty)"""))
 def training_scores(i: Inputs) -> DataFrame:
-    return R.training_scores(i.profiles)
+    return R.training_scores(i.frame("breed_name", "training_difficulty", "intelligence_score", "independent_score"))
 
 
 @register("build_stats", _with("""
@@ -255,7 +260,8 @@ join (select temperament_complexity, primary_temperament_category as most_common
             from traits group by temperament_complexity, primary_temperament_category)
       where rk = 1) m using (temperament_complexity)"""))
 def complexity_mode(i: Inputs) -> DataFrame:
-    return R.complexity_mode(i.profiles)
+    return R.complexity_mode(i.frame("temperament_complexity", "total_traits", "primary_temperament_category",
+                                     *R.SCORE_SUM))
 
 
 @register("quality_summary", _with("""
@@ -267,7 +273,8 @@ select 'Data Quality Summary' as analysis_type, 'Overall' as category, count(*)
        round(avg(data_completeness_score), 2) as avg_completeness_score
 from dim"""))
 def quality_summary(i: Inputs) -> DataFrame:
-    return R.quality_summary(i.dim)
+    return R.quality_summary(i.frame("has_weight_data", "has_height_data", "has_lifespan_data", "has_temperament_data",
+                                     "data_completeness_score"))
 
 
 # Documented queries ------------------------------------------------------------
@@ -275,7 +282,7 @@ def quality_summary(i: Inputs) -> DataFrame:
 select breed_name, size_category, avg_life_span_years, family_suitability
 from prof where size_category = 'Small' and family_suitability = 'Excellent for Families'""", _PROFILES))
 def family_search(i: Inputs) -> DataFrame:
-    return R.family_search(i.profiles)
+    return R.family_search(i.frame("breed_name", "size_category", "avg_life_span_years", "family_suitability"))
 
 
 @register("family_search_light", _with("""
@@ -283,7 +290,9 @@ select breed_name, avg_weight_lbs, size_category, avg_life_span_years, family_fr
        training_difficulty, primary_temperament_category
 from prof where avg_weight_lbs <= 50 and family_suitability = 'Excellent for Families'""", _PROFILES))
 def family_search_light(i: Inputs) -> DataFrame:
-    return R.family_search_light(i.profiles)
+    return R.family_search_light(i.frame(
+        "breed_name", "avg_weight_lbs", "size_category", "avg_life_span_years", "family_suitability",
+        "family_friendliness_score", "training_difficulty", "primary_temperament_category"))
 
 
 @register("build_averages", _with("""
@@ -300,7 +309,8 @@ select breed_group, round(avg(total_traits), 6) as avg_temperament_complexity,
        round(avg(family_friendliness_score), 6) as avg_family_score, count(*) as breed_count
 from prof where has_temperament_data group by breed_group""", _PROFILES))
 def complexity_by_group(i: Inputs) -> DataFrame:
-    return R.complexity_by_group(i.profiles)
+    return R.complexity_by_group(i.frame("breed_group", "has_temperament_data", "total_traits", "intelligence_score",
+                                         "family_friendliness_score"))
 
 
 # Facets ----------------------------------------------------------------------
@@ -310,12 +320,12 @@ union select 'size_category', size_category from prof where size_category is not
 union select 'family_suitability', family_suitability from prof
   where family_suitability is not null and family_suitability <> ''""", _PROFILES))
 def facet_values(i: Inputs) -> DataFrame:
-    return R.facet_values(i.profiles)
+    return R.facet_values(i.frame(*R.FACETS))
 
 
 @register("facet_bounds", _with("select min_w, max_w from bounds", _PROFILES + _BOUNDS))
 def facet_bounds(i: Inputs) -> DataFrame:
-    return R.facet_bounds(i.dim)
+    return R.facet_bounds(i.frame("avg_weight_kg"))
 
 
 # Quality ---------------------------------------------------------------------
@@ -325,13 +335,20 @@ from traitlens.plans import quality_rules as QR  # noqa: E402
 _SQL_TABLE = {"stg_profiles": "stg", "dim_profiles": "dim", "fct_metrics": "fct", "dim_traits": "traits"}
 
 
-def _star_tables(i: Inputs) -> dict[str, DataFrame]:
-    return {"stg_profiles": i.stg, "dim_profiles": i.dim, "fct_metrics": i.fct, "dim_traits": i.traits}
+def _star_keys(i: Inputs) -> dict[str, DataFrame]:
+    """The models' keys and names; none of them needs a range or a trait list."""
+    keys = i.frame("breed_id", "breed_name")
+    return {"stg_profiles": keys, "dim_profiles": keys, "fct_metrics": keys, "dim_traits": keys}
 
 
-def _rule_tables(i: Inputs) -> dict[str, DataFrame]:
-    """Model name -> frame: staging, dimension and fact rules share one scan, traits one more."""
-    return {"stg_profiles": i.star, "dim_profiles": i.star, "fct_metrics": i.star, "dim_traits": i.traits}
+def _rule_tables(i: Inputs, rules: list[Q.Rule]) -> dict[str, DataFrame]:
+    """Model name -> frame of the columns its rules read: staging, dimension and fact share one scan, traits another."""
+    def of(*models: str) -> DataFrame:
+        words = dict.fromkeys(c for r in rules if r.table in models for c in r.columns)
+        return i.frame(*dict.fromkeys(["breed_id", "breed_name", *(w for w in words if S.is_column(w))]))
+
+    star = of("stg_profiles", "dim_profiles", "fct_metrics")
+    return {"stg_profiles": star, "dim_profiles": star, "fct_metrics": star, "dim_traits": of("dim_traits")}
 
 
 def _violation_sql(r: Q.Rule) -> str:
@@ -365,8 +382,8 @@ def _rules(kind: str) -> list[Q.Rule]:
 def _failing_rows_query(kind: str):
     def run(i: Inputs) -> DataFrame:
         # the models are 1:1 projections of staging: one scan per frame, not per model
-        tables = _rule_tables(i)
-        parts = [Q.failing_rows_all(df, rs, "breed_id") for df, rs in Q.by_frame(tables, _rules(kind))]
+        rules = _rules(kind)
+        parts = [Q.failing_rows_all(df, rs, "breed_id") for df, rs in Q.by_frame(_rule_tables(i, rules), rules)]
         out = parts[0]
         for part in parts[1:]:
             out = out.unionByName(part)
@@ -419,7 +436,8 @@ _PART_NAME_RULE = Q.unique("part", "p_name")
     [_unique_sql(r, _SQL_TABLE[r.table]) for r in _rules("unique")] + [_unique_sql(_PART_NAME_RULE, "part")])))
 def dq_unique(i: Inputs) -> DataFrame:
     out = Q.duplicate_keys(i.table("part"), _PART_NAME_RULE)
-    return out.unionByName(Q.duplicate_keys_all(i.star, _rules("unique")))
+    rules = _rules("unique")
+    return out.unionByName(Q.duplicate_keys_all(_rule_tables(i, rules)["stg_profiles"], rules))
 
 
 _NATIVE_RELATIONSHIPS = (
@@ -435,7 +453,7 @@ _NATIVE_RELATIONSHIPS = (
     [_orphans_sql(r, _SQL_TABLE[r.table], _SQL_TABLE[r.parent]) for r in _rules("relationships")]
     + [_orphans_sql(r, r.table, r.parent) for r in _NATIVE_RELATIONSHIPS])))
 def dq_relationships(i: Inputs) -> DataFrame:
-    tables = _star_tables(i)
+    tables = _star_keys(i)
     out = None
     for r in _rules("relationships"):
         part = Q.orphan_keys(tables[r.table], tables[r.parent], r)
@@ -464,7 +482,8 @@ def _summary_sql() -> str:
 
 @register("dq_summary", _summary_sql())
 def dq_summary(i: Inputs) -> DataFrame:
-    return Q.summarize(_rule_tables(i), QR.star_rules())
+    rules = QR.star_rules()
+    return Q.summarize(_rule_tables(i, rules), rules)
 
 
 @register("dq_recency", _with(f"""
@@ -515,7 +534,7 @@ def _both_ways_sql() -> str:
     + "select issue_type, doc_id, source, issue_description from (" + _both_ways_sql() + ")"))
 def dq_star(i: Inputs) -> DataFrame:
     """The star's marts (which agree), and documents against labels both ways (which do not)."""
-    t = _star_tables(i)
+    t = _star_keys(i)
     docs, labels = i.table("documents").select("doc_id", "source"), i.table("labels").select("doc_id")
     star = Q.star_consistency(t["dim_profiles"], {"fct_metrics": t["fct_metrics"], "dim_traits": t["dim_traits"]},
                               "breed_id", "breed_name")
@@ -538,7 +557,7 @@ union all select 'dim_profiles', count(*) from dim
 union all select 'fct_metrics', count(*) from fct
 union all select 'dim_traits', count(*) from traits"""))
 def dq_row_counts(i: Inputs) -> DataFrame:
-    return Q.row_counts(_star_tables(i))
+    return Q.row_counts(_star_keys(i))
 
 
 # Native tables -----------------------------------------------------------------
@@ -640,8 +659,8 @@ _FRESH = (("bronze_raw", "raw", "extracted_at"), ("dim_profiles", "dim", "extrac
 
 @register("freshness", _with("\nunion all\n".join(_fresh_sql(*f) for f in _FRESH)))
 def freshness(i: Inputs) -> DataFrame:
-    src = {"bronze_raw": (i.raw, "extracted_at"), "dim_profiles": (i.dim, "extracted_at"),
-           "fct_metrics": (i.fct, "extracted_at"), "orders": (i.table("orders"), "o_orderdate"),
+    src = {"bronze_raw": (i.raw, "extracted_at"), "dim_profiles": (i.frame("extracted_at"), "extracted_at"),
+           "fct_metrics": (i.frame("extracted_at"), "extracted_at"), "orders": (i.table("orders"), "o_orderdate"),
            "lineitem": (i.table("lineitem"), "l_shipdate"), "events": (i.table("events"), "ts")}
     return R.freshness(src, AS_OF)
 
@@ -703,7 +722,8 @@ where d.extraction_date = (select max(extraction_date) from dim)
   and f.has_weight_data = true and t.family_suitability = 'Excellent for Families'"""))
 def latest_snapshot_profiles(i: Inputs) -> DataFrame:
     from traitlens.operators.joins import latest_only
-    wide = S.profile_frame(i.stg, fct_columns={"fct_avg_weight_lbs": "avg_weight_lbs"})
+    wide = i.frame("breed_name", "size_category", "extraction_date", "has_weight_data", "family_suitability",
+                   fct_columns={"fct_avg_weight_lbs": "avg_weight_lbs"})
     rows = latest_only(wide, "extraction_date", of=i.raw)
     return (rows.where(F.col("has_weight_data") & (F.col("family_suitability") == "Excellent for Families"))
             .select("breed_name", "size_category", F.col("fct_avg_weight_lbs").alias("avg_weight_lbs"),
@@ -743,18 +763,23 @@ ctx as (select b.breed_id, b.breed_name, coalesce(b.breed_group, '') as breed_gr
         from base b left join tmp on tmp.breed_id = b.breed_id {lim})"""
 
 
+def _context_input(i: Inputs) -> DataFrame:
+    return i.frame("breed_id", "breed_name", "breed_group", "size_category", "avg_weight_kg", "avg_life_span_years",
+                   "family_suitability", "trait_array")
+
+
 @register("context_table", _with(
     "select breed_name, breed_group, size_category, avg_weight_kg, avg_life_span_years, family_suitability,"
     " temperament_traits from ctx", _PROFILES + _BOUNDS + "," + _context_sql(CONTEXT_FILTERS, K.CONTEXT_MAX_ROWS)))
 def context_table(i: Inputs) -> DataFrame:
     from traitlens.plans.context import context_table as build
-    return build(i.profiles, CONTEXT_FILTERS, limit=K.CONTEXT_MAX_ROWS)
+    return build(_context_input(i), CONTEXT_FILTERS, limit=K.CONTEXT_MAX_ROWS)
 
 
 @register("context_frame", _with("select * from ctx", _PROFILES + _BOUNDS + "," + _context_sql(CONTEXT_FILTERS, None)))
 def context_frame_all(i: Inputs) -> DataFrame:
     from traitlens.plans.context import context_frame
-    return context_frame(i.profiles, CONTEXT_FILTERS)
+    return context_frame(_context_input(i), CONTEXT_FILTERS)
 
 
 def _num_sql(c: str) -> str:
@@ -779,7 +804,7 @@ where rk <= {K.EXCERPT_MAX_ROWS} group by breed_group, n_rows""",
     _PROFILES + _BOUNDS + "," + _context_sql(CONTEXT_FILTERS, None)))
 def grounding_excerpt(i: Inputs) -> DataFrame:
     from traitlens.plans.context import context_frame, grounding_excerpt as build
-    return build(context_frame(i.profiles, CONTEXT_FILTERS), max_rows=K.EXCERPT_MAX_ROWS)
+    return build(context_frame(_context_input(i), CONTEXT_FILTERS), max_rows=K.EXCERPT_MAX_ROWS)
 
 
 def _requests(i: Inputs) -> DataFrame:
@@ -841,7 +866,7 @@ from reqi r join tops t on t.size_pref is not distinct from r.size_pref and t.ap
 def recommend(i: Inputs) -> DataFrame:
     from traitlens.operators.recommend import recommend as build
     from traitlens.plans.context import context_frame
-    return build(_requests(i), "request_text", context_frame(i.profiles, REC_FILTERS), "c_custkey")
+    return build(_requests(i), "request_text", context_frame(_context_input(i), REC_FILTERS), "c_custkey")
 
 
 @register("recommend_text", _with(f"""
@@ -859,7 +884,7 @@ from reqi r join (
 def recommend_text(i: Inputs) -> DataFrame:
     from traitlens.operators.recommend import recommend_text as build
     from traitlens.plans.context import context_frame
-    return build(_requests(i), "request_text", context_frame(i.profiles, REC_FILTERS), "c_custkey")
+    return build(_requests(i), "request_text", context_frame(_context_input(i), REC_FILTERS), "c_custkey")
 
 
 def _turns(i: Inputs) -> DataFrame:
@@ -882,7 +907,7 @@ from reqi r join tops t on t.size_pref is not distinct from {_BY_INTENT}""",
 def recommend_conversations(i: Inputs) -> DataFrame:
     from traitlens.operators.recommend import recommend as build
     from traitlens.plans.context import context_frame
-    return build(_turns(i), "request_text", context_frame(i.profiles, REC_FILTERS), "request_id")
+    return build(_turns(i), "request_text", context_frame(_context_input(i), REC_FILTERS), "request_id")
 
 
 #: Points for the suitability labels that the model does emit.
@@ -902,7 +927,7 @@ from reqi r join tops t on t.size_pref is not distinct from {_BY_INTENT}""",
 def recommend_family_points(i: Inputs) -> DataFrame:
     from traitlens.operators.recommend import recommend as build
     from traitlens.plans.context import context_frame
-    return build(_requests(i), "request_text", context_frame(i.profiles, REC_FILTERS), "c_custkey",
+    return build(_requests(i), "request_text", context_frame(_context_input(i), REC_FILTERS), "c_custkey",
                  family_points=FAMILY_POINTS)
 
 
@@ -916,7 +941,7 @@ def recommend_text_empty(i: Inputs) -> DataFrame:
     """Requests under a filter that leaves no profile: each gets the fixed answer."""
     from traitlens.operators.recommend import recommend_text as build
     from traitlens.plans.context import context_frame
-    return build(_turns(i), "request_text", context_frame(i.profiles, NO_PROFILE), "request_id")
+    return build(_turns(i), "request_text", context_frame(_context_input(i), NO_PROFILE), "request_id")
 
 
 # Flatten, explode form -----------------------------------------------------------

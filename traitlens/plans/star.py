@@ -10,6 +10,8 @@ stored tables, ``join_marts`` joins them (bucketed by breed_id: no shuffle).
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,35 +30,53 @@ STAGING_COLUMNS = (
 )
 
 
-def stage(raw: DataFrame, *, nan: str = "null", strict: bool = False) -> DataFrame:
+#: Staging columns read out of range texts, and those that derive from them.
+BOUNDS = ("weight_min_lbs", "weight_max_lbs", "weight_min_kg", "weight_max_kg", "height_min_inches",
+          "height_max_inches", "height_min_cm", "height_max_cm", "life_span_min_years", "life_span_max_years")
+MEASURED = (*BOUNDS, "size_category", "parse_error")
+
+
+def stage(raw: DataFrame, *, nan: str = "null", strict: bool = False, measures: bool = True) -> DataFrame:
     """Clean the flattened raw table (PRJ-1..5, FLT-1, RNG-1..7, BND-1).
 
     ``parse_error`` (ours) is true when some measure text is present but
     unreadable; the source model aborts the whole build on such text.
+    Every range text is parsed once: the bounds of a row come out of one
+    generator (one output row per input row), and filters on bounds or labels
+    reference its output, so Catalyst cannot substitute the parsers into
+    them. Spark cannot prune a generator either; ``measures=False`` leaves it
+    and the columns of ``MEASURED`` out.
     """
-    cols = staging_columns(nan, strict)
-    staged = raw.select(*[col.alias(name) for name, col in cols.items()])
-    return staged.where(F.col("breed_id").isNotNull() & F.col("breed_name").isNotNull())
+    rows = raw.where(F.col("id").cast("bigint").isNotNull() & F.trim("name").isNotNull())
+    if measures:
+        rows = rows.select("*", F.inline(F.array(F.struct(
+            *[col.alias(name) for name, col in bound_columns(nan, strict).items()]))))
+    return rows.select(*[col.alias(name) for name, col in staging_columns(strict).items()
+                         if measures or name not in MEASURED])
 
 
 @per_context
-def staging_columns(nan: str = "null", strict: bool = False) -> dict[str, Column]:
-    """Staging columns over the flattened raw columns."""
+def bound_columns(nan: str = "null", strict: bool = False) -> dict[str, Column]:
+    """The bounds over the flattened raw columns."""
+    c = F.col
+    pairs = [ranges.parse_range(c("weight__imperial"), open_low=True, nan=nan, strict=strict),
+             ranges.parse_range(c("weight__metric"), nan=nan, strict=strict),
+             ranges.parse_range(c("height__imperial"), nan=nan, strict=strict),
+             ranges.parse_range(c("height__metric"), nan=nan, strict=strict),
+             ranges.parse_years(c("life_span"), strict=strict)]
+    return dict(zip(BOUNDS, (bound for pair in pairs for bound in pair)))
+
+
+@per_context
+def staging_columns(strict: bool = False) -> dict[str, Column]:
+    """Staging columns over the flattened raw columns and the bounds."""
     c = F.col
-    w_imp_lo, w_imp_hi = ranges.parse_range(c("weight__imperial"), open_low=True, nan=nan, strict=strict)
-    w_met_lo, w_met_hi = ranges.parse_range(c("weight__metric"), nan=nan, strict=strict)
-    h_imp_lo, h_imp_hi = ranges.parse_range(c("height__imperial"), nan=nan, strict=strict)
-    h_met_lo, h_met_hi = ranges.parse_range(c("height__metric"), nan=nan, strict=strict)
-    life_lo, life_hi = ranges.parse_years(c("life_span"), strict=strict)
     to_ts = (lambda x: x.cast("timestamp")) if strict else (lambda x: x.try_cast("timestamp"))
     to_date = (lambda x: x.cast("date")) if strict else (lambda x: x.try_cast("date"))
-    errors = [
-        ranges.range_parse_error(c("weight__imperial"), w_imp_lo, w_imp_hi),
-        ranges.range_parse_error(c("weight__metric"), w_met_lo, w_met_hi),
-        ranges.range_parse_error(c("height__imperial"), h_imp_lo, h_imp_hi, sentinel=False),
-        ranges.range_parse_error(c("height__metric"), h_met_lo, h_met_hi, sentinel=False),
-        ranges.range_parse_error(c("life_span"), life_lo, life_hi, sentinel=False),
-    ]
+    texts = [("weight__imperial", True), ("weight__metric", True), ("height__imperial", False),
+             ("height__metric", False), ("life_span", False)]
+    errors = [ranges.range_parse_error(c(text), c(low), c(high), sentinel=sentinel)
+              for (text, sentinel), low, high in zip(texts, BOUNDS[::2], BOUNDS[1::2])]
     parse_error = errors[0]
     for e in errors[1:]:
         parse_error = parse_error | e
@@ -72,16 +92,12 @@ def staging_columns(nan: str = "null", strict: bool = False) -> dict[str, Column
         "breed_group": F.trim(c("breed_group")),
         "origin": F.trim(c("origin")),
         "country_code": F.trim(c("country_code")),
-        "weight_min_lbs": w_imp_lo, "weight_max_lbs": w_imp_hi,
-        "weight_min_kg": w_met_lo, "weight_max_kg": w_met_hi,
-        "height_min_inches": h_imp_lo, "height_max_inches": h_imp_hi,
-        "height_min_cm": h_met_lo, "height_max_cm": h_met_hi,
-        "life_span_min_years": life_lo, "life_span_max_years": life_hi,
+        **{name: c(name) for name in BOUNDS},
         "temperament_raw": F.nullif(F.trim(temperament), F.lit("")),
         "description": F.trim(c("description")),
         "history": F.trim(c("history")),
         "reference_image_id": F.trim(c("reference_image_id")),
-        "size_category": labels.size_category(c("weight__imperial"), w_imp_hi),
+        "size_category": labels.size_category(c("weight__imperial"), c("weight_max_lbs")),
         "has_weight_data": ranges.is_present(c("weight__imperial")),
         "has_height_data": ranges.is_present(c("height__imperial"), sentinel=False),
         "has_lifespan_data": ranges.is_present(c("life_span"), sentinel=False),
@@ -129,6 +145,11 @@ def dim_columns() -> dict[str, Column]:
     }
 
 
+#: Dimension columns beyond staging's that need no bounds.
+UNMEASURED_DIM = ("temperament_trait_count", "inferred_activity_level", "family_friendliness",
+                  "data_completeness_score")
+
+
 def dim_profiles(stg: DataFrame) -> DataFrame:
     return stg.select(*[v.alias(k) for k, v in dim_columns().items()])
 
@@ -222,21 +243,40 @@ def profile_frame(stg: DataFrame, fct_columns: dict[str, str] | None = None) ->
     return _with_items(stg).select(*[v.alias(k) for k, v in {**dim, **trait, **fct}.items()])
 
 
-def star_frame(stg: DataFrame) -> DataFrame:
-    """Columns of staging, the profile dimension and the fact in one projection.
+def is_column(name: str) -> bool:
+    """Whether some model of the star has a column of this name."""
+    return name in STAGING_COLUMNS or any(name in d() for d in (dim_columns, trait_columns, fct_columns))
+
+
+def frame(raw: DataFrame, columns: Iterable[str], fct_columns: dict[str, str] | None = None) -> DataFrame:
+    """The given columns of staging, dimension, fact and trait mart over raw rows, as narrow as they allow.
 
-    Same-named columns agree across these models (1:1 projections of
-    staging), except the fact's unrounded averages, which are left out. Rules
-    written against any of the three can be evaluated on this one frame.
-    Trait columns are not included: they come from a generator, which Spark
-    cannot prune, so only frames that need them (``profile_frame``,
-    ``dim_traits``) carry it.
+    The marts are 1:1 projections of staging, so this equals their join on
+    breed_id. Range texts are parsed and traits scored only if a column asks
+    for it. Same-named columns agree across the marts except the fact's
+    unrounded averages, which ``fct_columns`` gives as {output name: fact column}.
     """
-    cols: dict[str, Column] = {c: F.col(c) for c in STAGING_COLUMNS}
-    cols.update(dim_columns())
-    fct = fct_columns()
-    cols.update({k: v for k, v in fct.items() if k not in cols and not k.startswith("avg_")})
-    return stg.select(*[v.alias(k) for k, v in cols.items()])
+    dim, trait, fct = dim_columns(), trait_columns(), globals()["fct_columns"]()
+    chosen: dict[str, Column] = {}
+    measured, scored = bool(fct_columns), False
+    for name in columns:
+        if name in STAGING_COLUMNS:
+            chosen[name] = F.col(name)
+            measured |= name in MEASURED
+        elif name in trait:
+            chosen[name] = trait[name]
+            scored = True
+        elif name in dim:
+            chosen[name] = dim[name]
+            measured |= name not in UNMEASURED_DIM
+        elif name in fct:
+            chosen[name] = fct[name]
+            measured = True
+        else:
+            raise ValueError(f"no mart has a column {name!r}")
+    chosen.update({out: fct[src] for out, src in (fct_columns or {}).items()})
+    rows = stage(raw, measures=measured)
+    return (_with_items(rows) if scored else rows).select(*[v.alias(k) for k, v in chosen.items()])
 
 
 def join_marts(dim: DataFrame, traits_df: DataFrame) -> DataFrame:

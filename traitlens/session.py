@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # HotSpot does not compile methods beyond 8000 bytes: wider stages run operator by operator instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # a long-lived driver runs many query shapes: keep their compiled stages, little status history
     "spark.sql.codegen.cache.maxEntries": "1000",
     "spark.sql.ui.retainedExecutions": "20",
@@ -61,8 +63,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in spark.checkpoint.dir.
 
-    Only when the setting is absent (local tests) is a private folder created
-    and registered; a cluster always provides a shared one.
+    Only where the setting is absent and the master is local (tests) is a
+    private folder created and registered; on a cluster that is an error, as
+    each executor would write to its own disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -71,6 +74,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="traitlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -25,14 +25,17 @@ DROPPED = frozenset("script style noscript template head title nav header footer
                     "input dialog iframe object embed svg canvas audio video map menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu "
                   "menubar".split())
-#: Share of the body's characters outside links from which a named element is no furniture: with the heading, without.
+#: Share of the body's characters outside links from which a wrapper is no furniture: with the heading, without.
 WITH_HEADING, WITHOUT_HEADING = 0.2, 0.5
-#: Words of a class or id that name page furniture, if the element is not most of the page.
+#: Words of a class or id that name what is not the article, whatever its length.
+FOREIGN = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr "
+    "notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments "
+    "commentlist reply replies disqus discussion discussions responses guestbook related recommended".split())
+#: Words that name page furniture, but also wrappers of the whole page ("with-sidebar").
 FURNITURE = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar aside menu nav "
-    "navbar navigation breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr notice notices alert "
-    "popup modal overlay newsletter subscribe subscription signup login comment comments reply replies disqus related "
-    "recommended share sharing social toolbar pagination pager widget form search".split())
+    "banner sidebar aside menu nav navbar navigation breadcrumb breadcrumbs header masthead footer share sharing "
+    "social toolbar pagination pager widget form search".split())
 _KEPT = frozenset(("html", "body", "main", "article"))
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 #: Share of the threshold for sections beside the path: shorter paragraphs are article text too.
@@ -49,7 +52,8 @@ class Dom(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.tags, self.parents, self.dropped, self.named = ["#page"], [0], [False], [False]
+        self.tags, self.parents, self.dropped = ["#page"], [0], [False]
+        self.named, self.foreign = [False], [False]
         self.texts: list[tuple[int, int, str]] = []
         self.open = [0]
         self.block = 0
@@ -69,7 +73,10 @@ class Dom(HTMLParser):
         self.tags.append(tag)
         self.parents.append(parent)
         self.dropped.append(self.dropped[parent] or self._never_text(tag, attrs))
-        self.named.append(self._named(tag, attrs))
+        words = set() if tag in _KEPT else {w.lower() for name, value in attrs if name in ("class", "id") and value
+                                            for w in _WORD.findall(value)}
+        self.foreign.append(not FOREIGN.isdisjoint(words))
+        self.named.append(tag == "form" or not FURNITURE.isdisjoint(words))
         if tag not in VOID:
             self.open.append(len(self.tags) - 1)
         elif tag == "br":
@@ -100,28 +107,30 @@ class Dom(HTMLParser):
         return tag in DROPPED or tag not in _KEPT and any(
             name == "hidden" or name == "role" and (value or "").lower() in ROLES for name, value in attrs)
 
-    @staticmethod
-    def _named(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        return tag == "form" or tag not in _KEPT and any(
-            name in ("class", "id") and value and not FURNITURE.isdisjoint(w.lower() for w in _WORD.findall(value))
-            for name, value in attrs)
-
     def drop_furniture(self) -> None:
-        """Drop named elements, except wrappers: those that hold most of the text, or the heading and much of it."""
-        if not any(self.named):
+        """Drop named elements. Those of foreign content stay only around the page's heading, its ``main`` or
+        its one ``article``; wrappers also if they hold most of the text that is not foreign."""
+        if not any(self.named) and not any(self.foreign):
             return
         n = len(self.tags)
-        in_link, chars, heading = [False] * n, [0] * n, [False] * n
+        in_link, chars, heading, core = [False] * n, [0] * n, [False] * n, [False] * n
         for i in range(1, n):
             in_link[i] = self.tags[i] == "a" or in_link[self.parents[i]]
         for node, _, text in self.texts:
             if not self.dropped[node] and not in_link[node]:
                 chars[node] += sum(map(len, text.split()))
+        articles = self.tags.count("article")
         for i in range(n - 1, 0, -1):  # children come after their parents
             if not self.dropped[i]:
+                p = self.parents[i]
                 heading[i] |= self.tags[i] == "h1" and chars[i] > 0
-                chars[self.parents[i]] += chars[i]
-                heading[self.parents[i]] |= heading[i]
+                core[i] |= heading[i] or self.tags[i] == "main" or self.tags[i] == "article" and articles == 1
+                if self.foreign[i] and not core[i]:
+                    self.dropped[i] = True
+                    continue
+                chars[p] += chars[i]
+                heading[p] |= heading[i]
+                core[p] |= core[i]
         for i in range(1, n):
             furniture = self.named[i] and chars[i] <= (WITH_HEADING if heading[i] else WITHOUT_HEADING) * chars[0]
             self.dropped[i] |= self.dropped[self.parents[i]] or furniture
@@ -139,12 +148,8 @@ def density(chars: int, tags: int, link_chars: int, link_tags: int, ratio: float
     return chars / tags * math.log(chars / max(link_chars, 1) * tags / max(link_tags, 1) + 1) / math.log(base + 1)
 
 
-def main_text(html: str | None) -> str:
-    """The page's article, one line per block ('' if there is none)."""
-    if not html:
-        return ""
-    dom = Dom(html)
-    dom.drop_furniture()
+def densities(dom: Dom, body: int) -> tuple[list[float], list[float]]:
+    """Every node's density, and the sum of its children's (inline ones left out)."""
     n = len(dom.tags)
     chars, links, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n
@@ -162,13 +167,24 @@ def main_text(html: str | None) -> str:
             links[p] += links[i]
             tags[p] += tags[i] + 1
             link_tags[p] += link_tags[i] + (dom.tags[i] == "a")
-    body = next((i for i in range(n) if dom.tags[i] == "body"), 0)
     ratio = links[body] / chars[body] if chars[body] else 0.0
     dense = [0.0 if dom.dropped[i] else density(chars[i], tags[i], links[i], link_tags[i], ratio) for i in range(n)]
     total = [0.0] * n
     for i in range(1, n):
         if dom.tags[i] not in INLINE:
             total[dom.parents[i]] += dense[i]
+    return dense, total
+
+
+def main_text(html: str | None) -> str:
+    """The page's article, one line per block ('' if there is none)."""
+    if not html:
+        return ""
+    dom = Dom(html)
+    dom.drop_furniture()
+    n = len(dom.tags)
+    body = next((i for i in range(n) if dom.tags[i] == "body"), 0)
+    dense, total = densities(dom, body)
     inside = [i == body for i in range(n)]
     for i in range(1, n):
         inside[i] |= inside[dom.parents[i]]

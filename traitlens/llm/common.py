@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
@@ -63,6 +64,29 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
+def release() -> None:
+    """Give back what a worker keeps: word hashes go, and freed memory returns to the system."""
+    _hashes.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def released(run: Callable) -> Callable:
+    """``run`` over a partition's batches, with the worker's memory given back before and after.
+
+    Workers are used again: what an earlier stage has left would stand beside this one's own.
+    """
+    def with_release(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return with_release
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Maximal runs of ``[^\\x20\\x09-\\x0D]`` as UTF-8 (null: none)."""
     return text.encode("utf-8", "surrogatepass").split() if text else []

@@ -19,16 +19,19 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from traitlens.llm.common import words_of, written
+from traitlens.llm.common import released, slices_by_chars, written
 
 WINDOW = 2048
 END_ID = 1
 #: Fixed-point digits of a quantum.
 SHIFT = 16
+#: Characters of texts tokenized at a time.
+BATCH_CHARS = 1_500_000
 #: Pieces of a generation whose ids are kept. Of the one before, only pieces that are met again are taken over.
 PIECES_KEPT = 300_000
 
@@ -37,9 +40,9 @@ class _Codes(dict):
     """Numbers pieces as they are met; ``new`` are those without ids yet."""
 
     def __init__(self):
-        self.new: list[bytes] = []
+        self.new: list[str] = []
 
-    def __missing__(self, piece: bytes) -> int:
+    def __missing__(self, piece: str) -> int:
         code = self[piece] = len(self)
         self.new.append(piece)
         return code
@@ -52,7 +55,7 @@ class _Kept:
         self.code = _Codes()
         self.flat, self.starts, self.sizes = array("H"), array("q"), array("q")
 
-    def get(self, piece: bytes) -> bytes | None:
+    def get(self, piece: str) -> bytes | None:
         i = self.code.get(piece)
         return None if i is None else self.flat[self.starts[i]:self.starts[i] + self.sizes[i]].tobytes()
 
@@ -100,19 +103,25 @@ class Tokenizer:
         """Ids of the pieces that were met for the first time."""
         pieces = self.now.code.new
         ids = [self.old.get(p) for p in pieces] if self.old is not self.now else [None] * len(pieces)
-        texts = [None if x is not None else p.decode("utf-8", "surrogatepass") for p, x in zip(pieces, ids)]
+        texts = [None if x is not None else p for p, x in zip(pieces, ids)]
         plain = [t and (m := self.PLAIN.fullmatch(t)) and (m[1].lower(), m[2]) for t in texts]
         known = {w: self._letters(w) for w in {m[0] for m in plain if m}}
         other = iter(self._ids([t for t, m in zip(texts, plain) if t is not None and not m]))
         self.now.add([x if x is not None else known[m[0]] + self.mark[m[1]] if m else next(other)
                       for x, m in zip(ids, plain)])
 
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+    def __call__(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
+        """Ids of every text, the end id last. Arrow splits the texts and numbers their distinct pieces."""
         if len(self.now.code) > PIECES_KEPT:
             self.old, self.now = self.now, _Kept()
-        pieces = [words_of(t) for t in texts]
-        counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        c = np.fromiter(map(self.now.code.__getitem__, chain.from_iterable(pieces)), np.int64, int(counts.sum()))
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.string())
+        pieces = pc.ascii_split_whitespace(pc.fill_null(texts, ""))  # blanks at an end leave an empty piece: no ids
+        counts = pc.list_value_length(pieces).to_numpy()
+        coded = pieces.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        c = np.fromiter(map(self.now.code.__getitem__, distinct), np.int64, len(distinct))
+        c = c[coded.indices.to_numpy()] if len(distinct) else c
         self._learn()
         flat, starts, sizes = map(np.array, (self.now.flat, self.now.starts, self.now.sizes))
         n = sizes[c] if len(c) else c
@@ -136,9 +145,8 @@ def _tokenized(tokenizer_path: str):
         part = TaskContext.get().partitionId()
         served: dict[str | None, int] = {}
         for whole in batches:
-            for i in range(0, whole.num_rows, 1024):
-                batch = whole.slice(i, 1024)
-                ids = encode(batch.column(2).to_pylist())
+            for batch in slices_by_chars(whole, 2, BATCH_CHARS):
+                ids = encode(batch.column(2))
                 before = []
                 for source, x in zip(batch.column(1).to_pylist(), ids):
                     before.append(served.get(source, 0))
@@ -201,7 +209,7 @@ def pack(docs: DataFrame, tokenizer_path: str, weights: dict[str | None, float]
                        F.col(text).cast("string").alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
     ids = written(rows.mapInArrow(
-        _tokenized(tokenizer_path),
+        released(_tokenized(tokenizer_path)),
         f"doc_id {kind}, source string, part int, before long, n long, ids binary"), "token-ids")
 
     # queue places: each partition's share of a source starts after those of earlier partitions
@@ -239,5 +247,5 @@ def pack(docs: DataFrame, tokenizer_path: str, weights: dict[str | None, float]
     placed = ids.alias("i").join(bases.alias("b"), F.expr("i.part = b.part and i.source <=> b.source")) \
         .select("i.doc_id", "i.source", (F.col("base") + F.col("before")).alias("at"), "n", "ids")
     return placed.mapInArrow(
-        cut, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
+        released(cut), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
              "offset long, source string").withColumnRenamed("doc_id", key)

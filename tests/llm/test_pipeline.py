@@ -53,6 +53,6 @@ def test_stages_keep_columns_and_take_empty_tables(spark):
 
 
 def test_registry():
-    assert [n.split("_")[0] for n in queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries()] == [f"op{i}" for i in range(1, 14)]
     assert 4 <= len(C.STAGES) <= 5
     assert decontam.RADIUS == 15

@@ -167,3 +167,29 @@ def test_ingest_needs_a_shared_checkpoint(spark, tmp_path):
     if spark.conf.get("spark.checkpoint.dir", None) is None:
         with pytest.raises(ValueError):
             run_ingest(spark, str(tmp_path), str(tmp_path / "a"), str(tmp_path / "b"))
+
+
+def test_stored_marts_join_without_exchange(spark):
+    from traitlens.plans import registry
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = registry.queries()["latest_snapshot_stored"](spark, "/root/testdata/sf0.001") \
+            ._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") == 2 and "Exchange hashpartitioning" not in plan
+
+
+def test_observed_counts_equal_a_second_scan(spark, inputs):
+    """Row rules counted while the models are written agree with counting them over the stored tables."""
+    from traitlens.operators import quality as Q
+    from traitlens.plans.quality_rules import star_rules
+
+    names = SNK.build_and_write_star(spark, inputs.raw, "profiles_observed", buckets=3, store_failures=False)
+    tables = {t: spark.table(names[t]) for t in ("stg_profiles", "dim_profiles", "fct_metrics", "dim_traits")}
+    counted = {r.test_name: (r.failures, r.status) for r in Q.summarize(tables, star_rules()).collect()}
+    stored = {r.test_name: (r.failures, r.status) for r in spark.table(names["rule_summary"])
+              .where("kind not in ('recency', 'consistency')").collect()}
+    assert stored == counted and sum(n for n, _ in stored.values()) > 0

@@ -198,8 +198,13 @@ def summarize(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("status", F.when(F.col("failures") == 0, "pass")
-                          .when(F.col("severity") == "error", "fail").otherwise("warn"))
+    return with_status(out)
+
+
+def with_status(counts: DataFrame) -> DataFrame:
+    """``status`` of rules by their failures and severity (DQ-9)."""
+    return counts.withColumn("status", F.when(F.col("failures") == 0, "pass")
+                             .when(F.col("severity") == "error", "fail").otherwise("warn"))
 
 
 def enforce(summary: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ result over views named like the driver tables.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -19,7 +20,7 @@ from traitlens.operators.filters import Filters
 from traitlens.plans import oracle as O
 from traitlens.plans import reports as R
 from traitlens.plans import star as S
-from traitlens.session import BASE_CONF
+from traitlens.session import BASE_CONF, checkpoint_dir
 from traitlens.sources.fixture import raw_profiles
 from traitlens.sources.tables import table
 
@@ -173,7 +174,8 @@ def size_distribution(i: Inputs) -> DataFrame:
     " and avg_life_span_years is not null order by avg_life_span_years desc, breed_name limit 10",
     _PROFILES))
 def longest_lived(i: Inputs) -> DataFrame:
-    return R.longest_lived(i.frame("breed_group", "size_category", "avg_weight_kg", "breed_name", "avg_life_span_years"), LONGEST_LIVED_FILTERS)
+    return R.longest_lived(i.frame("breed_group", "size_category", "avg_weight_kg", "breed_name",
+                                   "avg_life_span_years"), LONGEST_LIVED_FILTERS)
 
 
 @register("top_traits", _with(
@@ -183,8 +185,8 @@ where {_filters_sql(TOP_TRAITS_FILTERS)} and family_suitability in ({_in(TOP_TRA
   and total_traits > 0
 group by 1 order by occurrences desc, temperament_trait limit 15""", _PROFILES + _BOUNDS))
 def top_traits(i: Inputs) -> DataFrame:
-    return R.top_traits(i.frame("breed_group", "size_category", "avg_weight_kg", "family_suitability", "total_traits", "trait_array"),
-                        TOP_TRAITS_FILTERS)
+    return R.top_traits(i.frame("breed_group", "size_category", "avg_weight_kg", "family_suitability",
+                                "total_traits", "trait_array"), TOP_TRAITS_FILTERS)
 
 
 @register("top_traits_stored", ORACLE["top_traits"])
@@ -957,6 +959,110 @@ def dim_traits_explode(i: Inputs) -> DataFrame:
     return trait_dimension_exploded(i.stg)
 
 
+# Stored star, archive, bronze ---------------------------------------------------------
+def _folder(i: Inputs, name: str) -> str:
+    """A new folder of the shared one that the cluster names."""
+    return f"{checkpoint_dir(i.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _stored_star(i: Inputs) -> dict[str, str]:
+    """The star and its tests written as bucketed tables of a schema of their own: name -> table."""
+    from traitlens.sources.sinks import build_and_write_star
+
+    schema = f"star_{uuid.uuid4().hex}"
+    return build_and_write_star(i.spark, i.raw, schema, int(i.spark.conf.get("spark.sql.shuffle.partitions")),
+                                now=AS_OF, location=_folder(i, "marts"))
+
+
+@register("latest_snapshot_stored", ORACLE["latest_snapshot_profiles"])
+def latest_snapshot_stored(i: Inputs) -> DataFrame:
+    """The latest load over stored marts: three tables joined bucket by bucket (JN-1, JN-2, SRC-2, SNK-4, SNK-6)."""
+    from traitlens.operators.joins import latest_only
+
+    names = _stored_star(i)
+    dim, fct, traits = (i.spark.table(names[t]) for t in ("dim_profiles", "fct_metrics", "dim_traits"))
+    rows = latest_only(dim.select("breed_id", "breed_name", "size_category", "extraction_date"), "extraction_date") \
+        .join(fct.where("has_weight_data").select("breed_id", "avg_weight_lbs"), "breed_id") \
+        .join(traits.where("family_suitability = 'Excellent for Families'").select("breed_id", "family_suitability"),
+              "breed_id")
+    return rows.select("breed_name", "size_category", "avg_weight_lbs", "family_suitability")
+
+
+@register("stored_rule_summary", ORACLE["dq_summary"])
+def stored_rule_summary(i: Inputs) -> DataFrame:
+    """The stored summary of the model rules, counted while the models were written (SNK-7, DQ-9)."""
+    return i.spark.table(_stored_star(i)["rule_summary"]).where("kind not in ('recency', 'consistency')")
+
+
+def _stored_failures_sql() -> str:
+    parts = []
+    for r in QR.star_rules():
+        t = _SQL_TABLE[r.table]
+        if r.kind in Q.ROW_KINDS:
+            value = "cast(null as varchar)" if r.kind == "expression_is_true" else f"cast({r.column} as varchar)"
+            parts.append(f"select '{r.name}' as test_name, cast(breed_id as bigint) as row_key, {value} as value, "
+                         f"cast(1 as bigint) as n_rows from {t} where {_violation_sql(r)}")
+        elif r.kind == "unique":
+            parts.append("select test_name, cast(null as bigint) as row_key, value, n_rows from "
+                         f"({_unique_sql(r, t)})")
+        else:
+            parts.append("select test_name, child_key as row_key, cast(null as varchar) as value, n_rows from "
+                         f"({_orphans_sql(r, t, _SQL_TABLE[r.parent])})")
+    return _with("\nunion all\n".join(parts))
+
+
+@register("stored_failures", _stored_failures_sql())
+def stored_failures(i: Inputs) -> DataFrame:
+    """All stored failures of the model rules, from the tables that the build wrote (SNK-5, DQ-10)."""
+    none, out = F.lit(None), None
+    shape = {"failures": ("row_key", "value", F.lit(1)), "duplicates": (none, "value", "n_rows"),
+             "orphans": ("child_key", none, "n_rows")}
+    for name, table_name in _stored_star(i).items():
+        kind = name.split("_")[0]
+        if kind not in shape or name in ("failures_recency", "failures_consistency"):
+            continue
+        key, value, n = (F.col(c) if isinstance(c, str) else c for c in shape[kind])
+        part = i.spark.table(table_name).select("test_name", key.cast("long").alias("row_key"),
+                                                value.cast("string").alias("value"), n.cast("long").alias("n_rows"))
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else i.spark.createDataFrame(
+        [], "test_name string, row_key long, value string, n_rows long")
+
+
+@register("archive_replay", _with("""
+select cast(extraction_date as date) as extraction_date, _dlt_load_id, count(*) as n_rows,
+       count(distinct id) as n_profiles, min(extracted_at) as first_stamp
+from raw where extraction_date = '2025-08-26' group by all"""))
+def archive_replay(i: Inputs) -> DataFrame:
+    """One date of the archive after that date's load has been written twice (SNK-2, SRC-1 as JSON, SRC-3).
+
+    The replay replaces its own partitions only, and reading the date lists no other.
+    """
+    from traitlens.sources.raw import BRONZE_SCHEMA
+    from traitlens.sources.sinks import archive_raw
+
+    path = _folder(i, "archive")
+    archive_raw(i.raw, path)
+    archive_raw(i.raw.where("extraction_date = '2025-08-26'"), path)
+    archive = i.spark.read.schema(BRONZE_SCHEMA).json(path)
+    return archive.where("extraction_date = '2025-08-26'").groupBy(
+        F.col("extraction_date").cast("date").alias("extraction_date"), "_dlt_load_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_profiles"),
+        F.min("extracted_at").alias("first_stamp"))
+
+
+@register("bronze_replace", _with("select * from raw"))
+def bronze_replace(i: Inputs) -> DataFrame:
+    """The bronze table after two loads: readers see the newest committed version, whole (SNK-1, SRC-1)."""
+    from traitlens.sources.raw import read_bronze
+    from traitlens.sources.sinks import replace_bronze
+
+    path = _folder(i, "bronze")
+    replace_bronze(i.raw.where("extraction_date = '2025-08-25'"), path, version=1)
+    replace_bronze(i.raw, path, version=2)
+    return read_bronze(i.spark, path)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

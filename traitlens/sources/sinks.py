@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from traitlens.operators import quality as Q
@@ -48,6 +48,22 @@ def stage_view(stg: DataFrame, name: str = "stg_profiles") -> str:
     return name
 
 
+def write_checked(df: DataFrame, table: str, buckets: int, rules: list[Q.Rule], partition_by_date: bool = False,
+                  dealt: bool = False) -> tuple[str, list[int]]:
+    """``write_mart``, with the failing rows of every row rule counted on the way (DQ-9).
+
+    The counts are metrics observed in the writing stage itself, whose tasks
+    report once however often they are tried, so no second scan is needed.
+    """
+    rows = df if dealt else df.repartition(buckets, MART_KEY)
+    if not rules:
+        return write_mart(rows, table, buckets, partition_by_date, dealt=True), []
+    seen = Observation()
+    rows = rows.observe(seen, *[F.count_if(r.violation()).alias(f"c{i}") for i, r in enumerate(rules)])
+    write_mart(rows, table, buckets, partition_by_date, dealt=True)
+    return table, [seen.get[f"c{i}"] for i in range(len(rules))]
+
+
 def write_mart(df: DataFrame, table: str, buckets: int, partition_by_date: bool = False, dealt: bool = False) -> str:
     """SNK-4, SNK-6: overwrite a mart table, bucketed and sorted by breed_id.
 
@@ -64,44 +80,63 @@ def write_mart(df: DataFrame, table: str, buckets: int, partition_by_date: bool
     return table
 
 
-def ensure_schema(spark: SparkSession, schema: str) -> None:
-    """SNK-5: models go to ``schema``; stored test failures to ``schema_tests``."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}_tests`")
+def ensure_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
+    """SNK-5: models go to ``schema``; stored test failures to ``schema_tests``.
+
+    ``location`` is the folder that holds both; by default the warehouse does.
+    """
+    for name in (schema, f"{schema}_tests"):
+        place = f" LOCATION '{location}/{name}'" if location else ""
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`{place}")
 
 
 def build_and_write_star(spark: SparkSession, raw: DataFrame, schema: str, buckets: int,
                          store_failures: bool = True, enforce: bool = False,
-                         partition_by_date: bool = False, now: _dt.datetime | None = None) -> dict[str, str]:
+                         partition_by_date: bool = False, now: _dt.datetime | None = None,
+                         location: str | None = None) -> dict[str, str]:
     """SNK-7: staging, three marts and their tests, in dependency order.
 
     Staging is written once as a bucketed table (the only shuffle); a view
     names it, and the three marts are projections of its buckets.
     ``partition_by_date`` also partitions the dimension and the fact by
-    ``extraction_date`` (the trait mart carries no load date). All rules run
-    against the written tables, with the source's recency (as of ``now``) and
-    the consistency of the marts; failures of every kind are stored in
-    ``<schema>_tests``.
+    ``extraction_date`` (the trait mart carries no load date). Row rules are
+    counted while a model is written, as observed metrics; a written table is
+    read again only for its keys (unique, relationships, consistency) and for
+    the rows of rules that have failed. The source's recency counts as of
+    ``now``. Failures of every kind are stored in ``<schema>_tests``.
     """
-    ensure_schema(spark, schema)
-    stored = write_mart(S.stage(raw), f"`{schema}`.stg_profiles_rows", buckets)
+    ensure_schema(spark, schema, location)
+    rules = star_rules()
+    counted: dict[Q.Rule, int] = {}
+
+    def write(model: str, df: DataFrame, table: str, **layout) -> str:
+        own = [r for r in rules if r.table == model and r.kind in Q.ROW_KINDS]
+        stored, failures = write_checked(df, f"`{schema}`.{table}", buckets, own, **layout)
+        counted.update(zip(own, failures))
+        return stored
+
+    stored = write("stg_profiles", S.stage(raw), "stg_profiles_rows")
     stg = spark.table(stored)
     stage_view(stg, "stg_profiles")
     names = {
         "stg_profiles": stored,
-        "dim_profiles": write_mart(S.dim_profiles(stg), f"`{schema}`.dim_profiles", buckets, partition_by_date, True),
-        "fct_metrics": write_mart(S.fct_metrics(stg), f"`{schema}`.fct_metrics", buckets, partition_by_date, True),
-        "dim_traits": write_mart(S.dim_traits(stg), f"`{schema}`.dim_traits", buckets, dealt=True),
+        "dim_profiles": write("dim_profiles", S.dim_profiles(stg), "dim_profiles",
+                              partition_by_date=partition_by_date, dealt=True),
+        "fct_metrics": write("fct_metrics", S.fct_metrics(stg), "fct_metrics",
+                             partition_by_date=partition_by_date, dealt=True),
+        "dim_traits": write("dim_traits", S.dim_traits(stg), "dim_traits", dealt=True),
     }
     tables = {k: spark.table(v) for k, v in names.items()}
-    rules = star_rules()
     marts = {k: tables[k] for k in ("fct_metrics", "dim_traits")}
     inconsistent = Q.star_consistency(tables["dim_profiles"], marts, MART_KEY, "breed_name")
     source, column, days = recency_rule()
     stale = Q.recency(raw, column, now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), days,
                       f"recency__{source}__{column}")
     status = F.when(F.col("failures") == 0, "pass").otherwise("fail")
-    summary = Q.summarize(tables, rules).unionByName(
+    keyed = Q.summarize(tables, [r for r in rules if r.kind not in Q.ROW_KINDS])
+    summary = keyed.unionByName(Q.with_status(spark.createDataFrame(
+        [(r.table, r.name, r.kind, r.severity, n) for r, n in counted.items()],
+        "table_name string, test_name string, kind string, severity string, failures long"))).unionByName(
         stale.select(F.lit(source).alias("table_name"), "test_name", F.lit("recency").alias("kind"),
                      F.lit("error").alias("severity"), (~F.col("passed")).cast("bigint").alias("failures"))
         .unionByName(inconsistent.agg(F.count(F.lit(1)).alias("failures")).select(

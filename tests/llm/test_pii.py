@@ -40,6 +40,23 @@ def test_added_kinds():
     assert P.spans_of("clean words without any of it, password and token and account") == []
 
 
+def test_cues_of_any_case_full_addresses_and_accounts_without_cue():
+    def added(t):
+        return [(k, t[a:b]) for k, a, b in P.spans_of(t) if k not in P.BASE_KINDS]
+    gb = "GB82 WEST 1234 5698 7654 32"
+    assert added(f"my iBan {gb} is here") == [("iban", gb)]
+    assert added(f"pay {gb} AND go; x{gb} not") == [("iban", gb)]
+    assert added("DE89370400440532013000") == [("iban", "DE89370400440532013000")]
+    assert added("XX89370400440532013000 or GB82 WEST 1234 5698 7654 33") == []
+    assert added("pAssWord: hunter2hunter2, aPi_KEY=abcd1234efgh") == [("secret", "hunter2hunter2"), ("secret", "abcd1234efgh")]
+    full = "2001:db8:85a3:1:2:8a2e:370:7334"
+    assert added(f"host {full}. ip:{full}: up, [{full}]") == [("ipv6", full)] * 3
+    assert added("at 12:30:45, 00:1b:44:11:3a:b7, std::feed, ratio 1:2:3:4:5:6:7") == []
+    assert added("ends with ::") == [] and added("fe80::1ff") == [("ipv6", "fe80::1ff")] and added(":" * 5000) == []
+    text = "é İ K iBAN " + gb  # letters whose lower case is longer do not move places
+    assert added(text) == [("iban", gb)]
+
+
 def test_rows_and_redaction(edge_docs, empty_docs, spark):
     rows = {r.doc_id: r for r in P.find_pii(edge_docs).collect()}
     assert rows[2].base_sha256 == rows[3].base_sha256 == hashlib.sha256(b"").hexdigest() and rows[2].spans == ""

@@ -1,7 +1,7 @@
 """Personal data by anchor expansion.
 
 One Aho-Corasick pass over a text finds anchors: at-signs, schemes, digits and
-plus signs, and identifier cues. Small local parsers then expand from each
+plus signs, colons, and identifier cues in any case. Small local parsers then expand from each
 anchor to the boundaries of an email, address or number and validate it.
 """
 
@@ -37,7 +37,8 @@ _VALUES = {
     "secret": (re.compile(r"[\x20\t]{0,3}[:=][\x20\t]{0,3}[\"']?([A-Za-z0-9_./+=-]{8,})", re.I | re.A),
                ("password", "passwd", "secret", "token", "api_key", "apikey", "api key")),
 }
-_IBAN = re.compile(r"[\x20\t]{0,3}:?[\x20\t]{0,3}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})(?![A-Za-z0-9])", re.I | re.A)
+_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", re.A)
+_IBAN_CUED = re.compile(r"[\x20\t]{0,3}:?[\x20\t]{0,3}(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}))", re.I | re.A)
 _KEY_ID = re.compile(r"(AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])")
 _LOGIN_URL = re.compile(r"://([^\s/?#@:]+:[^\s/?#@]+)@")
 _SCHEME = re.compile(r"[A-Za-z0-9+.-]")
@@ -50,20 +51,24 @@ def _automaton() -> ahocorasick.Automaton:
         found.add_word(c, ("number", 1))
     found.add_word("@", ("email", 1))
     found.add_word("://", ("scheme", 3))
-    found.add_word("::", ("ipv6", 2))
-    for c in ("iban", "IBAN"):
-        found.add_word(c, ("iban", 4))
-    for c in ("AKIA", "ASIA"):
+    found.add_word(":", ("ipv6", 1))
+    found.add_word("iban", ("iban", 4))
+    for c in ("akia", "asia"):
         found.add_word(c, ("key", 4))
     for kind, (_, cues) in _VALUES.items():
         for cue in cues:
-            for form in {cue, cue.upper(), cue.capitalize(), cue.title()}:
-                found.add_word(form, (kind, len(form)))
+            found.add_word(cue, (kind, len(cue)))
     found.make_automaton()
     return found
 
 
 _ANCHORS = None
+_UPPER, _LOWER = (bytes(range(a, a + 26)) for a in (65, 97))
+
+
+def lower_ascii(text: str) -> str:
+    """``text`` with A-Z in lower case: as long as before, so places in it are places in the text."""
+    return text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").translate(bytes.maketrans(_UPPER, _LOWER)).decode("utf-8", "surrogatepass")
 
 
 def luhn(digits: str) -> bool:
@@ -100,9 +105,15 @@ def _numbers(text: str, a: int, b: int) -> Iterator[tuple[str, int, int]]:
             yield "phone", m.start(), m.end()
 
 
-def _iban(value: str) -> bool:
-    v = value.replace(" ", "").upper()
-    return 15 <= len(v) <= 34 and int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1
+def _iban(text: str, a: int, b: int) -> int | None:
+    """End of the longest IBAN from ``a`` that ends no later than ``b``, not inside a word."""
+    value = text[a:b].replace(" ", "").upper()
+    while len(value) >= 15:
+        if not text[b:b + 1].isalnum() and int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1:
+            return b
+        value = value[:-1]
+        b -= 1 + (text[b - 2] == " ")
+    return None
 
 
 def _ipv6(value: str) -> bool:
@@ -121,12 +132,16 @@ def spans_of(text: str | None) -> list[tuple[str, int, int]]:
     _ANCHORS = _ANCHORS or _automaton()
     found: set[tuple[str, int, int]] = set()
     number_end = email_end = v6_end = 0
-    for last, (kind, size) in _ANCHORS.iter(text):
+    for last, (kind, size) in _ANCHORS.iter(lower_ascii(text)):
         at, end = last + 1 - size, last + 1
         if kind == "number":
             if at >= number_end:
                 a, number_end = _expand(text, at, end, _NUMBER_RUN, number_end)
                 found.update(_numbers(text, a, number_end))
+                # two letters at a word's start before the digits: an account number that has no cue
+                if (at > 1 and (m := _IBAN.match(text, at - 2)) and not text[at - 3:at - 2].isalnum()
+                        and (b := _iban(text, at - 2, m.end()))):
+                    found.add(("iban", at - 2, b))
         elif kind == "email":
             a, _ = _expand(text, at, at, _LOCAL, email_end) if at > email_end else (at, at)
             if a < at and (m := _DOMAIN.match(text, end)):
@@ -139,15 +154,19 @@ def spans_of(text: str | None) -> list[tuple[str, int, int]]:
         elif kind == "ipv6":
             if at >= v6_end:
                 a, v6_end = _expand(text, at, end, _IPV6, v6_end)
-                value = text[a:v6_end].rstrip(".")
-                if v6_end - a <= 45 and _ipv6(value) and not (a and text[a - 1].isalnum()):
-                    found.add(("ipv6", a, a + len(value)))
+                b = v6_end
+                while b > a and (text[b - 1] == "." or text[b - 1] == ":" and text[b - 2:b] != "::"):
+                    b -= 1
+                if text[a:a + 1] == ":" and text[a:a + 2] != "::":
+                    a += 1
+                if b - a <= 45 and _ipv6(text[a:b]) and not (a and text[a - 1].isalnum()) and not text[b:b + 1].isalnum():
+                    found.add(("ipv6", a, b))
         elif kind == "key":
             if (m := _KEY_ID.match(text, at)) and not (at and text[at - 1].isalnum()):
                 found.add(("secret", m.start(), m.end()))
         elif kind == "iban":
-            if (m := _IBAN.match(text, end)) and _iban(m.group(1)):
-                found.add(("iban", m.start(1), m.end(1)))
+            if (m := _IBAN_CUED.match(text, end)) and (b := _iban(text, m.start(1), m.end(1))):
+                found.add(("iban", m.start(1), b))
         elif m := _VALUES[kind][0].match(text, end):
             value = m.group(1)
             if kind != "secret" or any(c.isdigit() for c in value):
@@ -198,7 +217,11 @@ def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 
 def redact(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
-    """``docs`` with the spans of each text replaced; ``n_chars``, if there, counts the new text."""
+    """``docs`` with the spans of each text replaced; ``n_chars``, if there, counts the new text.
+
+    Every row stays: null and empty texts, texts without spans, null keys and
+    repeated rows as they are, other columns unchanged.
+    """
     at = docs.columns.index(text)
     size = docs.columns.index(n_chars) if n_chars in docs.columns else None
 

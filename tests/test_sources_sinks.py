@@ -193,3 +193,44 @@ def test_observed_counts_equal_a_second_scan(spark, inputs):
     stored = {r.test_name: (r.failures, r.status) for r in spark.table(names["rule_summary"])
               .where("kind not in ('recency', 'consistency')").collect()}
     assert stored == counted and sum(n for n, _ in stored.values()) > 0
+
+
+def test_extract_of_several_files_is_one_load(spark, tmp_path):
+    import pytest
+
+    from traitlens.streaming.ingest import commit_extract, run_manifest_ingest
+
+    land, manifests, bronze = (str(tmp_path / x) for x in ("land", "manifests", "bronze"))
+    kw = dict(archive_dir=str(tmp_path / "archive"), bronze_dir=bronze, checkpoint=str(tmp_path / "ckpt"), keep=2)
+    for i in range(3):
+        _landed(f"{land}/one", [dict(RECORDS[0], id=10 + i)])
+    os.makedirs(manifests)
+    assert run_manifest_ingest(spark, land, manifests, **kw) == 0       # landed, but not committed
+    assert commit_extract(spark, land, "one", manifests) == 3
+    with pytest.raises(Exception):
+        commit_extract(spark, land, "one", manifests)
+    _landed(f"{land}/torn", RECORDS)
+    assert run_manifest_ingest(spark, land, manifests, **kw) == 1
+    rows = RAW.read_bronze(spark, bronze).collect()
+    assert sorted(r.id for r in rows) == [10, 11, 12]
+    assert len({(r.extracted_at, r._dlt_load_id) for r in rows}) == 1   # three files, one load
+    # a file is lost after the commit: nothing is written, and the load goes through once it is back
+    commit_extract(spark, land, "torn", manifests)
+    _landed(f"{land}/torn", RECORDS)
+    with pytest.raises(Exception, match="manifest"):
+        run_manifest_ingest(spark, land, manifests, **kw)
+    assert sorted(r.id for r in RAW.read_bronze(spark, bronze).collect()) == [10, 11, 12]
+    os.remove(os.path.join(land, "torn", "batch-1.json"))
+    assert run_manifest_ingest(spark, land, manifests, **kw) == 1
+    assert sorted(r.id for r in RAW.read_bronze(spark, bronze).collect()) == [1, 2]
+    # an empty extract replaces bronze too; only two versions stay, and an unfinished one is left alone
+    os.makedirs(f"{land}/none")
+    open(f"{land}/none/batch-0.json", "w").close()
+    commit_extract(spark, land, "none", manifests)
+    os.makedirs(os.path.join(bronze, "version=000000000000x"))
+    assert run_manifest_ingest(spark, land, manifests, **kw) == 1
+    assert RAW.read_bronze(spark, bronze).count() == 0
+    assert len(RAW.committed_versions(spark, bronze)) == 2 and len(os.listdir(bronze)) == 3
+    assert spark.read.json(str(tmp_path / "archive")).count() == 5
+    with pytest.raises(ValueError):
+        SNK.drop_old_versions(spark, bronze, 0)

@@ -1063,6 +1063,36 @@ def bronze_replace(i: Inputs) -> DataFrame:
     return read_bronze(i.spark, path)
 
 
+@register("extract_ingest", _with("""
+select id, name, weight__imperial, height__metric, life_span, temperament, 'load-1' as _dlt_load_id,
+       'load-1-' || id as _dlt_id, cast('2025-08-27' as varchar) as extraction_date,
+       timestamp '2025-08-27 06:00:00' as extracted_at
+from raw"""))
+def extract_ingest(i: Inputs) -> DataFrame:
+    """Bronze after two extracts of several files each, streamed by their manifests; a third is not committed (SRC-3, SNK-1)."""
+    import datetime as dt
+
+    from traitlens.sources.raw import LOAD_COLUMNS, nest, read_bronze
+    from traitlens.streaming.ingest import commit_extract, run_manifest_ingest
+
+    folder = _folder(i, "extracts")
+    landed = nest(i.raw.drop(*LOAD_COLUMNS))
+    manifests = f"{folder}/manifests"
+    days = iter((26, 27))
+    for extract, rows in (("first", landed.where("id % 2 = 0")), ("second", landed), ("torn", landed.where("id % 3 = 0"))):
+        for part in (rows.where("id % 5 < 2"), rows.where("id % 5 >= 2")):  # lands in two goes
+            part.write.mode("append").json(f"{folder}/landing/{extract}")
+        if extract == "torn":
+            continue
+        commit_extract(i.spark, f"{folder}/landing", extract, manifests)
+        run_manifest_ingest(i.spark, f"{folder}/landing", manifests, f"{folder}/archive", f"{folder}/bronze",
+                            checkpoint=f"{folder}/progress", keep=2,
+                            clock=lambda: dt.datetime(2025, 8, next(days), 6, tzinfo=dt.timezone.utc))
+    return read_bronze(i.spark, f"{folder}/bronze").select(
+        "id", "name", "weight__imperial", "height__metric", "life_span", "temperament", "_dlt_load_id", "_dlt_id",
+        "extraction_date", "extracted_at")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -100,16 +100,26 @@ def read_landed_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(NESTED_SCHEMA).json(path)
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """(file system, path constructor) of the Hadoop client for ``path``, wherever it lies."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    return hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def committed_versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of a versioned table that have Spark's success marker, oldest first."""
+    fs, hadoop = file_system(spark, path)
+    done = fs.globStatus(hadoop(f"{path}/version=*/_SUCCESS")) or []
+    return sorted(s.getPath().getParent().toString() for s in done)
+
+
 def read_bronze(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Read the flattened bronze table (SRC-1) with its explicit schema.
 
     Of a versioned table the newest committed version is read (a folder with
     Spark's success marker); the listing goes through the Hadoop file system.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    done = fs.globStatus(hadoop(f"{path}/version=*/_SUCCESS")) or []
-    newest = max((s.getPath().getParent().toString() for s in done), default=path)
+    newest = (committed_versions(spark, path) or [path])[-1]
     return spark.read.schema(BRONZE_SCHEMA).format(fmt).load(newest)
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from traitlens.operators import quality as Q
 from traitlens.plans import star as S
 from traitlens.plans.quality_rules import recency_rule, star_rules
+from traitlens.sources.raw import committed_versions, file_system
 
 MART_KEY = "breed_id"
 
@@ -32,6 +33,22 @@ def replace_bronze(df: DataFrame, path: str, fmt: str = "parquet", version: int
     df.write.mode("overwrite").format(fmt).save(target)
 
 
+def drop_old_versions(spark: SparkSession, path: str, keep: int) -> int:
+    """Delete the committed versions of a versioned table before its ``keep`` newest; returns how many.
+
+    Folders without a success marker are a load under way or one to be
+    replayed, and stay. Queries planned on an older version must end first,
+    so keep as many versions as such queries may be behind.
+    """
+    if keep < 1:
+        raise ValueError("at least one version is kept")
+    old = committed_versions(spark, path)[:-keep]
+    fs, hadoop = file_system(spark, path)
+    for folder in old:
+        fs.delete(hadoop(folder), True)
+    return len(old)
+
+
 def archive_raw(df: DataFrame, path: str, fmt: str = "json") -> None:
     """SNK-2: raw archive, one folder per load date and load id.
 

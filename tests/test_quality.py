@@ -1,6 +1,7 @@
 """Data-quality rules: failing rows, one-pass summary, severity, stored failures."""
 
 import datetime as dt
+from collections import Counter
 
 import pytest
 
@@ -127,3 +128,20 @@ def test_recency_units(spark):
     assert Q.recency(df, "ts", dt.datetime(2025, 8, 26, 15, 30), 2, "r", unit="hour").first().passed is True
     assert Q.recency(df, "ts", dt.datetime(2025, 8, 26, 17, 0), 2, "r", unit="hour").first().passed is False
     assert Q.recency(df, "ts", dt.datetime(2025, 8, 26, 14, 20), 30, "r", unit="minute").first().passed is True
+
+
+def test_star_consistency_reads_each_table_once_and_keeps_every_record(spark):
+    dim = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (None, "n"), (4, None)], "k long, v string")
+    fct = spark.createDataFrame([(1,), (7,), (7,), (None,)], "k long")
+    traits = spark.createDataFrame([(1, "x"), (2, "y"), (8, "z")] + [(9, "h")] * 2500, "k int, v string")
+    got = Counter(tuple(r) for r in Q.star_consistency(dim, {"fct": fct, "traits": traits}, "k", "v").collect())
+    want = Counter({("fct", 2, "b", "missing_breed"): 2, ("fct", None, "n", "missing_breed"): 1,
+                    ("fct", 4, None, "missing_breed"): 1, ("traits", None, "n", "missing_breed"): 1,
+                    ("traits", 4, None, "missing_breed"): 1, ("fct", 7, None, "orphaned_record"): 2,
+                    ("fct", None, None, "orphaned_record"): 1, ("traits", 8, "z", "orphaned_record"): 1,
+                    ("traits", 9, "h", "orphaned_record"): 2500})
+    assert got == want
+    empty = dim.where("false")
+    assert Q.star_consistency(empty, {"fct": empty}, "k", "v").count() == 0
+    plan = Q.star_consistency(dim, {"fct": fct, "traits": traits}, "k", "v")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Scan ExistingRDD") == 3

@@ -16,7 +16,7 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from traitlens.operators.joins import anti_join
@@ -237,25 +237,33 @@ def star_consistency(dim: DataFrame, others: dict[str, DataFrame], key: str, lab
     """Keys missing from, and records orphaned in, each other table (DQ-8, JN-4, SET-1).
 
     Output: (issue_type, <key>, <label>, issue_description), one row per
-    orphaned record. Both sides are anti-joins on the key; only keys of the
-    side that is looked up cross the shuffle, each once per task.
+    orphaned record. Every table is read once: its (key, label) rows are
+    counted under the table's bit, and a key's bits tell which tables have it.
+    A null key is in no other table. Rows of a key that repeats travel as one
+    counted row per label and become rows again only where they are reported.
     """
-    dim_keys = dim.select(key, label)
-    parts = []
-    for name, other in others.items():
-        other_keys = other.select(key).distinct()
-        parts.append(anti_join(dim_keys, other_keys, key)
-                     .select(F.lit(name).alias("issue_type"), key, label,
-                             F.lit("missing_breed").alias("issue_description")))
-    for name, other in others.items():
-        lab = F.col(label) if label in other.columns else F.lit(None).cast("string")
-        parts.append(anti_join(other.select(key, lab.alias(label)), dim.select(key), key)
-                     .select(F.lit(name).alias("issue_type"), key, label,
-                             F.lit("orphaned_record").alias("issue_description")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    frames = {None: dim, **others}
+    kinds = {c: dict(dim.dtypes)[c] for c in (key, label)}
+    tagged = reduce(DataFrame.unionByName, [
+        df.select(F.col(key).cast(kinds[key]).alias("k"),
+                  (F.col(label) if label in df.columns else F.lit(None)).cast(kinds[label]).alias("v"),
+                  F.lit(1 << i).cast("long").alias("bit"))
+        for i, df in enumerate(frames.values())])
+    rows = tagged.groupBy("k", "v", "bit").agg(F.count(F.lit(1)).alias("n"))
+    # null keys have nothing to meet, so they are dealt by label
+    of_key = Window.partitionBy("k", F.when(F.col("k").isNull(), F.hash("v")))
+    bits = F.when(F.col("k").isNull(), F.col("bit")).otherwise(F.bit_or("bit").over(of_key))
+    issue = lambda name, text: F.struct(F.lit(name).alias("issue_type"), F.lit(text).alias("issue_description"))
+    issues = []
+    for i, name in enumerate(others, 1):
+        issues += [F.when((F.col("bit") == 1) & (F.col("bits").bitwiseAND(1 << i) == 0), issue(name, "missing_breed")),
+                   F.when((F.col("bit") == 1 << i) & (F.col("bits").bitwiseAND(1) == 0), issue(name, "orphaned_record"))]
+    found = rows.withColumn("bits", bits).select("k", "v", "n", F.explode(F.array_compact(F.array(*issues))).alias("issue"))
+    # n rows again, a thousand at a time
+    found = found.select("k", "v", "issue", "n", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / 1000))).alias("block"))
+    found = found.select("k", "v", "issue", F.explode(F.array_repeat(
+        F.lit(0), F.least(F.lit(1000), F.col("n") - 1000 * F.col("block")).cast("int"))))
+    return found.select("issue.issue_type", F.col("k").alias(key), F.col("v").alias(label), "issue.issue_description")
 
 
 def row_counts(tables: dict[str, DataFrame], alias: str = "row_count") -> DataFrame:

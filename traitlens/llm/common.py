@@ -149,4 +149,4 @@ def streamed_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.
 
 def by_group(df: DataFrame, key: str, fn: Callable, schema: str) -> DataFrame:
     """Apply ``fn`` (batches -> batches) to partitions dealt and sorted by ``key``."""
-    return df.repartition(F.col(key)).sortWithinPartitions(key).mapInArrow(fn, schema)
+    return df.repartition(F.col(key)).sortWithinPartitions(key).mapInArrow(released(fn), schema)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitlens.llm.common import SHINGLE, SIMILARITY, by_group, mix, shingle_set, streamed_groups, words_of, written
+from traitlens.llm.common import SHINGLE, SIMILARITY, by_group, mix, released, shingle_set, streamed_groups, words_of, written
 from traitlens.llm.components import components
 
 TOKENS = 64
@@ -356,7 +356,7 @@ class JaccardJoin:
         texts = texts.withColumn("h", F.xxhash64("t"))
         kind = dict(texts.dtypes)["id"]
         self.rows = written(texts.mapInArrow(
-            _sketch(shingle), f"id {kind}, text_hash long, key binary, tokens binary"), "sketches")
+            released(_sketch(shingle)), f"id {kind}, text_hash long, key binary, tokens binary"), "sketches")
         self.classes = written(self.rows.where("key is not null").groupBy("key").agg(
             F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("text_hash").alias("text_hash"),
             F.first("tokens").alias("tokens")), "classes")
@@ -367,7 +367,7 @@ class JaccardJoin:
                          .withColumnRenamed("node", "key"), "groups")
         bits = _filter_of(groups, "text_hash")
         sets = texts.where("t is not null").select("t", "h") \
-            .mapInArrow(_gather(shingle, bits), "key binary, shingles binary") \
+            .mapInArrow(released(_gather(shingle, bits)), "key binary, shingles binary") \
             .groupBy("key").agg(F.first("shingles").alias("shingles"))
         dealt = in_blocks(groups.select("key", "label", "n", "copies"), "label", block).join(sets, "key")
         found = written(by_group(dealt.select("gid", "side", "key", "copies", "shingles"), "gid",
@@ -438,8 +438,8 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
         .withColumn("_hash", F.xxhash64("_row"))
     # rows that are surely neither gone nor repeated stay where they are; only the rest is shuffled
     bits = _filter_of(gone.unionByName(repeated).select(F.xxhash64("_row").alias("_hash")), "_hash")
-    stay = whole.mapInArrow(_where_held(bits, "_hash", False), whole.schema).select("_doc")
-    kept = written(whole.mapInArrow(_where_held(bits, "_hash", True), whole.schema).join(gone, "_row", "left_anti"),
+    stay = whole.mapInArrow(released(_where_held(bits, "_hash", False)), whole.schema).select("_doc")
+    kept = written(whole.mapInArrow(released(_where_held(bits, "_hash", True)), whole.schema).join(gone, "_row", "left_anti"),
                    "perhaps-repeated")
     once = kept.join(repeated, "_row", "left_semi").groupBy("_row").agg(F.first("_doc").alias("_doc"))
     kept = stay.unionByName(kept.join(repeated, "_row", "left_anti").select("_doc")).unionByName(once.select("_doc"))

@@ -16,6 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from traitlens.llm.common import released, slices_by_chars
+
+#: Characters of texts that are searched at a time.
+BATCH_CHARS = 1_000_000
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 #: Kinds in the order that breaks ties between spans with one start.
 KINDS = (*BASE_KINDS, "iban", "ssn", "account", "secret", "login_url", "ipv6")
@@ -226,15 +231,17 @@ def redact(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> Dat
     size = docs.columns.index(n_chars) if n_chars in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            old = batch.column(at).to_pylist()
-            new = [redacted(t) for t in old]
-            columns = list(batch.columns)
-            columns[at] = pa.array(new, batch.schema.field(at).type)
-            if size is not None:
-                columns[size] = pa.array([n if a == b else len(b) for a, b, n in
-                                          zip(old, new, batch.column(size).to_pylist())],
-                                         batch.schema.field(size).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-
-    return docs.mapInArrow(run, docs.schema)
+        for whole in batches:
+            for batch in slices_by_chars(whole, at, BATCH_CHARS):
+                old = batch.column(at).to_pylist()
+                new = [redacted(t) for t in old]
+                columns = list(batch.columns)
+                columns[at] = pa.array(new, batch.schema.field(at).type)
+                if size is not None:
+                    columns[size] = pa.array([n if a == b else len(b) for a, b, n in
+                                              zip(old, new, batch.column(size).to_pylist())],
+                                             batch.schema.field(size).type)
+                del old, new
+                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return docs.mapInArrow(released(run), docs.schema)

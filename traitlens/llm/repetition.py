@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitlens.llm.common import mix, word_codes, words_of
+from traitlens.llm.common import mix, released, word_codes, words_of
 
 SYMBOLS = "#*$%&|<>"
 _SPACES = " \t\n\x0b\x0c\r"
@@ -190,11 +190,15 @@ def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 
 def keep_quality(docs: DataFrame, text: str = "text", limits: Limits = Limits()) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, all columns as they are; no shuffle."""
+    """The rows of ``docs`` that the rules keep, all columns as they are; no shuffle.
+
+    Null and empty texts fail the base rule and go; repeated rows and null keys
+    are judged like any other.
+    """
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(measure(batch.column(at).to_pylist(), limits)["kept"]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

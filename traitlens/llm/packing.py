@@ -11,11 +11,9 @@ windows are filled in parallel and without gaps.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,39 +30,33 @@ END_ID = 1
 SHIFT = 16
 #: Characters of texts tokenized at a time.
 BATCH_CHARS = 1_500_000
-#: Pieces of a generation whose ids are kept. Of the one before, only pieces that are met again are taken over.
+#: Units (words or other pieces) whose ids are kept; beyond, the half that was met most often stays.
 PIECES_KEPT = 300_000
 
 
-class _Codes(dict):
-    """Numbers pieces as they are met; ``new`` are those without ids yet."""
-
-    def __init__(self):
-        self.new: list[str] = []
-
-    def __missing__(self, piece: str) -> int:
-        code = self[piece] = len(self)
-        self.new.append(piece)
-        return code
-
-
 class _Kept:
-    """Ids of pieces, one after the other in a flat array."""
+    """Ids of units (words in lower case, or pieces that are not plain words), one after the other in a flat array."""
 
     def __init__(self):
-        self.code = _Codes()
-        self.flat, self.starts, self.sizes = array("H"), array("q"), array("q")
+        self.units = pa.array([], pa.string())
+        self.flat, self.sizes, self.met = np.empty(0, np.uint16), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    @property
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.sizes) - self.sizes
 
-    def get(self, piece: str) -> bytes | None:
-        i = self.code.get(piece)
-        return None if i is None else self.flat[self.starts[i]:self.starts[i] + self.sizes[i]].tobytes()
+    def add(self, units: pa.Array, ids: list[bytes]) -> None:
+        self.units = pa.concat_arrays([self.units, units])
+        self.flat = np.concatenate((self.flat, np.frombuffer(b"".join(ids), np.uint16)))
+        self.sizes = np.concatenate((self.sizes, np.fromiter(map(len, ids), np.int64, len(ids)) // 2))
+        self.met = np.concatenate((self.met, np.zeros(len(ids), np.int64)))
 
-    def add(self, ids: list[bytes]) -> None:
-        at, first = len(self.flat), len(self.sizes)
-        self.flat.frombytes(b"".join(ids))
-        self.sizes.extend(len(x) // 2 for x in ids)
-        self.starts.extend(accumulate(self.sizes[first:-1], initial=at) if ids else ())
-        self.code.new = []
+    def cut(self, most: int) -> None:
+        """Keep the units that were met in most slices; those of earlier cuts count half."""
+        keep = np.sort(np.argsort(-self.met, kind="stable")[:most])
+        row, at = _ranges(self.starts[keep], self.sizes[keep])
+        self.units, self.flat = self.units.take(pa.array(keep)), self.flat[at]
+        self.sizes, self.met = self.sizes[keep], self.met[keep] // 2
 
 
 class Tokenizer:
@@ -73,11 +65,13 @@ class Tokenizer:
     The vocabulary's rules drop white space and never join across it, so a text's
     ids are those of its ASCII-space-separated pieces in order (tested against whole texts).
     A piece of Latin letters, perhaps with a full stop or comma, goes straight to
-    the vocabulary's merges in lower case; any other is encoded by all its rules.
+    the vocabulary's merges in lower case, and the sign's id follows; any other is
+    encoded by all its rules.
     """
 
     LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
-    PLAIN = re.compile(f"([{LATIN}]+)([.,]?)")
+    PLAIN = f"^(?P<word>[{LATIN}]+)(?P<sign>[.,]?)$"
+    SIGNS = pa.array([".", ","])
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads only hold memory
@@ -88,8 +82,8 @@ class Tokenizer:
         self.merge = self.model.model.tokenize
         as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         self.as_bytes = {i: as_bytes.pre_tokenize_str(chr(i))[0][0] for i in range(0xc0, 0x100)}
-        self.mark = {c: self._ids([c])[0] for c in (".", ",")} | {"": b""}
-        self.old = self.now = _Kept()
+        self.signs = np.frombuffer(b"".join(self._ids(self.SIGNS.to_pylist())), np.uint16)
+        self.kept = _Kept()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("H", e.ids).tobytes()
@@ -99,37 +93,50 @@ class Tokenizer:
         return array("H", [t.id for t in self.merge(
             word if word.isascii() else word.translate(self.as_bytes))]).tobytes()
 
-    def _learn(self) -> None:
-        """Ids of the pieces that were met for the first time."""
-        pieces = self.now.code.new
-        ids = [self.old.get(p) for p in pieces] if self.old is not self.now else [None] * len(pieces)
-        texts = [None if x is not None else p for p, x in zip(pieces, ids)]
-        plain = [t and (m := self.PLAIN.fullmatch(t)) and (m[1].lower(), m[2]) for t in texts]
-        known = {w: self._letters(w) for w in {m[0] for m in plain if m}}
-        other = iter(self._ids([t for t, m in zip(texts, plain) if t is not None and not m]))
-        self.now.add([x if x is not None else known[m[0]] + self.mark[m[1]] if m else next(other)
-                      for x, m in zip(ids, plain)])
+    def _places(self, units: pa.Array, plain: np.ndarray) -> np.ndarray:
+        """Where the ids of distinct units are kept; those of new ones are found first."""
+        known = pc.index_in(units, value_set=self.kept.units)
+        new = np.flatnonzero(known.is_null().to_numpy(zero_copy_only=False))
+        places = pc.fill_null(known, -1).to_numpy().astype(np.int64)
+        if len(new):
+            places[new] = len(self.kept.units) + np.arange(len(new))
+            fresh = units.take(pa.array(new))
+            texts, letters = fresh.to_pylist(), plain[new]
+            other = iter(self._ids([t for t, m in zip(texts, letters) if not m]))
+            self.kept.add(fresh, [self._letters(t) if m else next(other) for t, m in zip(texts, letters)])
+        self.kept.met[places] += 1
+        return places
 
     def __call__(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
-        """Ids of every text, the end id last. Arrow splits the texts and numbers their distinct pieces."""
-        if len(self.now.code) > PIECES_KEPT:
-            self.old, self.now = self.now, _Kept()
+        """Ids of every text, the end id last. Arrow splits the texts, numbers their distinct pieces and finds plain words."""
+        if not len(texts):
+            return []
+        if len(self.kept.units) > PIECES_KEPT:
+            self.kept.cut(PIECES_KEPT // 2)
         if isinstance(texts, list):
             texts = pa.array(texts, pa.string())
         pieces = pc.ascii_split_whitespace(pc.fill_null(texts, ""))  # blanks at an end leave an empty piece: no ids
         counts = pc.list_value_length(pieces).to_numpy()
         coded = pieces.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        c = np.fromiter(map(self.now.code.__getitem__, distinct), np.int64, len(distinct))
-        c = c[coded.indices.to_numpy()] if len(distinct) else c
-        self._learn()
-        flat, starts, sizes = map(np.array, (self.now.flat, self.now.starts, self.now.sizes))
-        n = sizes[c] if len(c) else c
+        parts = pc.extract_regex(coded.dictionary, self.PLAIN)
+        words = pc.utf8_lower(pc.struct_field(parts, "word"))
+        units = pc.coalesce(words, coded.dictionary).dictionary_encode()
+        number = units.indices.to_numpy()
+        plain = np.zeros(len(units.dictionary), bool)
+        plain[number] = words.is_valid().to_numpy(zero_copy_only=False)
+        place = self._places(units.dictionary, plain)[number]
+        sign = pc.fill_null(pc.index_in(pc.struct_field(parts, "sign"), value_set=self.SIGNS), -1).to_numpy()
+
+        at = coded.indices.to_numpy()
+        place, sign = place[at], sign[at]
+        n = self.kept.sizes[place] + (sign >= 0)
         ends = np.cumsum(n)
-        total = int(ends[-1]) if len(n) else 0
-        ids = flat[np.arange(total) + np.repeat(starts[c] - ends + n, n)] if total else np.empty(0, np.uint16)
+        _, source = _ranges(self.kept.starts[place], n)
+        ids = np.append(self.kept.flat, np.uint16(0))[source]  # a sign's place may lie after the last unit
+        signed = np.flatnonzero(sign >= 0)
+        ids[ends[signed] - 1] = self.signs[sign[signed]]
         cuts = np.concatenate(([0], ends))[np.cumsum(counts)]
-        return [np.append(x, np.uint16(END_ID)) for x in np.split(ids, cuts[:-1])] if len(texts) else []
+        return [np.append(x, np.uint16(END_ID)) for x in np.split(ids, cuts[:-1])]
 
 
 _tokenizers: dict[str, Tokenizer] = {}

@@ -34,6 +34,35 @@ def test_suffix_array_equals_brute_force(k):
         assert [(int(c), int(m)) for c, m in zip(covered, longest)] == [brute(d, k) for d in docs]
 
 
+def test_coverage_by_several_lengths_equals_brute_force():
+    rnd = random.Random(11)
+    for _ in range(60):
+        docs = []
+        for _ in range(rnd.randint(1, 5)):
+            d = [b"%d" % rnd.randint(0, rnd.choice([1, 4, 60])) for _ in range(rnd.randint(0, 60))]
+            docs.append(d + d[rnd.randint(0, len(d)):] + d[:rnd.randint(0, 12)])
+        covered, _ = R.covered_by(docs, (5, 5, 6, 8, 10))
+        assert covered.tolist() == [[brute(d, k)[0] for d in docs] for k in (5, 5, 6, 8, 10)]
+
+
+def test_texts_that_only_the_method_rejects():
+    rnd = random.Random(12)
+    words = [f"w{i}" for i in range(2000)]
+    rnd.shuffle(words)
+    line = " ".join(words[:11])
+    once = " ".join(words[20:220])                     # nothing repeats
+    # 22 of 140 words (16 %) in a repeat of 11 words; 22 of 320 (7 %)
+    much, little = (f"{line} {' '.join(words[300:300 + n])} {line}" for n in (118, 298))
+    # 12 of 82 words (15 % at most, but 14.6 % in repeats of six words, over 14 %)
+    six = " ".join(words[:6] + words[700:770] + words[:6])
+    # a repeat of 101 words in a text of 2,000 (10.1 % of words in repeats of ten words)
+    long = " ".join(words[:1798] + words[:101] + words[1798:1899])
+    got = R.measure([once, much, little, six, long], R.Limits())
+    assert got["base_failed"].tolist() == [False] * 5
+    assert got["kept"].tolist() == [True, False, True, False, False]
+    assert got["longest_repeat"].tolist() == [0, 11, 11, 6, 101]
+
+
 def test_blocks_do_not_change_results(monkeypatch):
     texts = ["a b c d e f a b c d e g", "a b c d e f", None, "x " * 50]
     whole = {k: v.tolist() for k, v in R.measure(texts, R.Limits()).items()}

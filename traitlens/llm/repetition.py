@@ -3,8 +3,10 @@
 Words are compared. Per Arrow batch, the suffixes that share at least
 ``min_words`` words with another suffix of the same text are sorted by prefix
 doubling; neighbours' longest common prefixes give the maximal repeated
-substrings. Every suffix in an LCP interval covers its longest common prefix;
-the union of these spans and the longest repeat are limited.
+substrings. Every suffix in an LCP interval covers its longest common prefix.
+The union of the spans of at least so many words is limited for each of several
+lengths (the longer the repeats, the smaller the share), and so is the longest
+repeat; all come from the same LCP array.
 """
 
 from __future__ import annotations
@@ -28,7 +30,9 @@ BLOCK_WORDS = 400_000
 @dataclass(frozen=True)
 class Limits:
     min_words: int = 5           # words of the shortest repeat that counts
-    max_covered: float = 0.2     # fraction of words in repeats
+    #: (words of a repeat, greatest percentage of words in repeats of that length or more); the published
+    #: limits for duplicate n-grams of five to ten words
+    max_covered: tuple[tuple[int, int], ...] = ((5, 15), (6, 14), (7, 13), (8, 12), (9, 11), (10, 10))
     max_longest: int = 100       # words of the longest repeat
     min_text_words: int = 10     # base rule
     max_repeat_percent: int = 20  # base rule
@@ -40,8 +44,14 @@ def _dense(keys: np.ndarray) -> np.ndarray:
 
 def repeats(docs: list[list[bytes]], min_words: int) -> tuple[np.ndarray, np.ndarray]:
     """Per text, the words covered by repeats of ``min_words`` or more, and the longest repeat."""
-    n_docs = len(docs)
-    covered = np.zeros(n_docs, np.int64)
+    covered, longest = covered_by(docs, (min_words,))
+    return covered[0], longest
+
+
+def covered_by(docs: list[list[bytes]], lengths: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Words covered by repeats of each of ``lengths`` or more (lengths x texts), and each text's longest repeat."""
+    n_docs, min_words = len(docs), min(lengths)
+    covered = np.zeros((len(lengths), n_docs), np.int64)
     longest = np.zeros(n_docs, np.int64)
     code_of = word_codes()
     sizes = np.fromiter(map(len, docs), np.int64, n_docs)
@@ -115,12 +125,14 @@ def repeats(docs: list[list[bytes]], min_words: int) -> tuple[np.ndarray, np.nda
     np.maximum.at(reach, a, lcp)
     np.maximum.at(reach, b, lcp)
     p = np.flatnonzero(reach)
-    if len(p):
-        edge = np.zeros(n + 1, np.int64)
-        np.add.at(edge, p, 1)
-        np.add.at(edge, p + reach[p], -1)
-        covered = np.bincount(doc, weights=np.cumsum(edge[:n]) > 0, minlength=n_docs).astype(np.int64)
-        np.maximum.at(longest, doc[p], reach[p])
+    np.maximum.at(longest, doc[p], reach[p])
+    for i, length in enumerate(lengths):
+        p = p[reach[p] >= length] if i and length >= lengths[i - 1] else np.flatnonzero(reach >= length)
+        if len(p):
+            # spans start in order; a word counts once, for the first span that holds it
+            end = np.maximum.accumulate(p + reach[p])
+            new = end - np.maximum(p, np.concatenate(([0], end[:-1])))
+            covered[i] = np.bincount(doc[p], weights=new, minlength=n_docs).astype(np.int64)
     return covered, longest
 
 
@@ -142,10 +154,11 @@ def measure(texts: list[str | None], limits: Limits) -> dict[str, np.ndarray]:
     """The columns of ``_OUT`` for a list of texts, in blocks of bounded words."""
     counts = [[], [], [], []]
     covered, longest, block, held = [], [], [], 0
+    lengths = (limits.min_words, *(n for n, _ in limits.max_covered))
 
     def sort_block() -> None:
         nonlocal block, held
-        c, m = repeats(block, limits.min_words)
+        c, m = covered_by(block, lengths)
         covered.append(c)
         longest.append(m)
         block, held = [], 0
@@ -160,12 +173,13 @@ def measure(texts: list[str | None], limits: Limits) -> dict[str, np.ndarray]:
             sort_block()
     sort_block()
     n_words, chars, symbols, dup = (np.array(x, np.int64) for x in counts)
-    covered, longest = np.concatenate(covered), np.concatenate(longest)
+    (covered, *others), longest = np.concatenate(covered, axis=1), np.concatenate(longest)
     failed = (n_words < limits.min_text_words) | (100 * covered > limits.max_repeat_percent * n_words)
-    fraction = covered / np.maximum(n_words, 1)
-    kept = ~failed & (fraction <= limits.max_covered) & (longest <= limits.max_longest)
-    return dict(zip((k for k, _ in _OUT),
-                    (n_words, chars, symbols, dup, covered, failed, kept, longest, fraction)))
+    kept = ~failed & (longest <= limits.max_longest)
+    for by_length, (_, percent) in zip(others, limits.max_covered):
+        kept &= 100 * by_length <= percent * n_words
+    return dict(zip((k for k, _ in _OUT), (n_words, chars, symbols, dup, covered, failed, kept, longest,
+                                           covered / np.maximum(n_words, 1))))
 
 
 def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text",

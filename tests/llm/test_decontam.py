@@ -50,6 +50,17 @@ def test_matches_equal_brute_force(spark):
     assert got == brute(docs, items) and len(got) > 20 and min(got.values()) < 1
 
 
+def test_short_items_are_one_shingle(spark):
+    items = spark.createDataFrame([(1, "Forty two"), (2, "a b c d"), (3, "one two three four five"), (4, "")],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(1, "forty-two!"), (2, "the answer is forty two"), (3, "a b c d"), (4, "a b c"),
+                                  (5, "zero one two three four five six"), (6, ""), (7, None), (8, "forty, TWO")],
+                                 "doc_id long, text string")
+    found = D.find_leaks(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (3, 2), (5, 3), (8, 1)]
+    assert sorted(r.doc_id for r in D.without_leaks(docs, items).collect()) == [2, 4, 6, 7]
+
+
 def test_hamming_blocks_meet_all_within_the_radius(spark):
     rnd = random.Random(10)
     rows = []

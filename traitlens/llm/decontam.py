@@ -27,12 +27,16 @@ BROADCAST_ROWS = 1_000_000
 
 
 def shingles(text: Column, size: int = SHINGLE) -> Column:
-    """64-bit hashes of all runs of ``size`` words (letters and digits, lower case), in order."""
+    """64-bit hashes of all runs of ``size`` words (letters and digits, lower case), in order.
+
+    A text of fewer words, at least one, has one shingle: all of its words.
+    """
     words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0))
     # a lambda's argument is computed once per row, whatever its uses
     return F.get(F.transform(F.array(words), lambda ws: F.when(
         F.size(ws) >= size,
         F.transform(F.sequence(F.lit(1), F.size(ws) - (size - 1)), lambda i: F.xxhash64(F.slice(ws, i, size))))
+        .when(F.size(ws) > 0, F.array(F.xxhash64(ws)))
         .otherwise(F.array().cast("array<bigint>"))), F.lit(0))
 
 
@@ -83,7 +87,9 @@ def matches(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "
 
     ``text_key`` is a struct of two 64-bit hashes of the text, so copies are
     searched once. The most similar window is given, the first of equals.
-    Items and texts of fewer than five words have no shingles and no matches.
+    An item of one to four words is one shingle, found in texts of just these
+    words; inside longer texts such runs are no evidence of the benchmark. Items
+    and texts without words match nothing.
     """
     bench = written(
         items.select(F.col(item).alias("item"), shingles(F.col(item_text)).alias("theirs")).where(F.size("theirs") > 0)
@@ -150,7 +156,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
 
 def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id",
                   item_text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` whose text holds no benchmark item; null texts stay."""
+    """The rows of ``docs`` whose text holds no benchmark item, all columns as they are.
+
+    Null and empty texts stay; null keys and repeated rows are judged like others;
+    an empty benchmark keeps all rows.
+    """
     bad = written(matches(docs, items, text, item, item_text, similarity).select("text_key").distinct(), "leaking-texts")
     columns = docs.columns
     kept = docs.select(F.struct(*[F.col(c) for c in columns]).alias("row"), text_key(F.col(text)).alias("text_key")) \

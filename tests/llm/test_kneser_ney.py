@@ -1,71 +1,10 @@
-import math
 import random
-from collections import Counter
-
-import numpy as np
 
 from traitlens.llm import kneser_ney as K
 
 from llm.edge_rows import edge_docs, empty_docs  # noqa: F401
 
 
-def symbols(text):
-    return [0] * (K.ORDER - 1) + [int(K._CLASSES[ord(c)]) for c in text]
-
-
-def brute_model(texts):
-    """Probabilities by the recursion over dictionaries of counts."""
-    raw = Counter(tuple(s[i:i + K.ORDER]) for s in map(symbols, texts) for i in range(len(s) - K.ORDER + 1))
-    levels = {K.ORDER: raw}
-    for order in range(K.ORDER - 1, 0, -1):
-        levels[order] = Counter(g[1:] for g in levels[order + 1])
-    discounts = {}
-    for order, counts in levels.items():
-        n = Counter(counts.values())
-        y = n[1] / max(1, n[1] + 2 * n[2])
-        discounts[order] = [max(0.0, i - (i + 1) * y * n[i + 1] / n[i]) if n[i] else i * y for i in (1, 2, 3)]
-
-    def p(context, s):
-        order = len(context) + 1
-        lower = p(context[1:], s) if order > 1 else 1 / K.SYMBOLS
-        seen = {g: c for g, c in levels[order].items() if g[:-1] == context}
-        if not seen:
-            return lower
-        d = lambda c: discounts[order][min(c, 3) - 1] if c else 0.0
-        total, c = sum(seen.values()), seen.get((*context, s), 0)
-        return (c - d(c)) / total + sum(map(d, seen.values())) / total * lower
-    return p
-
-
-def test_model_equals_recursion(spark):
-    texts = ["the cat sat on the mat.", "the dog sat", "a cat", None, ""]
-    logs = K.train(spark.createDataFrame([(t,) for t in texts], "text string"))
-    p = brute_model([t for t in texts if t])
-    rnd = random.Random(1)
-    for _ in range(200):
-        gram = [int(K._CLASSES[ord(rnd.choice("thecasod. x"))]) for _ in range(K.ORDER)]
-        code = 0
-        for s in gram:
-            code = code << K.BITS | s
-        assert math.isclose(math.exp(logs[code]), p(tuple(gram[:-1]), gram[-1]), rel_tol=1e-4)
-    sums = np.exp(logs.reshape(-1, K.SYMBOLS)).sum(1)
-    assert np.allclose(sums, 1, atol=1e-4)
-
-
-def test_codes_of_batches():
-    rnd = random.Random(2)
-    for _ in range(100):
-        texts = [None if rnd.random() < .2 else "".join(rnd.choice("abC. é1\n") for _ in range(rnd.randint(0, 9)))
-                 for _ in range(rnd.randint(1, 6))]
-        codes, sizes = K.codes_of(texts)
-        want = []
-        for t in texts:
-            s = symbols(t) if t else []
-            for i in range(K.ORDER - 1, len(s)):
-                want.append(sum(x << K.BITS * (K.ORDER - 1 - j) for j, x in enumerate(s[i - K.ORDER + 1:i + 1])))
-        assert codes.tolist() == want and sizes.tolist() == [len(t or "") for t in texts]
-
-
 def test_held_out_accuracy_and_edges(spark, edge_docs, empty_docs):
     rnd = random.Random(3)
     good = [" ".join(rnd.choice(["river", "stone", "under", "light", "field"]) for _ in range(30)) for _ in range(1000)]

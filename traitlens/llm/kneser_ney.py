@@ -1,140 +1,21 @@
 """Quality classifier: interpolated modified Kneser-Ney character n-grams from trusted text.
 
 ``classify`` scores with ``char_model``: real code points, tables that grow with
-the corpus. ``train`` and ``codes_of`` are the older dense model over ``SYMBOLS``
-character classes; no query uses it.
+the corpus.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from traitlens.llm import char_model
 from traitlens.llm.common import written
 
-BITS = 6
-SYMBOLS = 1 << BITS
-ORDER = 4
 #: Quantile of the trusted texts' scores, per language, above which a text is rejected where no bad text is labelled.
 QUANTILE = 0.995
 #: Folds of the documents; a fold is scored by the model of all others.
 FOLDS = 5
-_CHUNK = 1 << 21  # characters that are scored together
-
-
-def _classes() -> np.ndarray:
-    """Class of each code point below 0x3000: 0 ends a text, then letters, space, digit, signs, and the rest by block."""
-    signs = "\n.,;:!?'\"-()|/@#$%&*<>=+_"
-    classes = np.empty(0x3000, np.uint32)
-    points = np.arange(0x3000)
-    first = 29 + len(signs)
-    classes[:] = first + points % (SYMBOLS - first)
-    for i in range(26):
-        classes[[ord("a") + i, ord("A") + i]] = 1 + i
-    classes[[ord(" "), 9, 0xA0]] = 27
-    classes[ord("0"):ord("9") + 1] = 28
-    for i, c in enumerate(signs):
-        classes[ord(c)] = 29 + i
-    return classes
-
-
-_CLASSES = _classes()
-
-
-def codes_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """N-gram codes of all texts in order, and how many each text has (one per character).
-
-    A text is preceded by ``ORDER - 1`` end symbols; an empty or null text has no n-grams.
-    """
-    pad = "\0" * (ORDER - 1)
-    points = np.frombuffer("".join(pad + t for t in texts if t).encode("utf-32-le", "surrogatepass"), np.uint32)
-    symbols = _CLASSES[np.where(points < 0x3000, points, 0x2000 + points % 0x1000)]
-    symbols[points == 0] = 0
-    sizes = np.array([len(t) if t else 0 for t in texts], np.int64)
-    codes = np.zeros(max(0, len(symbols) - ORDER + 1), np.uint32)
-    for j in range(ORDER):
-        codes = (codes << np.uint32(BITS)) | symbols[j:j + len(codes)]
-    # windows that begin before a text's last pad belong to the text before it: one per character remains
-    kept = np.ones(len(codes), bool)
-    some = sizes[sizes > 0]
-    ends = np.cumsum(some + ORDER - 1)
-    for j in range(1, ORDER):
-        at = ends - j
-        kept[at[at < len(codes)]] = False
-    return codes[kept], sizes
-
-
-def _blocks(texts: list[str | None]) -> Iterator[list[str | None]]:
-    block, size = [], 0
-    for t in texts:
-        block.append(t)
-        size += len(t or "")
-        if size >= _CHUNK:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
-
-
-def count_ngrams(texts: DataFrame, text: str = "text") -> DataFrame:
-    """(code, n) over all texts; each task sends an n-gram once."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(SYMBOLS ** ORDER, np.int64)
-        for batch in batches:
-            for block in _blocks(batch.column(0).to_pylist()):
-                found, n = np.unique(codes_of(block)[0], return_counts=True)
-                seen[found] += n
-        found = np.flatnonzero(seen)
-        for i in range(0, len(found), 100_000):
-            part = found[i:i + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(seen[part])], ["code", "n"])
-
-    return texts.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "code long, n long") \
-        .groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def _order(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Discounted probabilities (code, alpha) and back-off weights (context, gamma) of one order's counts."""
-    n = counts.agg(*[F.count_if(F.col("n") == i).alias(f"n{i}") for i in range(1, 5)]).first()
-    y = n[0] / max(1, n[0] + 2 * n[1])
-    # modified Kneser-Ney discounts; a count that does not occur leaves its discount at its limit
-    d = [max(0.0, i - (i + 1) * y * n[i] / n[i - 1]) if n[i - 1] else i * y for i in (1, 2, 3)]
-    discount = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-    context = counts.withColumn("context", F.shiftright("code", BITS))
-    sums = context.groupBy("context").agg(F.sum("n").alias("all"), F.sum(discount).alias("kept_back"))
-    alpha = context.join(sums, "context").select("code", ((F.col("n") - discount) / F.col("all")).alias("alpha"))
-    return alpha, sums.select("context", (F.col("kept_back") / F.col("all")).alias("gamma"))
-
-
-def train(trusted: DataFrame, text: str = "text") -> np.ndarray:
-    """Natural log-probability of each n-gram's last symbol after the others, float32, for all codes."""
-    counts = written(count_ngrams(trusted, text), "ngrams")
-    tables = []
-    for order in range(ORDER, 0, -1):
-        tables.append((order, *_order(counts)))
-        if order > 1:  # distinct left neighbours
-            mask = (1 << BITS * (order - 1)) - 1
-            counts = written(counts.groupBy(F.col("code").bitwiseAND(F.lit(mask)).alias("code"))
-                             .agg(F.count(F.lit(1)).alias("n")), "continuations")
-    p = np.full(1, 1 / SYMBOLS)
-    for order, alpha, gamma in reversed(tables):
-        # at most SYMBOLS ** order rows, and SYMBOLS ** (order - 1)
-        a = np.zeros(SYMBOLS ** order, np.float32)
-        g = np.ones(SYMBOLS ** (order - 1), np.float32)
-        for table, column, out in ((alpha, "code", a), (gamma, "context", g)):
-            rows = table.toArrow()
-            out[rows.column(column).to_numpy()] = rows.column(1).to_numpy()
-        lower = np.broadcast_to(p, (SYMBOLS,)) if order == 1 else p
-        shape = (SYMBOLS, max(1, SYMBOLS ** (order - 2)), SYMBOLS) if order > 1 else (1, 1, SYMBOLS)
-        below = lower.reshape(1, -1, SYMBOLS).astype(np.float32)
-        p = (a.reshape(shape) + g.reshape(shape[0], shape[1], 1) * below).reshape(-1)
-    return np.log(np.maximum(p, 1e-12)).astype(np.float32)
-
 
 #: Tails of the trusted texts' scores from which the labels choose.
 GRID = (0.9, 0.92, 0.94, 0.95, 0.96, 0.97, 0.975, 0.98, 0.985, 0.99, 0.9925, 0.995, 0.9975, 0.999, 1.0)

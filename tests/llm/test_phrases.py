@@ -104,3 +104,29 @@ def test_edges(spark, edge_docs, empty_docs):  # noqa: F811
     got = {r["phrase"]: r["a"] for r in P.collocations(edge_docs, 3).collect()}
     assert got["one two three four five"] == 3 and got["word word word word word"] == 2996
     assert P.collocations(empty_docs).count() == 0
+
+
+def test_many_parts_and_shards(spark):
+    rows = texts(11)
+    assert found(spark, rows, 3, shard_bytes=3000, part_words=400) == brute_force(rows, 3, 5, 2000)
+
+
+def test_shards_send_runs_not_rows():
+    """A shard's phrases leave it as one compressed run per length and part, however many they are, and add up again."""
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(8)
+    shards = [np.unique((rnd.integers(0, 60, (3000, 2)) << 40) + 7, axis=0).T for _ in range(3)]
+    sent = pa.concat_tables([P._dealt(s, words, np.full(words.shape[1], 50), 4) for s, words in enumerate(shards)])
+    assert sent.num_rows == 12 and sent.nbytes < sum(w.shape[1] for w in shards) * 16
+    expected = Counter(tuple(c) for words in shards for c in words.T.tolist())
+    got, steps = {}, {s: set() for s in range(3)}
+    for p in range(4):
+        part = sent.filter(pa.compute.equal(sent.column("part"), p))
+        table = P._frequent_phrases(100)(part)
+        got |= {tuple(w): a for w, a in zip(table.column("ws").to_pylist(), table.column("a").to_pylist())}
+        for r in P._frequent_pairs(100)(part).to_pylist():
+            steps[r["shard"]] |= set(map(tuple, P._unpacked(r["packed"], 2, r["n"]).T.tolist()))
+    frequent = {c: 50 * n for c, n in expected.items() if n > 1}
+    assert got == frequent and frequent
+    assert steps == {s: {tuple(c) for c in words.T.tolist()} & set(frequent) for s, words in enumerate(shards)}

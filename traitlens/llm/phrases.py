@@ -5,9 +5,8 @@ reverse give two indexes, each a Burrows-Wheeler transform sorted as deep as
 phrases are long. A phrase is an interval in both. Extending it to the right
 by every word that follows takes the reverse index's symbols in the interval;
 the forward interval narrows in step, and its symbols are the words before.
-Each phrase leaves its shard with its count and, where all its occurrences
-there share one, the word before and the word after. Sums and extremes over
-the shards give exact counts and tell which phrases always stand in a longer one.
+Phrases leave their shard with their counts in compressed runs, dealt by a hash
+of the phrase; sums over the shards give exact counts.
 
 No phrase is frequent unless its words and pairs are. So shards report words
 first, then pairs of frequent words, and the frequent ones come back to the
@@ -26,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from traitlens.llm.common import written
+from traitlens.llm.common import mix, written
 
 #: A phrase is a candidate from this many occurrences on, up to this many words; phrases returned per language.
 LEAST = 100
@@ -34,6 +33,8 @@ LONGEST = 5
 TOP = 2000
 #: Bytes of text in a shard (a longer piece is a shard of its own); results do not depend on it.
 SHARD_BYTES = 10_000_000
+#: Words of text for which one task sums the shards' phrases; results do not depend on it.
+PART_WORDS = 1 << 22
 #: Bits of a word's number within its shard, and of a shard's within its task.
 WORD_BITS, SHARD_BITS = 26, 12
 
@@ -167,62 +168,146 @@ def _along(x: np.ndarray, linked: np.ndarray) -> np.ndarray:
 
 
 def _frequent(shard: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """A shard's frequent words numbered from 1 on in its text's order (0: any other or a break), and their
-    global numbers (-1 at 0)."""
+    """A shard's frequent words numbered by their global numbers from 1 on in its text's order (0: any other or a
+    break), and these global numbers (-1 at 0)."""
     kind, code, gid = (shard.column(c).to_numpy() for c in ("kind", "code", "gid"))
     at = int(np.flatnonzero(kind == 0)[0])
     x = np.frombuffer(pa.decompress(shard.column("ids")[at].as_py(), int(gid[at]) * 4, codec="zstd"), np.int32)
     codes, gids = code[kind == 1], gid[kind == 1]
+    order = np.argsort(gids)
     number = np.zeros(max(int(x.max()), int(codes.max(initial=0))) + 1, np.int64)
-    number[codes] = np.arange(1, len(codes) + 1)
-    return number[x], np.concatenate(([-1], gids))
-
-
-_PAIRS = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("shard", pa.int64()), ("count", pa.int64())])
+    number[codes[order]] = np.arange(1, len(codes) + 1)
+    return number[x], np.concatenate(([-1], gids[order]))
+
+
+def _packed(columns: np.ndarray) -> bytes:
+    """Whole numbers, one row per column: differences to the one before, bytes of a rank together, compressed."""
+    steps = np.ascontiguousarray(np.diff(columns, axis=1, prepend=0))
+    return pa.compress(steps.view(np.uint8).reshape(*steps.shape, 8).transpose(0, 2, 1).tobytes(),
+                       codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, width: int, n: int) -> np.ndarray:
+    flat = np.frombuffer(pa.decompress(packed, width * n * 8, codec="zstd", asbytes=True), np.uint8)
+    steps = np.ascontiguousarray(flat.reshape(width, 8, n).transpose(0, 2, 1)).view(np.int64)
+    return np.cumsum(steps.reshape(width, n), axis=1)
+
+
+_LOCAL = pa.schema([("part", pa.int64()), ("shard", pa.int64()), ("words", pa.int64()), ("n", pa.int64()),
+                    ("packed", pa.binary())])
+
+
+def _dealt(shard: int, words: np.ndarray, count: np.ndarray, parts: int) -> pa.Table:
+    """A shard's phrases of one length (one per column of ``words``) with their counts, dealt by a hash of the phrase."""
+    h = np.zeros(len(count), np.uint64)
+    for w in words:
+        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + w.astype(np.uint64))
+    part = (h % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    rows = np.concatenate((words, count[None]))[:, order]
+    ends = np.cumsum(np.bincount(part, minlength=parts))
+    some = [(p, a, b) for p, (a, b) in enumerate(zip(np.append(0, ends[:-1]).tolist(), ends.tolist())) if b > a]
+    return pa.table([pa.array([p for p, _, _ in some], pa.int64()), pa.array([shard] * len(some), pa.int64()),
+                     pa.array([len(words)] * len(some), pa.int64()), pa.array([b - a for _, a, b in some], pa.int64()),
+                     pa.array([_packed(rows[:, a:b]) for _, a, b in some], pa.binary())], schema=_LOCAL)
+
+
+def _summed(words: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of phrases of one length from several shards: a place and the sum of each distinct one, and every one's distinct one."""
+    of = np.zeros(len(count), np.int64)
+    for w in words:
+        number = np.unique(w, return_inverse=True)[1]
+        of = np.unique(of * (int(number.max()) + 1) + number, return_inverse=True)[1]
+    place = np.empty(int(of.max()) + 1, np.int64)
+    place[of] = np.arange(len(of))
+    total = np.zeros(len(place), np.int64)
+    np.add.at(total, of, count)
+    return place, total, of
+
+
+def _met(part: pa.Table) -> Iterator[tuple[list[dict], np.ndarray, np.ndarray]]:
+    """A part's rows by length of phrase, with their phrases and counts, one after the other."""
+    by_length = defaultdict(list)
+    for row in part.to_pylist():
+        by_length[row["words"]].append(row)
+    for width, rows in sorted(by_length.items()):
+        whole = np.concatenate([_unpacked(r["packed"], width + 1, r["n"]) for r in rows], axis=1)
+        yield rows, whole[:-1], whole[-1]
+
+
+def _pairs(parts: int):
+    """A shard's row of ids and rows of frequent words -> its pairs of neighbouring frequent words."""
+    def run(shard: pa.Table) -> pa.Table:
+        x, gids = _frequent(shard)
+        key, count = np.unique((x[:-1] * len(gids) + x[1:])[(x[:-1] > 0) & (x[1:] > 0)], return_counts=True)
+        return _dealt(shard.column("shard")[0].as_py(), gids[np.stack(np.divmod(key, len(gids)))], count, parts)
+    return run
 
 
-def _pairs(shard: pa.Table) -> pa.Table:
-    """A shard's row of ids and rows of frequent words -> its pairs of neighbouring frequent words."""
-    x, gids = _frequent(shard)
-    key, count = np.unique((x[:-1] * len(gids) + x[1:])[(x[:-1] > 0) & (x[1:] > 0)], return_counts=True)
-    first, second = np.divmod(key, len(gids))
-    return pa.table([pa.array(gids[first]), pa.array(gids[second]),
-                     pa.array(np.full(len(key), shard.column("shard")[0].as_py())), pa.array(count)], schema=_PAIRS)
+_STEPS = pa.schema([("shard", pa.int64()), ("n", pa.int64()), ("packed", pa.binary())])
 
 
-_PHRASES = pa.schema([("ws", pa.list_(pa.int64())), ("count", pa.int64()), ("before", pa.int64()),
-                      ("after", pa.int64())])
+def _frequent_pairs(least: int):
+    """A part's pairs of all shards -> every shard's own that are frequent."""
+    def run(part: pa.Table) -> pa.Table:
+        out = []
+        for rows, words, count in _met(part):
+            _, total, of = _summed(words, count)
+            some = (total >= least)[of]
+            ends = np.cumsum([r["n"] for r in rows])
+            for r, end in zip(rows, ends.tolist()):
+                own = slice(end - r["n"], end)
+                if some[own].any():
+                    kept = words[:, own][:, some[own]]
+                    out.append({"shard": r["shard"], "n": kept.shape[1], "packed": _packed(kept)})
+        return pa.Table.from_pylist(out, schema=_STEPS)
+    return run
 
 
-def _phrases(longest: int):
+def _phrases(longest: int, parts: int):
     """A shard's row of ids and rows of frequent words and pairs -> its phrases along frequent pairs."""
     def run(shard: pa.Table) -> pa.Table:
         x, gids = _frequent(shard)
-        pairs = shard.filter(pc.equal(shard.column("kind"), 2))
-        order = np.argsort(gids)
-        first, second = (order[np.searchsorted(gids, pairs.column(c).to_numpy(), sorter=order)]
-                         for c in ("code", "gid"))
+        steps = shard.filter(pc.equal(shard.column("kind"), 2))
+        pairs = [_unpacked(packed, 2, n) for packed, n in zip(steps.column("ids").to_pylist(), steps.column("gid").to_pylist())]
+        first, second = np.searchsorted(gids, np.concatenate([np.empty((2, 0), np.int64), *pairs], axis=1))
         x = _along(x, np.isin(x[:-1] * len(gids) + x[1:], first * len(gids) + second))
-        tables = [_PHRASES.empty_table()]
+        tables = [_LOCAL.empty_table()]
         if x.any():
             used, x = np.unique(x, return_inverse=True)
-            for symbols, count, before, after in phrases_of(x, 2, longest):
-                n, m = len(count), len(symbols)
-                tables.append(pa.table(
-                    [pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * m),
-                                              pa.array(gids[used[np.stack(symbols, 1).ravel()]])),
-                     pa.array(count), pa.array(gids[used[before]]), pa.array(gids[used[after]])], schema=_PHRASES))
+            for symbols, count, _, _ in phrases_of(x, 2, longest):
+                if len(count):
+                    tables.append(_dealt(shard.column("shard")[0].as_py(), gids[used[np.stack(symbols)]], count, parts))
+        return pa.concat_tables(tables)
+    return run
+
+
+_PHRASES = pa.schema([("ws", pa.list_(pa.int64())), ("a", pa.int64())])
+
+
+def _frequent_phrases(least: int):
+    """A part's phrases of all shards -> the frequent ones with their counts."""
+    def run(part: pa.Table) -> pa.Table:
+        tables = [_PHRASES.empty_table()]
+        for _, words, count in _met(part):
+            place, total, _ = _summed(words, count)
+            some = total >= least
+            kept = words[:, place[some]]
+            tables.append(pa.table([pa.ListArray.from_arrays(
+                pa.array(np.arange(kept.shape[1] + 1, dtype=np.int32) * len(kept)), pa.array(kept.T.ravel())),
+                pa.array(total[some])], schema=_PHRASES))
         return pa.concat_tables(tables)
     return run
 
 
 def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text: str = "text",
-            lang: str = "lang", shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame, DataFrame]:
+            lang: str = "lang", shard_bytes: int = SHARD_BYTES,
+            part_words: int = PART_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Exact counts per language, as three written tables.
 
     * words (gid, lang, word, f): every word of at least ``least`` occurrences
-    * phrases (ws, a, inside): every phrase of 2 to ``longest`` words, as gids, of as many; ``inside`` if all its
-      occurrences have the same word before, or the same word after, and a longer phrase is allowed
+    * phrases (ws, a, inside): every phrase of 2 to ``longest`` words, as gids, of as many; ``inside`` if one of
+      one word more holds it and has as many occurrences
     * totals (lang, n): all occurrences of words
 
     Null texts hold no words, null languages are ``und``; repeated rows count each time; a text of any
@@ -251,31 +336,35 @@ def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text: s
     nothing = F.lit(None).cast("binary").alias("ids")
     known = frequent.select(F.expr(f"own >> {WORD_BITS}").alias("shard"), F.lit(1).alias("kind"),
                             F.expr(f"own & {mask}L").alias("code"), "gid", nothing)
-    pairs = ids.unionByName(known).groupBy("shard").applyInArrow(_pairs, "w1 long, w2 long, shard long, count long")
-    pairs = written(pairs.withColumn("a", F.sum("count").over(Window.partitionBy("w1", "w2")))
-                    .where(F.col("a") >= least).select("shard", "w1", "w2"), "phrase-pairs")
-    steps = pairs.select("shard", F.lit(2).alias("kind"), F.col("w1").alias("code"), F.col("w2").alias("gid"), nothing)
+    local_phrases = "part long, shard long, words long, n long, packed binary"
+    parts = max(1, -(-(ids.agg(F.sum("gid")).first()[0] or 0) // part_words))
+    pairs = ids.unionByName(known).groupBy("shard").applyInArrow(_pairs(parts), local_phrases)
+    pairs = written(pairs.groupBy("part").applyInArrow(_frequent_pairs(least), "shard long, n long, packed binary"),
+                    "phrase-pairs")
+    steps = pairs.select("shard", F.lit(2).alias("kind"), F.lit(0).cast("long").alias("code"), F.col("n").alias("gid"),
+                         F.col("packed").alias("ids"))
     found = ids.unionByName(known).unionByName(steps).groupBy("shard").applyInArrow(
-        _phrases(longest), "ws array<long>, count long, before long, after long")
-    found = found.groupBy("ws").agg(F.sum("count").alias("a"), *[
-        f(side).alias(f"{name}_{side}") for side in ("before", "after")
-        for name, f in (("least", F.min), ("most", F.max))]).where(F.col("a") >= least)
-    found = found.select("ws", "a", F.expr(
-        f"size(ws) < {longest} and (least_before >= 0 and least_before = most_before or "
-        "least_after >= 0 and least_after = most_after)").alias("inside"))
+        _phrases(longest, parts), local_phrases)
+    found = written(found.groupBy("part").applyInArrow(_frequent_phrases(least), "ws array<long>, a long"),
+                    "phrase-counts")
+    # a longer phrase of as many occurrences holds one of one word more that has as many too
+    longer = found.where("size(ws) > 2")
+    shorter = longer.select(F.expr("slice(ws, 2, size(ws))").alias("ws"), "a").unionByName(
+        longer.select(F.expr("slice(ws, 1, size(ws) - 1)").alias("ws"), "a")).distinct()
+    found = found.join(shorter.withColumn("_inside", F.lit(True)), ["ws", "a"], "left").select(
+        "ws", "a", F.coalesce("_inside", F.lit(False)).alias("inside"))
     return words, written(found, "phrases"), totals
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, text: str = "text",
-                 lang: str = "lang", shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                 lang: str = "lang", shard_bytes: int = SHARD_BYTES, part_words: int = PART_WORDS) -> DataFrame:
     """The ``top`` phrases of every language by their weakest cut: lang, rank, phrase, a, l, r, n, score.
 
-    A phrase that only occurs inside a longer one of as many occurrences is left out: the longer
-    one then has the same word before or after each occurrence. The score of a cut is
+    A phrase that only occurs inside a longer one of as many occurrences is left out. The score of a cut is
     floor(1000 a n / (l r)), in decimals of 38 digits. Nulls, repeated rows, long texts and empty
     tables are as in ``counted``; ties in score go to the larger a, then to the phrase's bytes.
     """
-    words, phrases, totals = counted(docs, least, longest, text, lang, shard_bytes)
+    words, phrases, totals = counted(docs, least, longest, text, lang, shard_bytes, part_words)
     f = words.select(F.array("gid").alias("part"), "f").unionByName(
         phrases.select(F.col("ws").alias("part"), F.col("a").alias("f")))
     kept = phrases.where("not inside")

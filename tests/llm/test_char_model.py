@@ -1,11 +1,14 @@
 import math
+import pathlib
 import random
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 
 from traitlens.llm import char_model as C
 from traitlens.llm import kneser_ney as K
+from traitlens.session import checkpoint_dir
 
 
 def brute(texts):
@@ -69,3 +72,25 @@ def test_a_few_toxic_words_are_rejected(spark):
                       spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
     kept = {r.doc_id: r.kept for r in rows}
     assert not any(kept[i] for i in range(400, 440)) and sum(kept[i] for i in range(400)) >= 380
+
+
+def test_blocks_write_no_row_per_gram_and_change_no_score(spark, monkeypatch):
+    rnd = random.Random(8)
+    parts = ["river", "stone", "und", "light", "field", "кот", "猫と", "e", "ing", "th", "on"]
+    text = lambda: "".join(rnd.choice(parts) + rnd.choice(("", "", " ")) for _ in range(700))
+    rows = [(i, text(), "en") for i in range(400)]
+    rows += [(None, text(), "en"), (None, None, None), (7, text(), "en"), (8, "", "en"), rows[9]]  # keys repeat or are null
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([(i,) for i in range(300)], "_id long")
+    folder = pathlib.Path(checkpoint_dir(spark).removeprefix("file:"))
+
+    def scored(block):
+        monkeypatch.setattr(C, "BLOCK", block)
+        return sorted(map(repr, C.perplexities(docs, trusted, 5, "doc_id", "text", "lang").collect()))
+
+    before = set(folder.iterdir())
+    whole = scored(1 << 24)
+    new = sum(pq.read_metadata(f).num_rows for d in set(folder.iterdir()) - before for f in d.rglob("*.parquet"))
+    # lists are packed: no row per n-gram is written
+    assert len(whole) == len(rows) and new < len(np.unique(C.grams_of([t for _, t, _ in rows])[0])) / 2
+    assert scored(1 << 16) == whole

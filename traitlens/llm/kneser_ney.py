@@ -70,7 +70,7 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     """
     ids = written(labels.select(F.col(key).alias("_id"), F.expr(f"({trusted})").alias("good"))
                   .where("_id is not null and good is not null").groupBy("_id").agg(F.max("good").alias("good")), "labelled")
-    scored = written(char_model.perplexities(docs, ids.where("good"), folds, key, text, lang), "perplexities")
+    scored = char_model.perplexities(docs, ids.where("good"), folds, key, text, lang)
     bounds = written(limits(scored.join(ids, scored["k"] == ids["_id"]).select("l", "good", "perplexity", "passage"),
                             quantile), "limits")
     every = bounds.where("every").first()  # one row

@@ -71,6 +71,28 @@ def test_tokenizer_by_pieces_equals_whole_texts(monkeypatch):
             assert encode.model.encode(t, add_special_tokens=False).ids + [1] == ids.tolist()
 
 
+def test_marks_after_a_word_are_a_unit_of_their_own(monkeypatch):
+    """A word with marks after it, new or not, is not encoded by all rules."""
+    encode, seen = P.Tokenizer(PATH), []
+    whole = encode._whole
+    monkeypatch.setattr(encode, "_whole", lambda texts, sizes: seen.extend(texts) or whole(texts, sizes))
+    texts = ["Été!! (été); river_ été!!", "don't stone)}~ 4.0.", "ÿ?! Straße-- ÀÉ: x"]
+    for t, ids in zip(texts, encode(texts)):
+        assert encode.model.encode(t, add_special_tokens=False).ids + [1] == ids.tolist()
+    assert sorted(seen) == sorted(["", "!!", "(été);", "_", "don't", ")}~", "4.0.", "?!", "--", ":"])
+
+
+def test_kept_units_are_few():
+    """What a worker keeps from slice to slice stays small beside a slice, however many words it meets."""
+    encode = P.Tokenizer(PATH)
+    letters = "abcdefghijklmnopqrst"
+    words = [a + b + c + d + e for a in letters for b in letters for c in letters for d in letters for e in letters[:2]]
+    for i in range(0, 240_000, 60_000):
+        encode([" ".join(words[i:i + 60_000])])
+    encode([words[0]])
+    assert len(encode.kept.sizes) < 150_000
+
+
 def test_places_follow_the_rounds():
     """Closed form against a simulation of deficit round-robin token by token."""
     quanta, totals, window = np.array([70_000, 200_000, 3], np.int64), np.array([50, 130, 2], np.int64), 8

@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import os
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain, repeat
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -29,49 +30,59 @@ END_ID = 1
 #: Fixed-point digits of a quantum.
 SHIFT = 16
 #: Characters of texts tokenized at a time.
-BATCH_CHARS = 1_500_000
-#: Units (words or other pieces) whose ids are kept; beyond, the half that was met most often stays.
-PIECES_KEPT = 300_000
+BATCH_CHARS = 1_000_000
+#: Units (words, marks or other pieces) whose ids are kept; beyond, the half that was met most often stays.
+PIECES_KEPT = 150_000
 
 
 class _Kept:
-    """Ids of units (words in lower case, or pieces that are not plain words), one after the other in a flat array."""
+    """Ids of units (words in lower case, marks after a word, or whole pieces), one after the other in a flat array."""
 
     def __init__(self):
-        self.units = pa.array([], pa.string())
+        self.rows: dict[str, int] = {}
         self.flat, self.sizes, self.met = np.empty(0, np.uint16), np.empty(0, np.int64), np.empty(0, np.int64)
 
     @property
     def starts(self) -> np.ndarray:
         return np.cumsum(self.sizes) - self.sizes
 
-    def add(self, units: pa.Array, ids: list[bytes]) -> None:
-        self.units = pa.concat_arrays([self.units, units])
-        self.flat = np.concatenate((self.flat, np.frombuffer(b"".join(ids), np.uint16)))
-        self.sizes = np.concatenate((self.sizes, np.fromiter(map(len, ids), np.int64, len(ids)) // 2))
-        self.met = np.concatenate((self.met, np.zeros(len(ids), np.int64)))
+    def add(self, units: list[str], ids: np.ndarray, sizes: list[int]) -> None:
+        self.rows.update(zip(units, range(len(self.sizes), len(self.sizes) + len(units))))
+        self.flat = np.concatenate((self.flat, ids))
+        self.sizes = np.concatenate((self.sizes, np.array(sizes, np.int64)))
+        self.met = np.concatenate((self.met, np.zeros(len(units), np.int64)))
 
     def cut(self, most: int) -> None:
         """Keep the units that were met in most slices; those of earlier cuts count half."""
         keep = np.sort(np.argsort(-self.met, kind="stable")[:most])
-        row, at = _ranges(self.starts[keep], self.sizes[keep])
-        self.units, self.flat = self.units.take(pa.array(keep)), self.flat[at]
+        self.flat = self.flat[_ranges(self.starts[keep], self.sizes[keep])[1]]
+        row = np.full(len(self.sizes), -1)
+        row[keep] = np.arange(len(keep))
+        self.rows = {u: i for u, i in zip(self.rows, row.tolist()) if i >= 0}  # a dict keeps the order of its rows
         self.sizes, self.met = self.sizes[keep], self.met[keep] // 2
 
 
+def _strings(units: pa.Array) -> list[str]:
+    """Strings without blanks, as one joined string that is split again: much faster than one by one."""
+    if not len(units):
+        return []
+    whole = pa.ListArray.from_arrays(pa.array([0, len(units)], pa.int32()), units)
+    return pc.binary_join(whole, " ")[0].as_py().split(" ")
+
+
 class Tokenizer:
     """Ids of whole texts, with the ids of white-space separated pieces kept.
 
     The vocabulary's rules drop white space and never join across it, so a text's
     ids are those of its ASCII-space-separated pieces in order (tested against whole texts).
-    A piece of Latin letters, perhaps with a full stop or comma, goes straight to
-    the vocabulary's merges in lower case, and the sign's id follows; any other is
-    encoded by all its rules.
+    A piece of Latin letters, perhaps with ASCII marks other than apostrophes after
+    them, is two units: the word, which goes straight to the vocabulary's merges in
+    lower case, and the run of marks, which the rules never join to letters. Any
+    other piece is one unit. Marks and other pieces are encoded by all rules.
     """
 
     LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
-    PLAIN = f"^(?P<word>[{LATIN}]+)(?P<sign>[.,]?)$"
-    SIGNS = pa.array([".", ","])
+    PLAIN = f"^(?P<word>[{LATIN}]+)(?P<marks>[!-&(-/:-@\\[-`{{-~]*)$"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads only hold memory
@@ -81,61 +92,71 @@ class Tokenizer:
         self.model = Model.from_file(path)
         self.merge = self.model.model.tokenize
         as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.as_bytes = {i: as_bytes.pre_tokenize_str(chr(i))[0][0] for i in range(0xc0, 0x100)}
-        self.signs = np.frombuffer(b"".join(self._ids(self.SIGNS.to_pylist())), np.uint16)
+        self.as_bytes = {chr(i): as_bytes.pre_tokenize_str(chr(i))[0][0] for i in range(0xdf, 0x100)}
         self.kept = _Kept()
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array("H", e.ids).tobytes()
-                for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _letters(self, word: str) -> bytes:
-        return array("H", [t.id for t in self.merge(
-            word if word.isascii() else word.translate(self.as_bytes))]).tobytes()
-
-    def _places(self, units: pa.Array, plain: np.ndarray) -> np.ndarray:
+    def _whole(self, texts: list[str], sizes: list[int]) -> Iterator[list[int]]:
+        """Ids of each text by all rules; their numbers go to ``sizes``."""
+        for e in self.model.encode_batch_fast(texts, add_special_tokens=False):
+            ids = e.ids
+            sizes.append(len(ids))
+            yield ids
+
+    def _merged(self, words: list[str], sizes: list[int]) -> Iterator[list]:
+        """Tokens of each word of lower-case Latin letters; their numbers go to ``sizes``."""
+        text = " ".join(words)
+        if not text.isascii():
+            for letter, form in self.as_bytes.items():  # no form holds a lower-case letter beyond ASCII
+                text = text.replace(letter, form)
+        for word in text.split(" "):
+            tokens = self.merge(word)
+            sizes.append(len(tokens))
+            yield tokens
+
+    def _rows(self, units: list[str], plain: np.ndarray) -> np.ndarray:
         """Where the ids of distinct units are kept; those of new ones are found first."""
-        known = pc.index_in(units, value_set=self.kept.units)
-        new = np.flatnonzero(known.is_null().to_numpy(zero_copy_only=False))
-        places = pc.fill_null(known, -1).to_numpy().astype(np.int64)
-        if len(new):
-            places[new] = len(self.kept.units) + np.arange(len(new))
-            fresh = units.take(pa.array(new))
-            texts, letters = fresh.to_pylist(), plain[new]
-            other = iter(self._ids([t for t, m in zip(texts, letters) if not m]))
-            self.kept.add(fresh, [self._letters(t) if m else next(other) for t, m in zip(texts, letters)])
-        self.kept.met[places] += 1
-        return places
+        rows = np.fromiter(map(self.kept.rows.get, units, repeat(-1)), np.int64, len(units))
+        new = rows < 0
+        for texts, encode, number in (
+                ([units[i] for i in np.flatnonzero(new & plain).tolist()], self._merged, attrgetter("id")),
+                ([units[i] for i in np.flatnonzero(new & ~plain).tolist()], self._whole, None)):
+            if texts:
+                sizes: list[int] = []
+                ids = chain.from_iterable(encode(texts, sizes))
+                self.kept.add(texts, np.fromiter(map(number, ids) if number else ids, np.uint16), sizes)
+        rows[new] = [self.kept.rows[units[i]] for i in np.flatnonzero(new).tolist()]
+        self.kept.met[rows] += 1
+        return rows
 
     def __call__(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
         """Ids of every text, the end id last. Arrow splits the texts, numbers their distinct pieces and finds plain words."""
         if not len(texts):
             return []
-        if len(self.kept.units) > PIECES_KEPT:
+        if len(self.kept.sizes) > PIECES_KEPT:
             self.kept.cut(PIECES_KEPT // 2)
         if isinstance(texts, list):
             texts = pa.array(texts, pa.string())
         pieces = pc.ascii_split_whitespace(pc.fill_null(texts, ""))  # blanks at an end leave an empty piece: no ids
         counts = pc.list_value_length(pieces).to_numpy()
         coded = pieces.flatten().dictionary_encode()
+        del pieces
         parts = pc.extract_regex(coded.dictionary, self.PLAIN)
         words = pc.utf8_lower(pc.struct_field(parts, "word"))
-        units = pc.coalesce(words, coded.dictionary).dictionary_encode()
+        # each distinct piece is two units: its word and marks, or itself and none
+        marks = pc.fill_null(pc.struct_field(parts, "marks"), "")
+        units = pa.concat_arrays([pc.coalesce(words, coded.dictionary), marks]).dictionary_encode()
         number = units.indices.to_numpy()
         plain = np.zeros(len(units.dictionary), bool)
-        plain[number] = words.is_valid().to_numpy(zero_copy_only=False)
-        place = self._places(units.dictionary, plain)[number]
-        sign = pc.fill_null(pc.index_in(pc.struct_field(parts, "sign"), value_set=self.SIGNS), -1).to_numpy()
+        plain[number[:len(words)][words.is_valid().to_numpy(zero_copy_only=False)]] = True
+        row = self._rows(_strings(units.dictionary), plain)[number].reshape(2, -1).T
+        starts, sizes = self.kept.starts[row].ravel(), self.kept.sizes[row]
+        flat = self.kept.flat[_ranges(starts, sizes.ravel())[1]]
+        sizes = sizes.sum(1)
 
         at = coded.indices.to_numpy()
-        place, sign = place[at], sign[at]
-        n = self.kept.sizes[place] + (sign >= 0)
-        ends = np.cumsum(n)
-        _, source = _ranges(self.kept.starts[place], n)
-        ids = np.append(self.kept.flat, np.uint16(0))[source]  # a sign's place may lie after the last unit
-        signed = np.flatnonzero(sign >= 0)
-        ids[ends[signed] - 1] = self.signs[sign[signed]]
-        cuts = np.concatenate(([0], ends))[np.cumsum(counts)]
+        n = sizes[at]
+        ids = flat[_ranges((np.cumsum(sizes) - sizes)[at], n)[1]]
+        cuts = np.concatenate(([0], np.cumsum(n)))[np.cumsum(counts)]
         return [np.append(x, np.uint16(END_ID)) for x in np.split(ids, cuts[:-1])]
 
 
@@ -196,8 +217,10 @@ def pieces_of(s: np.ndarray, start: np.ndarray, n: np.ndarray, quanta: np.ndarra
 
 def _ranges(first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers and values of first, first + 1, ... of each row."""
-    row = np.repeat(np.arange(len(first)), sizes)
-    return row, first[row] + np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    ends = np.cumsum(sizes)
+    at = np.repeat(first - (ends - sizes), sizes)
+    at += np.arange(len(at))
+    return np.repeat(np.arange(len(first)), sizes), at
 
 
 def pack(docs: DataFrame, tokenizer_path: str, weights: dict[str | None, float] | None = None,

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import pytest
 
@@ -86,3 +87,14 @@ def test_edges(edge_docs, empty_docs):
 def test_base_counts():
     words, chars, symbols, lines = R.text_counts("a b\u00a0c\n#x\na b\u00a0c\n\n \na b\u00a0c")
     assert (len(words), chars, symbols, lines) == (7, 3 * 4 + 2, 1, 2)
+
+
+def test_memory_of_a_block_of_texts():
+    """Texts are sorted in blocks whose arrays take far less than a worker's share of an executor."""
+    rnd, words = random.Random(3), [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rnd.choice(words) for _ in range(500)) for _ in range(1200)]
+    tracemalloc.start()
+    R.measure(texts, R.Limits())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25e6

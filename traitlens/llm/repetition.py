@@ -19,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitlens.llm.common import mix, released, word_codes, words_of
+from traitlens.llm.common import mix, released, slices_by_chars, word_codes, words_of
 
 SYMBOLS = "#*$%&|<>"
 _SPACES = " \t\n\x0b\x0c\r"
 #: Words of one block of texts that are sorted together; a longer text is a block of its own.
-BLOCK_WORDS = 400_000
+BLOCK_WORDS = 150_000
+#: Characters of texts that ``keep_quality`` holds as Python strings at a time.
+SLICE_CHARS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -212,7 +214,8 @@ def keep_quality(docs: DataFrame, text: str = "text", limits: Limits = Limits())
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(measure(batch.column(at).to_pylist(), limits)["kept"]))
+        for whole in batches:
+            for batch in slices_by_chars(whole, at, SLICE_CHARS):
+                yield batch.filter(pa.array(measure(batch.column(at).to_pylist(), limits)["kept"]))
 
     return docs.mapInArrow(released(run), docs.schema)
